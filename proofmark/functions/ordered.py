@@ -11,11 +11,11 @@ def with_previous(df: DataFrame, keys: list[str], order: list[str], bucket: Colu
 
     A plain ``lag`` over ``keys`` would sort a hot key (one session with a third of all rows) in one
     task. Here rows are spread by ``keys`` + ``bucket``, a coarse, monotone function of the order
-    columns. ``lag`` runs inside a bucket, and only the last row of each bucket goes through a second,
-    far smaller pass that hands it to the next bucket. Both passes read the same shuffle.
+    columns. ``lag`` runs inside a bucket, and only the last row of each bucket (picked by a partial
+    aggregate before any shuffle) goes through a second, far smaller pass to the next bucket.
     """
     names = [*keys, "_bucket"]
-    spread = df.withColumn("_bucket", bucket).repartition(*names)
+    spread = df.withColumn("_bucket", bucket)
     inside = Window.partitionBy(*names).orderBy(*order)
     payload = F.struct(*carry)
     ranked = spread.withColumn("_lag", F.lag(payload).over(inside))
