@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proofmark import schemas
@@ -59,19 +61,15 @@ def enforce(verdict: DataFrame) -> None:
         raise QualityGateFailed(row.failures)
 
 
-def gate_by_run(run_metrics: DataFrame, floors: DataFrame) -> DataFrame:
-    """Verdict of every run against the same floors.
+def gate_by_run(run_metrics: DataFrame, floors: dict[str, float]) -> DataFrame:
+    """Verdict of every run against the same short list of floors, from one aggregate."""
+    def failed(metric: str, floor: float) -> Column:
+        observed = F.max(F.when(F.col("metric") == metric, F.col("value")))
+        return (observed.isNull() | F.isnan(observed) | (observed < floor)).cast("int")
 
-    Runs × floors is built by unfolding the floor list on each run, which ``thresholds`` keeps short.
-    """
-    listed = floors.agg(F.collect_list(F.struct("metric", "floor")).alias("floors")).withColumn("_one", F.lit(1))
-    runs = run_metrics.select("run_id").distinct().withColumn("_one", F.lit(1))
-    wanted = runs.join(F.broadcast(listed), "_one").select("run_id", F.inline("floors"))
-    checked = wanted.join(run_metrics.select("run_id", "metric", "value"), ["run_id", "metric"], "left")
-    failed = F.col("value").isNull() | F.isnan("value") | (F.col("value") < F.col("floor"))
-    return checked.groupBy("run_id").agg(
-        F.count_if(failed).alias("n_failures"),
-        F.when(F.count_if(failed) == 0, "true").otherwise("false").alias("passed"),
+    n_failures = reduce(lambda a, b: a + b, [failed(m, f) for m, f in small_list(floors).items()])
+    return run_metrics.groupBy("run_id").agg(n_failures.alias("n_failures")).withColumn(
+        "passed", F.when(F.col("n_failures") == 0, "true").otherwise("false")
     )
 
 

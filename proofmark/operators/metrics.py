@@ -170,13 +170,13 @@ def rule_breakdown(rule_results: DataFrame) -> DataFrame:
 
 
 def sampled_vs_total(total: DataFrame, assessments: DataFrame) -> DataFrame:
-    """Traces graded by each scorer against all traces: two aggregates, the small one carried by value."""
-    graded = assessments.groupBy("name").agg(F.countDistinct("trace_id").alias("n_sampled"))
-    whole = total.agg(F.count("*").alias("n_total")).withColumn("_one", F.lit(1))
+    """Traces graded by each scorer against the number of all traces (a scalar subquery)."""
+    n_total = total.agg(F.count("*").alias("n_total")).scalar()
     return (
-        graded.withColumn("_one", F.lit(1))
-        .join(F.broadcast(whole), "_one", "left")  # one row by construction
-        .select("name", "n_sampled", "n_total", F.round(F.col("n_sampled") / F.col("n_total"), 6).alias("sampled_share"))
+        assessments.groupBy("name")
+        .agg(F.countDistinct("trace_id").alias("n_sampled"))
+        .withColumn("n_total", n_total)
+        .withColumn("sampled_share", F.round(F.col("n_sampled") / F.col("n_total"), 6))
     )
 
 
