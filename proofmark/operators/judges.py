@@ -100,11 +100,17 @@ class Rule(NamedTuple):
     question_guard: str | None = None
 
 
+def _tokenised(df: DataFrame, rules: list[Rule], output: str) -> DataFrame:
+    """Tokens in a column of their own where a rule needs them: they are read once per language."""
+    wanted = any(r.kind == "language" for r in small_list(rules, 100))
+    return df.withColumn("_tok", text.tokens(output)) if wanted else df
+
+
 def rule_holds(rule: Rule, output: str = "outputs", question: str = "question") -> Column:
-    """yes / no; a guarded rule whose guard is not met has no verdict."""
+    """yes / no; a guarded rule whose guard is not met has no verdict. Language rules read ``_tok``."""
     out = text.col(output)
     holds = {
-        "language": lambda: text.language_of(text.tokens(out)) == rule.arg,
+        "language": lambda: text.language_of("_tok") == rule.arg,
         "max_sentences": lambda: F.size(text.sentences(out)) <= int(rule.arg),
         "must_match": lambda: out.rlike(rule.arg),
         "must_not_match": lambda: ~out.rlike(rule.arg),
@@ -115,9 +121,8 @@ def rule_holds(rule: Rule, output: str = "outputs", question: str = "question")
 
 def guidelines(df: DataFrame, key: str, name: str, rules: list[Rule], output: str = "outputs", question: str = "question") -> DataFrame:
     """Verdict per row against a short rule list: fails when any rule fails; failing rules are listed."""
-    small_list(rules, 100)
     each = [rule_holds(r, output, question) for r in rules]
-    flags = df.select(key, *[c.alias(f"r{i}") for i, c in enumerate(each, 1)])
+    flags = _tokenised(df, rules, output).select(key, *[c.alias(f"r{i}") for i, c in enumerate(each, 1)])
     failed = F.filter(
         F.array(*[F.when(F.col(f"r{i}") == "no", F.lit(i)) for i in range(1, len(rules) + 1)]), lambda i: i.isNotNull()
     )
@@ -131,7 +136,7 @@ def rule_results(df: DataFrame, key: str, name: str, rules: list[Rule], output:
     rows = F.array(
         *[F.struct(F.lit(i).alias("rule_id"), rule_holds(r, output, question).alias("passed")) for i, r in enumerate(rules, 1)]
     )
-    return df.select(key, F.lit(name).alias("scorer"), F.inline(rows))
+    return _tokenised(df, rules, output).select(key, F.lit(name).alias("scorer"), F.inline(rows))
 
 
 def row_guidelines(df: DataFrame, key: str, rules: str = "guidelines", output: str = "outputs") -> DataFrame:
