@@ -15,7 +15,7 @@ from proofmark.functions import text
 from proofmark.operators.filters import record_id, trace_to_record
 from proofmark.operators.ranking import keep_last
 
-_EXPECTATION_FIELDS = [f.name for f in T.DataType.fromDDL(schemas.EXPECTATIONS).fields]
+_EXPECTATION_FIELDS = schemas.EXPECTATION_FIELDS
 _PAYLOAD = ["inputs", "outputs", "expectations", "tags"]
 
 

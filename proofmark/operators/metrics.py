@@ -194,7 +194,7 @@ def human_feedback_summary(assessments: DataFrame) -> DataFrame:
 
 def feedback_by_source_type(assessments: DataFrame, source_types: list[str]) -> DataFrame:
     """Feedback counts per scorer, one column per source type (types are named, so no extra job)."""
-    return assessments.groupBy("name").pivot("source_type", source_types).agg(F.count("*")).na.fill(0)
+    return assessments.groupBy("name").pivot("source_type", source_types).agg(F.count(F.lit(1))).na.fill(0)
 
 
 def token_usage(log: DataFrame, price_per_1k: float) -> DataFrame:

@@ -6,10 +6,15 @@ MESSAGES = "ARRAY<STRUCT<role: STRING, content: STRING>>"
 CHAT_BODY = f"messages {MESSAGES}"
 
 INPUTS = f"STRUCT<question: STRING, messages: {MESSAGES}>"
-EXPECTATIONS = (
-    "STRUCT<expected_facts: ARRAY<STRING>, expected_response: STRING, expected_tool_calls: INT, "
-    "guidelines: ARRAY<STRING>, expected_retrieved_context: ARRAY<STRUCT<doc_uri: STRING>>>"
-)
+EXPECTATION_TYPES = {
+    "expected_facts": "ARRAY<STRING>",
+    "expected_response": "STRING",
+    "expected_tool_calls": "INT",
+    "guidelines": "ARRAY<STRING>",
+    "expected_retrieved_context": "ARRAY<STRUCT<doc_uri: STRING>>",
+}
+EXPECTATION_FIELDS = list(EXPECTATION_TYPES)
+EXPECTATIONS = "STRUCT<" + ", ".join(f"{name}: {kind}" for name, kind in EXPECTATION_TYPES.items()) + ">"
 TAGS = "MAP<STRING, STRING>"
 
 RECORDS = f"record_id STRING, inputs {INPUTS}, outputs STRING, expectations {EXPECTATIONS}, tags {TAGS}"

@@ -265,3 +265,32 @@ def records_of(df: DataFrame, question: Column, facts: Column, source: str, cate
         ).alias("expectations"),
         F.create_map(F.lit("source"), F.lit(source), F.lit("category"), category).alias("tags"),
     )
+
+
+def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long metrics of one evaluation run per document source; run numbers give the start day."""
+    per_run = labelled_documents(spark, sf_dir).groupBy(F.col("source").alias("run_id")).agg(
+        F.round(F.avg(F.when(F.col("n_chars") >= 300, 1.0).otherwise(0.0)), 6).alias("a"),
+        F.round(F.avg("n_chars"), 6).alias("b"),
+        F.round(F.avg("quality"), 6).alias("c"),
+    )
+    return per_run.select(
+        "run_id",
+        (F.regexp_extract("run_id", r"(\d+)", 1).cast("int") * 7).alias("start_day"),
+        F.expr("stack(3, 'correctness/ratio_pass', a, 'length/mean', b, 'human_correctness/ratio_pass', c) AS (metric, value)"),
+    )
+
+
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One tagged run per document source."""
+    no = F.regexp_extract("run_id", r"(\d+)", 1).cast("int")
+    layer = F.element_at(F.array(*[F.lit(x) for x in ("app", "dataset", "scorers", "gate", "feedback")]), F.pmod(no, F.lit(5)) + 1)
+    return load(spark, sf_dir, "documents", "source").select(F.col("source").alias("run_id")).distinct().select(
+        "run_id",
+        (no * 7).alias("start_day"),
+        F.create_map(
+            F.lit("layer"), layer,
+            F.lit("gate"), F.when(layer.isin("gate", "feedback"), "pre_deploy"),
+            F.lit("environment"), F.when(no < 10, "staging").otherwise("prod"),
+        ).alias("tags"),
+    )
