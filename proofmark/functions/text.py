@@ -51,7 +51,7 @@ def word_count(c) -> Column:
 
 def tokens(c) -> Column:
     """Lower-cased runs of letters and digits."""
-    return F.filter(F.split(F.lower(col(c)), r"[^\p{L}\p{N}]+"), lambda t: t != "")
+    return F.regexp_extract_all(F.lower(col(c)), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
 def sentences(c) -> Column:

@@ -54,24 +54,40 @@ def context_terms(retrieved: DataFrame, k: int) -> DataFrame:
     )
 
 
+SENTENCES_PER_BLOCK = 16
+
+
 def groundedness(answers: DataFrame, retrieved: DataFrame, k: int = 3, threshold: float = GROUNDED) -> DataFrame:
     """Each sentence of the answer is covered by the retrieved text; no verdict when nothing was retrieved.
 
-    A record's context is ``k`` documents at most. Terms absent from the context are found once per
-    answer; a sentence is then checked against that short list only.
+    A record's context is ``k`` documents at most, so the check stays on the row. Terms absent from the
+    context are found once per answer, narrowed per block of sentences, and only then met with each
+    sentence: a set operation hashes its second side anew each time, so that side is kept short.
     """
     joined = answers.select("record_id", "outputs").join(context_terms(retrieved, k), "record_id", "left")
-    split_up = joined.withColumns({"_s": F.transform(text.sentences("outputs"), lambda s: text.content_terms(s))})
-    lacking = split_up.withColumn("_lack", F.array_except(F.flatten("_s"), F.col("context")))
-    covered = F.filter(
-        "_s",
-        lambda terms: (F.size(terms) > 0)
-        & (F.size(F.array_intersect(terms, F.col("_lack"))) > F.size(terms) * F.lit(1 - threshold)),
+    starts = F.filter(F.sequence(F.lit(0), F.size("_s"), F.lit(SENTENCES_PER_BLOCK)), lambda i: i < F.size("_s"))
+    blocks = F.transform(starts, lambda i: F.slice("_s", i + 1, SENTENCES_PER_BLOCK))
+    marked = F.transform(
+        "_b", lambda b: F.struct(b.alias("s"), F.array_intersect(F.flatten(b), F.col("_lack")).alias("lack"))
+    )
+
+    def unsupported(block: Column) -> Column:
+        return F.filter(
+            block["s"],
+            lambda t: (F.size(t) > 0) & (F.size(F.array_intersect(t, block["lack"])) > F.size(t) * F.lit(1 - threshold)),
+        )
+
+    counted = (
+        joined.withColumn("_s", F.transform(text.sentences("outputs"), lambda s: text.content_terms(s)))
+        .withColumns({"_lack": F.array_except(F.flatten("_s"), F.col("context")), "_b": blocks})
+        .withColumn("_m", marked)
+        .withColumn("n_unsupported", F.size(F.flatten(F.transform("_m", unsupported))))
     )
-    return lacking.withColumn("n_unsupported", F.size(covered)).select(
+    known = F.col("context").isNotNull()
+    return counted.select(
         "record_id",
-        F.when(F.col("context").isNotNull(), F.col("n_unsupported")).alias("n_unsupported"),
-        F.when(F.col("context").isNotNull(), text.yes_no(F.col("n_unsupported") == 0)).alias("value"),
+        F.when(known, F.col("n_unsupported")).alias("n_unsupported"),
+        F.when(known, text.yes_no(F.col("n_unsupported") == 0)).alias("value"),
     )
 
 

@@ -51,7 +51,8 @@ def has_citation(output="outputs") -> Score:
 
 def mentions(terms: list[str], output="outputs") -> Score:
     """Whole-word, case-blind product terms; the rationale lists the distinct ones, sorted."""
-    pattern = r"(?i)\b(" + "|".join(small_list(terms)) + r")\b"
+    edge = r"[\p{L}\p{N}_]"
+    pattern = rf"(?iu)(?<!{edge})(" + "|".join(small_list(terms)) + rf")(?!{edge})"
     found = F.array_sort(
         F.array_distinct(
             F.transform(F.regexp_extract_all(text.col(output), F.lit(pattern), F.lit(1)), lambda t: F.lower(t))
