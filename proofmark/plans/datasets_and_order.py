@@ -181,7 +181,7 @@ def annotate_records(spark, sf):
 
 def hybrid_rows(spark, sf):
     """Synthetic rows from documents, production rows from the log, edge rows from the benchmark items."""
-    docs = tables.load(spark, sf, "documents", "doc_id", "text").select(F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("doc_uri"), F.col("text").alias("content"))
+    docs = tables.load_texts(spark, sf, "doc_id", "text").select(F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("doc_uri"), F.col("text").alias("content"))
     synthetic = datasets.synthesize(docs, per_doc=1)
     production = ranking.latest_distinct_questions(tables.inference_log(spark, sf))
     edge = tables.load(spark, sf, "benchmark").withColumn("question", text.first_sentence("text"))
@@ -206,7 +206,7 @@ hybrid AS (
 
 @query("synth_evals", ctes(SYNTH) + "SELECT doc_uri, pick, question, fact FROM synth WHERE pick < 2")
 def synth_evals(spark, sf):
-    docs = tables.load(spark, sf, "documents", "doc_id", "text").select(F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("doc_uri"), F.col("text").alias("content"))
+    docs = tables.load_texts(spark, sf, "doc_id", "text").select(F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("doc_uri"), F.col("text").alias("content"))
     return datasets.synthesize(docs, per_doc=2)
 
 
@@ -243,7 +243,7 @@ def _mask(x: str) -> str:
 
 @query("redact_before_publish", f"SELECT doc_id, {_mask('text')} AS text FROM documents")
 def redact_before_publish(spark, sf):
-    return datasets.redact_records(tables.load(spark, sf, "documents", "doc_id", "text"), "text")
+    return datasets.redact_records(tables.load_texts(spark, sf, "doc_id", "text"), "text")
 
 
 @query("retention", ctes(base.LOG) + """SELECT count(*) FILTER (event_date >= DATE '2024-01-17') AS kept, count(*) FILTER (event_date < DATE '2024-01-17') AS expired FROM log""")

@@ -206,7 +206,7 @@ def judges_seen(spark, sf):
 
 def cited_records(spark, sf):
     """Records citing documents: each answer cites its own document, German ones also the next."""
-    docs = tables.load(spark, sf, "documents", "doc_id", "text", "lang")
+    docs = tables.load_texts(spark, sf, "doc_id", "text", "lang")
     own, following = F.col("doc_id").cast("string"), (F.col("doc_id") + 1).cast("string")
     return docs.where(F.col("lang") != "es").select(
         own.alias("record_id"),
@@ -235,7 +235,7 @@ def coverage_by_doc(spark, sf):
 @query("facts_in_source", ctes(CITED) + """SELECT record_id, doc_uri, fact, CASE WHEN contains(lower(text), lower(fact)) THEN 'yes' ELSE 'no' END AS in_source
 FROM cited JOIN documents ON doc_uri = CAST(doc_id AS VARCHAR)""")
 def facts_in_source(spark, sf):
-    docs = tables.load(spark, sf, "documents", "doc_id", "text").select(F.col("doc_id").cast("string").alias("doc_uri"), F.col("text").alias("content"))
+    docs = tables.load_texts(spark, sf, "doc_id", "text").select(F.col("doc_id").cast("string").alias("doc_uri"), F.col("text").alias("content"))
     return joins.facts_in_source(cited_records(spark, sf), docs)
 
 

@@ -188,7 +188,7 @@ def score_relevance(spark, sf):
 
 def retrieved_neighbours(spark, sf):
     """Retrieval results: each answer is served the next two documents, where they exist."""
-    docs = tables.load(spark, sf, "documents", "doc_id", "text")
+    docs = tables.load_texts(spark, sf, "doc_id", "text")
     return docs.select(
         F.inline(F.array(*[F.struct((F.col("doc_id") - r).cast("string").alias("record_id"), F.lit(r).alias("rank")) for r in (1, 2)])),
         F.col("doc_id").cast("string").alias("doc_id"),
@@ -221,7 +221,7 @@ _REASON = f"coalesce({base.first_pii('text')}, CASE WHEN list_has_any({base.toke
 
 @query("score_safety", f"SELECT doc_id, CASE WHEN {_REASON} IS NULL THEN 'yes' ELSE 'no' END AS value, {_REASON} AS rationale FROM documents")
 def score_safety(spark, sf):
-    return _score_said(tables.load(spark, sf, "documents", "doc_id", "text"), "doc_id", judges.safety("text", LEXICON))
+    return _score_said(tables.load_texts(spark, sf, "doc_id", "text"), "doc_id", judges.safety("text", LEXICON))
 
 
 _RULE_SQL = ctes(base.ANSWERS, f"""checked AS (SELECT record_id, {base.language('outputs')} = 'en' AS r1, len({base.sentences('outputs')}) <= 8 AS r2,
@@ -299,7 +299,7 @@ def render_prompt(spark, sf):
 @query("parse_final_score", """SELECT doc_id, CASE WHEN k BETWEEN 1 AND 5 THEN k END AS score
 FROM (SELECT doc_id, TRY_CAST(nullif(regexp_extract(text || chr(10) || (n_chars % 8) || chr(10), '(\\d+)\\s*$', 1), '') AS INT) AS k FROM documents)""")
 def parse_final_score(spark, sf):
-    docs = tables.load(spark, sf, "documents", "doc_id", "text", "n_chars")
+    docs = tables.load_texts(spark, sf, "doc_id", "text", "n_chars")
     reply = F.concat("text", F.lit("\n"), (F.col("n_chars") % 8).cast("string"), F.lit("\n"))
     return docs.select("doc_id", harness.final_score(reply).alias("score"))
 

@@ -35,7 +35,7 @@ FULL JOIN (SELECT doc_id, CASE WHEN source = 'src1' THEN upper(text) ELSE text E
 WHERE o.doc_id IS NULL OR n.doc_id IS NULL OR o.text <> n.text""",
 )
 def change_feed(spark, sf):
-    docs = tables.load(spark, sf, "documents", "doc_id", "text", "lang", "source")
+    docs = tables.load_texts(spark, sf, "doc_id", "text", "lang", "source")
     old = docs.where(F.col("lang") != "es").select("doc_id", "text")
     new = docs.where(F.col("lang") != "de").select(
         "doc_id", F.when(F.col("source") == "src1", F.upper("text")).otherwise(F.col("text")).alias("text")
@@ -49,7 +49,7 @@ def change_feed(spark, sf):
 FROM (SELECT doc_id, w, unnest(range((len(w) - 1) // 450 + 1)) AS i FROM (SELECT doc_id, {base.words('text')} AS w FROM documents) WHERE len(w) > 0)""",
 )
 def chunk_documents(spark, sf):
-    return files.chunk_documents(tables.load(spark, sf, "documents", "doc_id", "text"), "doc_id", "text", size=500, overlap=50)
+    return files.chunk_documents(tables.load_texts(spark, sf, "doc_id", "text"), "doc_id", "text", size=500, overlap=50)
 
 
 @query("inference_source", ctes(base.LOG) + "SELECT request_id, timestamp_ms, status_code, execution_duration_ms, request, response FROM log")

@@ -14,6 +14,15 @@ def scan(spark: SparkSession, path: str, columns: list[str] | None = None) -> Da
     return df.select(*columns) if columns else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give row-local, heavy work enough tasks when the scan itself has fewer than the session has cores.
+
+    A table of many splits is left as it is: nothing is shuffled at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def scan_named(spark: SparkSession, name: str, columns: list[str] | None = None) -> DataFrame:
     df = spark.table(name)
     return df.select(*[F.col(f"`{c}`") for c in columns]) if columns else df

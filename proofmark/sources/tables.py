@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from proofmark import schemas
 from proofmark.functions import text
 from proofmark.functions.ordered import with_previous
-from proofmark.sources.files import scan
+from proofmark.sources.files import scan, spread
 
 EPOCH_MS = 1704067200000  # 2024-01-01 00:00 UTC
 TURNS_PER_BUCKET = 1024
@@ -22,6 +22,11 @@ def load(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFram
     return scan(spark, f"{sf_dir}/{name}.parquet", list(columns) or None)
 
 
+def load_texts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Documents for work on whole texts, spread over the cores."""
+    return spread(load(spark, sf_dir, "documents", *columns))
+
+
 def turn_pairs(conversations: DataFrame) -> DataFrame:
     """Each assistant turn with the user turn just before it."""
     bucket = F.floor(F.col("turn") / TURNS_PER_BUCKET)
@@ -130,7 +135,7 @@ def tool_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One answered question per document; English answers carry a citation."""
-    docs = load(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
+    docs = load_texts(spark, sf_dir, "doc_id", "text", "lang", "source")
     return docs.select(
         F.col("doc_id").cast("string").alias("record_id"),
         text.first_sentence("text").alias("question"),
