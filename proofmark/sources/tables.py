@@ -86,8 +86,11 @@ def with_span_array(traces_df: DataFrame) -> DataFrame:
 
 
 def inference_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return log_from_events(load(spark, sf_dir, "events"))
+
+
+def log_from_events(events: DataFrame) -> DataFrame:
     """Request log: errors are gateway blocks; ``ts`` stays so that time filters reach the files."""
-    events = load(spark, sf_dir, "events")
     kind = F.col("event_type")
     k = F.regexp_extract("props", r"(\d+)", 1)
     blocked = kind == "error"
@@ -134,8 +137,11 @@ def tool_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return answers_from_documents(load_texts(spark, sf_dir, "doc_id", "text", "lang", "source"))
+
+
+def answers_from_documents(docs: DataFrame) -> DataFrame:
     """One answered question per document; English answers carry a citation."""
-    docs = load_texts(spark, sf_dir, "doc_id", "text", "lang", "source")
     return docs.select(
         F.col("doc_id").cast("string").alias("record_id"),
         text.first_sentence("text").alias("question"),
