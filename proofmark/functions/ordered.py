@@ -1,4 +1,4 @@
-"""Previous-row look-up that does not put a whole key into one task."""
+"""Order within a key, without putting a whole key into one task."""
 
 from __future__ import annotations
 
@@ -26,3 +26,19 @@ def with_previous(df: DataFrame, keys: list[str], order: list[str], bucket: Colu
 
     joined = ranked.join(handed, names, "left").withColumn("_p", F.coalesce("_lag", "_handed"))
     return joined.select(*df.columns, *[F.col(f"_p.{c}").alias(f"{prefix}{c}") for c in carry])
+
+
+def with_position(df: DataFrame, keys: list[str], order: list[str], bucket: Column, into: str = "position") -> DataFrame:
+    """Add each row's position (from 0) in ``order`` within ``keys``.
+
+    Rows are numbered inside ``keys`` + ``bucket``, a coarse, monotone function of the order columns;
+    the rows of earlier buckets are added from per-bucket counts.
+    """
+    names = [*keys, "_bucket"]
+    spread = df.withColumn("_bucket", bucket)
+    sizes = spread.groupBy(*names).agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*names, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(*names).orderBy(*order)
+    numbered = spread.withColumn("_no", F.row_number().over(inside) - 1)
+    return numbered.join(offsets, names, "inner").select(*df.columns, (F.col("_no") + F.col("_before")).alias(into))

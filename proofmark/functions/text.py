@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Stop words per language, in tie-break order of the languages.
@@ -86,19 +86,24 @@ def coverage(wanted, present) -> Column:
     )
 
 
-def language_of(token_array) -> Column:
-    """Language with most stop-word hits; earlier language on ties, ``none`` without a hit."""
-    token_array = col(token_array)
-    hits = {lang: _hits(token_array, stop_words) for lang, stop_words in STOP_WORDS.items()}
-    best = F.greatest(*hits.values())
-    picked = F.when(best == 0, F.lit("none"))
-    for lang, n in hits.items():
-        picked = picked.when(n == best, F.lit(lang))
-    return picked
+def with_language(df: DataFrame, token_col: str, into: str = "language") -> DataFrame:
+    """Add the language with most stop-word hits; earlier language on ties, ``none`` without a hit.
+
+    Steps are columns of their own, so that the tokens are passed over once and every count is made once.
+    """
+    counts = F.array(*[_hits("_stops", stop_words) for stop_words in STOP_WORDS.values()])
+    best = F.array_max("_hits")
+    names = F.array(*[F.lit(lang) for lang in STOP_WORDS])
+    return (
+        df.withColumn("_stops", F.filter(token_col, lambda t: t.isin(ALL_STOP_WORDS)))
+        .withColumn("_hits", counts)
+        .withColumn(into, F.when(best == 0, "none").otherwise(F.element_at(names, F.array_position("_hits", best).cast("int"))))
+        .drop("_stops", "_hits")
+    )
 
 
-def _hits(token_array: Column, stop_words: list[str]) -> Column:
-    return F.size(F.filter(token_array, lambda t: t.isin(stop_words)))
+def _hits(token_col: str, stop_words: list[str]) -> Column:
+    return F.size(F.filter(token_col, lambda t: t.isin(stop_words)))
 
 
 def has_pii(c, kind: str) -> Column:

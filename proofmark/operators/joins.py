@@ -24,7 +24,7 @@ def small_list(values, limit: int = FIXED_LIST_LIMIT):
 
 def bridge_request_trace(log: DataFrame, traces: DataFrame, key: str = "client_request_id") -> DataFrame:
     """Traces whose request id is in the log."""
-    ids = log.select(F.col("request_id").alias(key))
+    ids = log.select(F.col("request_id").alias(key)).distinct()
     return traces.join(ids, key, "left_semi")
 
 
@@ -39,33 +39,27 @@ def resolve_client_request(feedback: DataFrame, traces: DataFrame) -> DataFrame:
 
 
 def unresolved_feedback(feedback: DataFrame, traces: DataFrame) -> DataFrame:
-    return feedback.join(traces.select("client_request_id"), "client_request_id", "left_anti")
+    return feedback.join(traces.select("client_request_id").distinct(), "client_request_id", "left_anti")
 
 
 def attach_feedback(feedback: DataFrame, traces: DataFrame) -> DataFrame:
     """Long assessments from clicks: helpful for each, satisfaction where it was given."""
-    return resolve_client_request(feedback, traces).select(
-        "trace_id",
-        F.explode(
-            F.filter(
-                F.array(
-                    F.struct(
-                        F.lit("user_helpful").alias("name"),
-                        F.col("helpful").cast("string").alias("value"),
-                        F.col("rationale").alias("rationale"),
-                        F.col("user_id").alias("source_id"),
-                    ),
-                    F.struct(
-                        F.lit("satisfaction").alias("name"),
-                        F.col("satisfaction").cast("string").alias("value"),
-                        F.lit(None).cast("string").alias("rationale"),
-                        F.lit("aggregate").alias("source_id"),
-                    ),
-                ),
-                lambda a: a["value"].isNotNull(),
-            )
-        ).alias("a"),
-    ).select("trace_id", "a.*", F.lit("HUMAN").alias("source_type"))
+    rows = F.array(
+        F.struct(
+            F.lit("user_helpful").alias("name"),
+            F.col("helpful").cast("string").alias("value"),
+            F.col("rationale").alias("rationale"),
+            F.col("user_id").alias("source_id"),
+        ),
+        F.struct(
+            F.lit("satisfaction").alias("name"),
+            F.col("satisfaction").cast("string").alias("value"),
+            F.lit(None).cast("string").alias("rationale"),
+            F.lit("aggregate").alias("source_id"),
+        ),
+    )
+    attached = resolve_client_request(feedback, traces).select("trace_id", F.inline(rows))
+    return attached.where(F.col("value").isNotNull()).withColumn("source_type", F.lit("HUMAN"))
 
 
 def human_label_join(scores: DataFrame, labels: DataFrame, key: str) -> DataFrame:
@@ -125,7 +119,7 @@ def missing_monitors(registry: DataFrame, assessments: DataFrame) -> DataFrame:
 
 def uncovered_docs(docs: DataFrame, citations: DataFrame) -> DataFrame:
     """Documents that no question cites."""
-    return docs.join(citations.select("doc_uri"), "doc_uri", "left_anti")
+    return docs.join(citations.select("doc_uri").distinct(), "doc_uri", "left_anti")
 
 
 def facts_in_source(records: DataFrame, docs: DataFrame) -> DataFrame:

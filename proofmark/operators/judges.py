@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from proofmark.functions import text
 from proofmark.operators.joins import small_list
+from proofmark.operators.metrics import any_of
 from proofmark.operators.scorers import Score
 
 # Default thresholds; parameters of every judge, not calibrated.
@@ -116,17 +117,17 @@ class Rule(NamedTuple):
     question_guard: str | None = None
 
 
-def _tokenised(df: DataFrame, rules: list[Rule], output: str) -> DataFrame:
-    """Tokens in a column of their own where a rule needs them: they are read once per language."""
+def _with_language(df: DataFrame, rules: list[Rule], output: str) -> DataFrame:
+    """Add the language, once per row, where a rule asks for it."""
     wanted = any(r.kind == "language" for r in small_list(rules, 100))
-    return df.withColumn("_tok", text.tokens(output)) if wanted else df
+    return text.with_language(df.withColumn("_tok", text.tokens(output)), "_tok", "_lang") if wanted else df
 
 
 def rule_holds(rule: Rule, output: str = "outputs", question: str = "question") -> Column:
-    """yes / no; a guarded rule whose guard is not met has no verdict. Language rules read ``_tok``."""
+    """yes / no; a guarded rule whose guard is not met has no verdict. Language rules read ``_lang``."""
     out = text.col(output)
     holds = {
-        "language": lambda: text.language_of("_tok") == rule.arg,
+        "language": lambda: F.col("_lang") == rule.arg,
         "max_sentences": lambda: F.size(text.sentences(out)) <= int(rule.arg),
         "must_match": lambda: out.rlike(rule.arg),
         "must_not_match": lambda: ~out.rlike(rule.arg),
@@ -138,13 +139,11 @@ def rule_holds(rule: Rule, output: str = "outputs", question: str = "question")
 def guidelines(df: DataFrame, key: str, name: str, rules: list[Rule], output: str = "outputs", question: str = "question") -> DataFrame:
     """Verdict per row against a short rule list: fails when any rule fails; failing rules are listed."""
     each = [rule_holds(r, output, question) for r in rules]
-    flags = _tokenised(df, rules, output).select(key, *[c.alias(f"r{i}") for i, c in enumerate(each, 1)])
-    failed = F.filter(
-        F.array(*[F.when(F.col(f"r{i}") == "no", F.lit(i)) for i in range(1, len(rules) + 1)]), lambda i: i.isNotNull()
-    )
-    return flags.withColumn("_f", failed).select(
-        key, F.lit(name).alias("scorer"), text.yes_no(F.size("_f") == 0).alias("value"), F.array_join(F.col("_f").cast("array<string>"), ",").alias("failed_rules")
-    )
+    flags = _with_language(df, rules, output).select(key, *[c.alias(f"r{i}") for i, c in enumerate(each, 1)])
+    numbers = range(1, len(rules) + 1)
+    broken = any_of([F.coalesce(F.col(f"r{i}") == "no", F.lit(False)) for i in numbers])
+    failed = F.concat_ws(",", *[F.when(F.col(f"r{i}") == "no", F.lit(str(i))) for i in numbers])
+    return flags.select(key, F.lit(name).alias("scorer"), text.yes_no(~broken).alias("value"), failed.alias("failed_rules"))
 
 
 def rule_results(df: DataFrame, key: str, name: str, rules: list[Rule], output: str = "outputs", question: str = "question") -> DataFrame:
@@ -152,17 +151,13 @@ def rule_results(df: DataFrame, key: str, name: str, rules: list[Rule], output:
     rows = F.array(
         *[F.struct(F.lit(i).alias("rule_id"), rule_holds(r, output, question).alias("passed")) for i, r in enumerate(rules, 1)]
     )
-    return _tokenised(df, rules, output).select(key, F.lit(name).alias("scorer"), F.inline(rows))
+    return _with_language(df, rules, output).select(key, F.lit(name).alias("scorer"), F.inline(rows))
 
 
 def row_guidelines(df: DataFrame, key: str, rules: str = "guidelines", output: str = "outputs") -> DataFrame:
     """Rules that live on the row, written ``kind:argument``; fails when any fails."""
-    prepared = df.withColumn("_tok", text.tokens(output)).select(
-        key,
-        rules,
-        F.col(output).alias("_out"),
-        F.size(text.sentences(output)).alias("_n"),
-        text.language_of("_tok").alias("_lang"),
+    prepared = text.with_language(df.withColumn("_tok", text.tokens(output)), "_tok", "_lang").select(
+        key, rules, "_lang", F.col(output).alias("_out"), F.size(text.sentences(output)).alias("_n")
     )
 
     def holds(rule: Column) -> Column:

@@ -57,21 +57,37 @@ def version_progression(run_metrics: DataFrame) -> DataFrame:
     )
 
 
+SLICES = 50  # parts of the rate-limit span; divides every whole number of seconds
+
+
 def rate_limit(log: DataFrame, n: int, seconds: int) -> DataFrame:
-    """Requests beyond ``n`` within the trailing ``seconds`` of the same user.
+    """Requests beyond ``n`` within the trailing ``seconds`` of the same user, both ends included.
 
-    Time is cut into blocks of the span's length and each request is also shown to the next block, so
-    a window group holds two spans of one user at most, however busy the user is overall.
+    A window over a user would put one busy user into one task. Time is cut into slices instead, and
+    a trailing count is the sum of three parts: the request's own slice so far, the whole slices
+    before it (from per-slice counts), and the late end of the slice one span earlier. The last part
+    comes from showing each request to the slice one span later as well, so a window group holds two
+    slices of one user.
     """
     span = seconds * 1000
-    block = F.floor(F.col("timestamp_ms") / span)
-    seen = log.select("request_id", "user_id", "timestamp_ms", block.alias("_home")).withColumn(
-        "_block", F.explode(F.array(F.col("_home"), F.col("_home") + 1))
+    width = span // SLICES
+    slices = log.select("request_id", "user_id", "timestamp_ms", F.floor(F.col("timestamp_ms") / width).alias("_slice"))
+
+    per_slice = slices.groupBy("user_id", "_slice").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy("user_id").orderBy("_slice").rangeBetween(-(SLICES - 1), -1)
+    whole = per_slice.select("user_id", "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_whole"))
+
+    shown = slices.withColumn("_old", F.explode(F.array(F.lit(0), F.lit(1)))).withColumns(
+        {"_slice": F.col("_slice") + F.col("_old") * SLICES, "_at": F.col("timestamp_ms") + F.col("_old") * span}
     )
-    trailing = Window.partitionBy("user_id", "_block").orderBy("timestamp_ms").rangeBetween(-span, 0)
+    group = Window.partitionBy("user_id", "_slice").orderBy("_at")
+    so_far = F.sum(1 - F.col("_old")).over(group.rangeBetween(Window.unboundedPreceding, 0))
+    still_in = F.sum("_old").over(group.rangeBetween(0, Window.unboundedFollowing))
+    counted = shown.withColumn("_ends", so_far + still_in).where(F.col("_old") == 0)
     return (
-        seen.withColumn("n_recent", F.count("*").over(trailing))
-        .where((F.col("_block") == F.col("_home")) & (F.col("n_recent") > n))
+        counted.join(whole, ["user_id", "_slice"], "inner")
+        .withColumn("n_recent", F.col("_ends") + F.col("_whole"))
+        .where(F.col("n_recent") > n)
         .select("request_id", "user_id", "timestamp_ms", "n_recent")
     )
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from proofmark.functions import text
+from proofmark.functions.ordered import with_position
 from proofmark.operators.joins import small_list
 from proofmark.operators.ranking import first_span
 
@@ -161,23 +162,27 @@ def tool_efficiency(traces: DataFrame, spans: DataFrame) -> DataFrame:
 
 
 STEPS_PER_SEGMENT = 1000
+MINUTE_NS = 60_000_000_000
 
 
-def trajectory(spans: DataFrame, segment: Column) -> DataFrame:
-    """Ordered tool path of each trace, in pieces of one segment.
+def trajectory(spans: DataFrame) -> DataFrame:
+    """Ordered tool path of each trace, in segments of at most a thousand steps.
 
-    ``segment`` is a coarse, monotone time bucket: it bounds what one group collects when a single
-    trace holds very many calls. A trace inside one bucket gives one row.
+    The segment bounds what a group collects when a single trace holds very many calls; an ordinary
+    trace gives one row.
     """
-    steps = F.array_sort(F.collect_list(F.struct("start_time_ns", "span_id", "tool")))
-    return spans.where(F.col("span_type") == "TOOL").groupBy("trace_id", segment.alias("segment")).agg(steps.alias("s")).select(
+    calls = spans.where(F.col("span_type") == "TOOL").select("trace_id", "start_time_ns", "span_id", "tool")
+    placed = with_position(calls, ["trace_id"], ["start_time_ns", "span_id"], F.floor(F.col("start_time_ns") / MINUTE_NS))
+    steps = F.array_sort(F.collect_list(F.struct("position", "tool")))
+    segment = F.floor(F.col("position") / STEPS_PER_SEGMENT)
+    return placed.groupBy("trace_id", segment.alias("segment")).agg(steps.alias("s")).select(
         "trace_id", "segment", F.array_join(F.transform("s", lambda x: x["tool"]), ">").alias("path"), F.size("s").alias("n_steps")
     )
 
 
-def score_trajectory(spans: DataFrame, segment: Column, expected: str | None = None) -> DataFrame:
+def score_trajectory(spans: DataFrame, expected: str | None = None) -> DataFrame:
     """The path itself, or how it compares with an expected one."""
-    path = trajectory(spans, segment)
+    path = trajectory(spans)
     return path.withColumn("value", text.yes_no(F.col("path") == expected)) if expected else path
 
 

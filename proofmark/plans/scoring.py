@@ -147,11 +147,10 @@ def score_tool_efficiency(spark, sf):
 
 
 @query("score_trajectory", ctes(base.TOOLS) + """SELECT trace_id, segment, path, n_steps, CASE WHEN path = 'view>click' THEN 'yes' ELSE 'no' END AS value FROM (
-  SELECT trace_id, start_time_ns // 86400000000000 AS segment, string_agg(tool, '>' ORDER BY start_time_ns, span_id) AS path, CAST(count(*) AS INT) AS n_steps
+  SELECT trace_id, CAST(0 AS BIGINT) AS segment, string_agg(tool, '>' ORDER BY start_time_ns, span_id) AS path, CAST(count(*) AS INT) AS n_steps
   FROM tools GROUP BY ALL)""")
 def score_trajectory(spark, sf):
-    day = F.floor(F.col("start_time_ns") / 86_400_000_000_000)
-    return scorers.score_trajectory(tables.tool_spans(spark, sf), day, "view>click")
+    return scorers.score_trajectory(tables.tool_spans(spark, sf), "view>click")
 
 
 @query("score_knowledge_retention", ctes(f"""turns AS (SELECT conv_id, turn, role, {base.terms('text')} AS t FROM conversations WHERE role IN ('user', 'assistant')),

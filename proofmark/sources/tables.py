@@ -11,11 +11,9 @@ from pyspark.sql import functions as F
 
 from proofmark import schemas
 from proofmark.functions import text
-from proofmark.functions.ordered import with_previous
 from proofmark.sources.files import scan, spread
 
 EPOCH_MS = 1704067200000  # 2024-01-01 00:00 UTC
-TURNS_PER_BUCKET = 1024
 
 
 def load(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -28,12 +26,16 @@ def load_texts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 
 def turn_pairs(conversations: DataFrame) -> DataFrame:
-    """Each assistant turn with the user turn just before it."""
-    bucket = F.floor(F.col("turn") / TURNS_PER_BUCKET)
-    paired = with_previous(conversations, ["conv_id"], ["turn"], bucket, ["role", "text"])
-    return paired.where((F.col("role") == "assistant") & (F.col("prev_role") == "user")).select(
-        "conv_id", "turn", F.col("prev_text").alias("question"), F.col("text").alias("answer")
+    """Each assistant turn with the user turn just before it.
+
+    ``turn`` is the position in the conversation, so the pair meets on (conversation, position): a key
+    without repeats, which spreads even one endless conversation evenly. Each text is shuffled once.
+    """
+    asked = conversations.where(F.col("role") == "user").select(
+        "conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("question")
     )
+    answered = conversations.where(F.col("role") == "assistant").select("conv_id", "turn", F.col("text").alias("answer"))
+    return answered.join(asked, ["conv_id", "turn"], "inner").select("conv_id", "turn", "question", "answer")
 
 
 def traces_from_pairs(pairs: DataFrame) -> DataFrame:
@@ -160,8 +162,8 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(load(spark, sf_dir, "labels"), "doc_id", "left")
 
 
-def assessment_array() -> Column:
-    """All feedback on one document as an array, built from the row's own columns."""
+def assessment_slots() -> Column:
+    """All feedback a document can have, as an array with nulls where there is none."""
     n, lang, quality, toxic = F.col("n_chars"), F.col("lang"), F.col("quality"), F.col("toxic")
     labelled = quality.isNotNull()
 
@@ -177,33 +179,32 @@ def assessment_array() -> Column:
         return row if when is None else F.when(when, row)
 
     over = lambda limit: F.when(n >= limit, "yes").otherwise("no")
-    return F.filter(
-        F.array(
-            one(1, "correctness", over(300), "LLM_JUDGE"),
-            one(2, "correctness", over(800), "LLM_JUDGE", lang == "en"),
-            one(3, "suite_correctness", F.when(lang == "de", "").otherwise(over(500)), "LLM_JUDGE", lang.isin("fr", "de")),
-            one(4, "human_correctness", F.when(quality == 1, "yes").otherwise("no"), "HUMAN", labelled),
-            one(5, "user_helpful", F.when(toxic == 0, "true").otherwise("false"), "HUMAN", labelled),
-            one(6, "satisfaction", 2 + 3 * quality - toxic, "HUMAN", labelled & (lang == "en")),
-            one(7, "rubric", F.when(lang != "es", F.least(F.lit(5), 1 + F.floor(n / 1000))), "CODE"),
-            one(8, "safety", F.when(toxic == 1, "no").otherwise("yes"), "CODE"),
-        ),
-        lambda a: a.isNotNull(),
+    return F.array(
+        one(1, "correctness", over(300), "LLM_JUDGE"),
+        one(2, "correctness", over(800), "LLM_JUDGE", lang == "en"),
+        one(3, "suite_correctness", F.when(lang == "de", "").otherwise(over(500)), "LLM_JUDGE", lang.isin("fr", "de")),
+        one(4, "human_correctness", F.when(quality == 1, "yes").otherwise("no"), "HUMAN", labelled),
+        one(5, "user_helpful", F.when(toxic == 0, "true").otherwise("false"), "HUMAN", labelled),
+        one(6, "satisfaction", 2 + 3 * quality - toxic, "HUMAN", labelled & (lang == "en")),
+        one(7, "rubric", F.when(lang != "es", F.least(F.lit(5), 1 + F.floor(n / 1000))), "CODE"),
+        one(8, "safety", F.when(toxic == 1, "no").otherwise("yes"), "CODE"),
     )
 
 
 def assessed_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One trace per document with its feedback nested, as a trace store returns it."""
     return labelled_documents(spark, sf_dir).select(
-        F.col("doc_id").cast("string").alias("trace_id"), "source", "lang", assessment_array().alias("assessments")
+        F.col("doc_id").cast("string").alias("trace_id"), "source", "lang",
+        F.filter(assessment_slots(), lambda a: a.isNotNull()).alias("assessments"),
     )
 
 
 def assessments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same feedback in long form, one row per assessment."""
-    return assessed_traces(spark, sf_dir).select("trace_id", "source", "lang", F.inline("assessments")).withColumn(
-        "value_num", text.as_number("value")
+    rows = labelled_documents(spark, sf_dir).select(
+        F.col("doc_id").cast("string").alias("trace_id"), "source", "lang", F.inline(assessment_slots())
     )
+    return rows.where(F.col("name").isNotNull()).withColumn("value_num", text.as_number("value"))
 
 
 def graded_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
