@@ -25,7 +25,7 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: str = "8", app: str = "proofmark") -> SparkSession:
+def local_session(cores: str = "8", app: str = "proofmark", settings: dict[str, str] | None = None) -> SparkSession:
     """A local session for tests and the benchmark; clusters bring their own session."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -35,7 +35,7 @@ def local_session(cores: str = "8", app: str = "proofmark") -> SparkSession:
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.parquet.enableVectorizedReader", "true")
     )
-    for key, value in ADAPTIVE.items():
+    for key, value in {**ADAPTIVE, **(settings or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -48,14 +48,14 @@ def shared_dir(spark: SparkSession) -> str:
     A cluster names it in ``spark.checkpoint.dir``. Only where that is unset, and the master is a
     local one, is a fresh temporary folder made.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="proofmark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="proofmark-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
