@@ -24,7 +24,7 @@ def with_record_id(records: DataFrame) -> DataFrame:
 
 
 def _digest(prefix: str = "") -> Column:
-    return F.sha2(F.to_json(F.struct(*[F.col(f"{prefix}{c}") for c in _PAYLOAD])), 256)
+    return F.sha2(F.to_json(F.struct(*[F.col(f"{prefix}{c}").alias(c) for c in _PAYLOAD])), 256)
 
 
 def dataset_as_of(change_log: DataFrame, version: int | None = None) -> DataFrame:
