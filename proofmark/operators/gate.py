@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from proofmark import schemas
 from proofmark.operators.joins import small_list
+from proofmark.sources.files import small_table
 
 # Largest value a metric of the scale can reach.
 SCALE_TOP = {"ratio": 1.0, "yes_no": 1.0, "1-5": 5.0}
@@ -24,7 +25,7 @@ def thresholds(spark: SparkSession, floors: dict[str, tuple[float, str]]) -> Dat
         if floor > SCALE_TOP[scale]:
             raise ValueError(f"{metric}: floor {floor} lies above the {scale} scale")
     rows = [(metric, float(floor), scale) for metric, (floor, scale) in floors.items()]
-    return spark.createDataFrame(rows, schemas.THRESHOLDS)
+    return small_table(spark, rows, schemas.THRESHOLDS)
 
 
 def threshold_join(metrics: DataFrame, floors: DataFrame) -> DataFrame:

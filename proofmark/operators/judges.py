@@ -29,7 +29,8 @@ def correctness(df: DataFrame, facts: str = "facts", output: str = "outputs") ->
     Adds ``value`` and the missing facts, sorted. Facts live on the row, so nothing is shuffled.
     """
     low = df.withColumn("_low", F.lower(output))
-    missing = F.filter(facts, lambda f: ~F.contains(F.col("_low"), F.lower(f)))
+    absent = F.filter(facts, lambda f: ~F.contains(F.col("_low"), F.lower(f)))
+    missing = F.when(F.col("_low").isNull(), F.col(facts)).otherwise(absent)
     return (
         low.withColumn("_missing", missing)
         .withColumn("value", F.when(F.size(facts) > 0, text.yes_no(F.size("_missing") == 0)))
@@ -82,7 +83,9 @@ def groundedness(answers: DataFrame, retrieved: DataFrame, k: int = 3, threshold
         joined.withColumn("_s", F.transform(text.sentences("outputs"), lambda s: text.content_terms(s)))
         .withColumns({"_lack": F.array_except(F.flatten("_s"), F.col("context")), "_b": blocks})
         .withColumn("_m", marked)
-        .withColumn("n_unsupported", F.size(F.flatten(F.transform("_m", unsupported))))
+        # The test on ``_lack`` also keeps it a column: used once, it would be moved into the function
+        # above and made anew for each block.
+        .withColumn("n_unsupported", F.when(F.size("_lack") == 0, 0).otherwise(F.size(F.flatten(F.transform("_m", unsupported)))))
     )
     known = F.col("context").isNotNull()
     return counted.select(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from proofmark import schemas
 from proofmark.operators.scorers import Score
+from proofmark.sources.files import small_table
 
 # Fixed value: most scorers one experiment may register.
 MAX_SCORERS = 20
@@ -64,7 +65,7 @@ class Registry:
 
     def to_df(self, spark: SparkSession) -> DataFrame:
         rows = [(e.name, e.scorer, e.version, e.sample_rate, e.filter, e.status) for e in self._entries.values()]
-        return spark.createDataFrame(rows, schemas.REGISTRY)
+        return small_table(spark, rows, schemas.REGISTRY)
 
 
 def list_scorers(registry: DataFrame) -> DataFrame:

@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from proofmark.sources.files import small_table
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 BLOCK_ROWS = 20_000
 TOPK_SCHEMA = "query_id BIGINT, vec_id BIGINT, score DOUBLE"
@@ -130,7 +132,7 @@ def _grid(queries: DataFrame, index: DataFrame, k: int, skip_self: bool, block_r
     q_blocks, v_blocks = blocks(q), blocks(v)
     cut = [(c, q_blocks[c], v_blocks[c]) for c in sorted(q_blocks.keys() & v_blocks.keys())]
     spark = queries.sparkSession
-    plan = F.broadcast(spark.createDataFrame(cut, "cell INT, nq INT, nv INT"))  # one row per cell
+    plan = F.broadcast(small_table(spark, cut, "cell INT, nq INT, nv INT"))  # one row per cell
 
     last = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     q_cut = q.join(plan, "cell").select(

@@ -106,7 +106,7 @@ def test_exact_neighbours_broadcast_and_grid(spark, copies, skip_self):
 def test_hashed_neighbours_do_not_depend_on_block_size_and_find_most(spark, copies):
     queries, index = vectors(spark, copies, "query_id"), vectors(spark, copies, "vec_id")
     whole = found(retrieval.vector_topk_approx(queries, index, 3, 16, tables=12, bits=3))
-    assert whole == found(retrieval.vector_topk_approx(queries, index, 3, 16, tables=12, bits=3, block_rows=11))
+    assert whole == found(retrieval.vector_topk_approx(queries, index, 3, 16, tables=12, bits=3, block_rows=40))
     want = brute_force(copies, copies, 3)
     assert len({w[:2] for w in whole} & {w[:2] for w in want}) > 0.85 * len(want)
 
