@@ -202,7 +202,7 @@ NEIGHBOURS = """neighbours AS (SELECT CAST(d.doc_id - r.rank AS VARCHAR) AS reco
 @query("score_groundedness", ctes(base.ANSWERS, NEIGHBOURS, f"""context AS (SELECT record_id, list_distinct(flatten(list({base.terms('content')}))) AS context FROM neighbours GROUP BY record_id),
 pieces AS (SELECT record_id, {base.terms('s')} AS t FROM (SELECT record_id, unnest({base.sentences('outputs')}) AS s FROM answers)),
 bad AS (SELECT p.record_id, count(*) AS n FROM pieces p JOIN context c ON p.record_id = c.record_id WHERE len(t) > 0 AND len(list_intersect(t, context)) / len(t)::DOUBLE < 0.5 GROUP BY 1)""")
-  + """SELECT a.record_id, CASE WHEN context IS NOT NULL THEN coalesce(n, 0) END AS n_unsupported,
+  + """SELECT a.record_id, CASE WHEN context IS NOT NULL THEN CAST(coalesce(n, 0) AS INT) END AS n_unsupported,
   CASE WHEN context IS NOT NULL THEN CASE WHEN coalesce(n, 0) = 0 THEN 'yes' ELSE 'no' END END AS value
 FROM answers a LEFT JOIN context c ON a.record_id = c.record_id LEFT JOIN bad b ON a.record_id = b.record_id""")
 def score_groundedness(spark, sf):
