@@ -18,37 +18,49 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from proofmark.sources.files import small_table
-
 BROADCAST_BYTES = 64 * 1024 * 1024
 BLOCK_ROWS = 20_000
 TOPK_SCHEMA = "query_id BIGINT, vec_id BIGINT, score DOUBLE"
 
 
 def _unit(vectors) -> np.ndarray:
-    matrix = np.array([np.asarray(v, dtype=np.float64) for v in vectors])
+    matrix = np.stack(list(vectors)).astype(np.float64)
     norms = np.linalg.norm(matrix, axis=1, keepdims=True)
     return matrix / np.where(norms == 0, 1.0, norms)
 
 
-def _best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, index: np.ndarray, k: int, skip_self: bool) -> pd.DataFrame:
-    """The best ``k`` of a block per query, by score, then by lower id."""
-    out_q, out_v, out_s = [], [], []
+Triples = tuple[np.ndarray, np.ndarray, np.ndarray]  # query ids, vector ids, scores
+
+
+def _cut(found: Triples, k: int) -> Triples:
+    """The best ``k`` per query, by score, then by lower id."""
+    q, v, s = found
+    order = np.lexsort((v, -s, q))
+    q, v, s = q[order], v[order], s[order]
+    first = np.concatenate(([True], q[1:] != q[:-1])) if len(q) else np.zeros(0, bool)
+    starts = np.flatnonzero(first)
+    place = np.arange(len(q)) - np.repeat(starts, np.diff(np.append(starts, len(q))))
+    keep = place < k
+    return q[keep], v[keep], s[keep]
+
+
+def _best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, index: np.ndarray, k: int, skip_self: bool) -> Triples:
+    """The best ``k`` of one block of the index for every query, by matrix products."""
+    parts = []
     for start in range(0, len(query_ids), 256):
         part = query_ids[start : start + 256]
         scores = np.round(queries[start : start + 256] @ index.T, 9)
         if skip_self:
             scores[part[:, None] == ids[None, :]] = -np.inf
-        kth = np.partition(scores, max(scores.shape[1] - k, 0), axis=1)[:, max(scores.shape[1] - k, 0)]
-        for row, qid in enumerate(part):
-            near = np.flatnonzero((scores[row] >= kth[row]) & (scores[row] > -np.inf))
-            near = near[np.lexsort((ids[near], -scores[row][near]))][:k]
-            out_q += [qid] * len(near)
-            out_v += ids[near].tolist()
-            out_s += scores[row][near].tolist()
-    return pd.DataFrame({"query_id": out_q, "vec_id": out_v, "score": out_s}).astype(
-        {"query_id": "int64", "vec_id": "int64", "score": "float64"}
-    )
+        nth = max(scores.shape[1] - k, 0)
+        floor = np.partition(scores, nth, axis=1)[:, nth]
+        rows, cols = np.nonzero((scores >= floor[:, None]) & (scores > -np.inf))  # ties at the floor included
+        parts.append(_cut((part[rows], ids[cols], scores[rows, cols]), k))
+    return tuple(np.concatenate(column) for column in zip(*parts))
+
+
+def _frame(found: Triples) -> pd.DataFrame:
+    return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), found)))
 
 
 def _rank(candidates: DataFrame, k: int) -> DataFrame:
@@ -78,11 +90,17 @@ def vector_topk(
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         query_ids, matrix = held.value
+        best: Triples | None = None
         for batch in batches:
             if len(batch) and len(query_ids):
-                yield _best(query_ids, matrix, batch["vec_id"].to_numpy(dtype=np.int64), _unit(batch["embedding"]), k, skip_self)
+                found = _best(query_ids, matrix, batch["vec_id"].to_numpy(dtype=np.int64), _unit(batch["embedding"]), k, skip_self)
+                best = found if best is None else _cut(tuple(np.concatenate(pair) for pair in zip(best, found)), k)
+        if best is not None:
+            yield _frame(best)
 
-    return _rank(index.select("vec_id", "embedding").mapInPandas(score, TOPK_SCHEMA), k)
+    # A task sends out k rows per query whatever it read, so few long tasks shuffle less than many short ones.
+    tasks = 2 * index.sparkSession.sparkContext.defaultParallelism
+    return _rank(index.select("vec_id", "embedding").coalesce(tasks).mapInPandas(score, TOPK_SCHEMA), k)
 
 
 def hash_cells(df: DataFrame, key: str, tables: int, bits: int, dim: int, seed: int) -> DataFrame:
@@ -125,14 +143,15 @@ def _grid(queries: DataFrame, index: DataFrame, k: int, skip_self: bool, block_r
     q = queries.select("query_id", "embedding", F.explode("cells").alias("cell"))
     v = index.select("vec_id", "embedding", F.explode("cells").alias("cell"))
 
-    def blocks(df: DataFrame) -> dict[int, int]:
-        sizes = df.groupBy("cell").agg(F.count("*").alias("n")).collect()
-        return {r.cell: -(-r.n // block_rows) for r in sizes}
-
-    q_blocks, v_blocks = blocks(q), blocks(v)
-    cut = [(c, q_blocks[c], v_blocks[c]) for c in sorted(q_blocks.keys() & v_blocks.keys())]
+    sizes = (
+        q.select("cell", F.lit(1).alias("q"), F.lit(0).alias("v"))
+        .unionByName(v.select("cell", F.lit(0).alias("q"), F.lit(1).alias("v")))
+        .groupBy("cell")
+        .agg(F.sum("q").alias("q"), F.sum("v").alias("v"))
+    )
+    cut = [(r.cell, -(-r.q // block_rows), -(-r.v // block_rows)) for r in sizes.where("q > 0 AND v > 0").collect()]
     spark = queries.sparkSession
-    plan = F.broadcast(small_table(spark, cut, "cell INT, nq INT, nv INT"))  # one row per cell
+    plan = F.broadcast(spark.createDataFrame(cut, "cell INT, nq INT, nv INT"))  # one row per cell
 
     last = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     q_cut = q.join(plan, "cell").select(
@@ -144,10 +163,12 @@ def _grid(queries: DataFrame, index: DataFrame, k: int, skip_self: bool, block_r
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if len(left) == 0 or len(right) == 0:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
-        return _best(
-            left["query_id"].to_numpy(dtype=np.int64), _unit(left["embedding"]),
-            right["vec_id"].to_numpy(dtype=np.int64), _unit(right["embedding"]), k, skip_self,
+            return _frame((np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)))
+        return _frame(
+            _best(
+                left["query_id"].to_numpy(dtype=np.int64), _unit(left["embedding"]),
+                right["vec_id"].to_numpy(dtype=np.int64), _unit(right["embedding"]), k, skip_self,
+            )
         )
 
     on = ["cell", "qb", "vb"]

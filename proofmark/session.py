@@ -33,7 +33,8 @@ def local_session(cores: str = "8", app: str = "proofmark", settings: dict[str,
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", cores)
-        .config("spark.sql.parquet.enableVectorizedReader", "true")
+        # Plans are long chains of Columns; noting a call site for each costs more than running small queries.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in {**ADAPTIVE, **(settings or {})}.items():
         builder = builder.config(key, value)

@@ -327,3 +327,9 @@ def test_expectations_as_text_or_struct(spark):
     as_struct = current.select("record_id", F.struct(F.array(F.lit("f")).alias("expected_facts")).alias("expectations"))
     for labels in (as_text, as_struct):
         assert datasets.annotate_records(current, labels).first().expectations.expected_facts == ["f"]
+
+
+def test_correctness_of_a_missing_answer(spark):
+    df = spark.createDataFrame([("a", None, ["f"]), ("b", "has F in it", ["f"]), ("c", "x", ["f", "e"]), ("d", "x", None), ("e", "x", [])], "record_id string, outputs string, facts array<string>")
+    got = sorted(values(judges.correctness(df), "record_id", "value", "rationale"))
+    assert got == [("a", "no", "f"), ("b", "yes", ""), ("c", "no", "e | f"), ("d", None, None), ("e", None, "")]
