@@ -60,6 +60,9 @@ class Registry:
     def stop(self, name: str) -> Registry:
         return self._change(name, status="stopped")
 
+    def entries(self) -> list[Registration]:
+        return list(self._entries.values())
+
     def running(self) -> list[Registration]:
         return [e for e in self._entries.values() if e.status == "running"]
 

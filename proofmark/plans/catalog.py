@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from proofmark.plans import base, datasets_and_order, joined_and_aggregated, scoring, serving, streams, tables_and_filters  # noqa: F401
+from proofmark.plans import base, datasets_and_order, joined_and_aggregated, scoring, serving, streams, tables_and_filters, written  # noqa: F401
 
 QUERIES = base.QUERIES
 ORACLES = base.ORACLES

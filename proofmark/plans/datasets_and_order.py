@@ -81,21 +81,26 @@ def search_runs(spark, sf):
 # --- datasets -----------------------------------------------------------------------------------
 
 def _records(docs, facts, source):
-    canonical = tables.records_of(
-        docs.withColumn("_facts", facts), F.col("question"), F.col("_facts"), source, F.col("lang"), F.col("record_id")
-    )
-    return datasets.with_record_id(canonical)
+    return tables.records_of(docs.withColumn("_facts", facts), F.col("question"), F.col("_facts"), source, F.col("lang"), F.col("record_id"))
+
+
+def first_records(spark, sf):
+    """All but the Spanish answers; English ones carry a fact."""
+    docs = tables.answers(spark, sf).where(F.col("lang") != "es")
+    return _records(docs, F.when(F.col("lang") == "en", F.array("source")), "synthetic")
+
+
+def second_records(spark, sf):
+    """French and Spanish answers; French ones carry other facts."""
+    docs = tables.answers(spark, sf).where(F.col("lang").isin("fr", "es"))
+    return _records(docs, F.when(F.col("lang") == "fr", F.array("lang", "source")), "edge")
 
 
 def change_log(spark, sf):
-    """Two merges: first all but the Spanish answers, then the French and Spanish ones with other facts."""
-    docs = tables.answers(spark, sf)
-    none = F.lit(None).cast("array<string>")
-    first = _records(docs.where(F.col("lang") != "es"), F.when(F.col("lang") == "en", F.array("source")).otherwise(none), "synthetic")
-    second = _records(docs.where(F.col("lang").isin("fr", "es")), F.when(F.col("lang") == "fr", F.array("lang", "source")).otherwise(none), "edge")
+    """The rows that two merges append, as one lazy plan."""
     empty = spark.createDataFrame([], schemas.CHANGE_LOG)
-    v1 = datasets.merge_records(empty, first, 1, order="outputs")
-    v2 = datasets.merge_records(v1, second, 2, order="outputs")
+    v1 = datasets.merge_records(empty, datasets.with_record_id(first_records(spark, sf)), 1, order="outputs")
+    v2 = datasets.merge_records(v1, datasets.with_record_id(second_records(spark, sf)), 2, order="outputs")
     return v1.unionByName(v2)
 
 
@@ -118,7 +123,7 @@ change_log AS (
 state AS (SELECT * FROM change_log QUALIFY row_number() OVER (PARTITION BY question ORDER BY version DESC) = 1)"""
 
 
-def _flat(df, *more):
+def flat(df, *more):
     return df.select(
         F.col("inputs.question").alias("question"), "outputs", F.array_join("expectations.expected_facts", "|").alias("facts"),
         F.col("tags")["source"].alias("source"), F.col("tags")["category"].alias("category"), *more,
@@ -127,12 +132,12 @@ def _flat(df, *more):
 
 @query("merge_records", ctes(CHANGE_LOG) + "SELECT question, outputs, facts, source, category, version, op FROM change_log")
 def merge_records(spark, sf):
-    return _flat(change_log(spark, sf), "version", "op")
+    return flat(change_log(spark, sf), "version", "op")
 
 
 @query("dataset_as_of", ctes(CHANGE_LOG) + "SELECT question, outputs, facts, source, category, version FROM change_log WHERE version <= 1")
 def dataset_as_of(spark, sf):
-    return _flat(datasets.dataset_as_of(change_log(spark, sf), 1), "version")
+    return flat(datasets.dataset_as_of(change_log(spark, sf), 1), "version")
 
 
 @query("dataset_history", ctes(CHANGE_LOG) + """SELECT version, count(*) AS n_rows, count(*) FILTER (op = 'insert') AS n_inserted, count(*) FILTER (op = 'update') AS n_updated
@@ -212,7 +217,7 @@ def synth_evals(spark, sf):
 
 @query("hybrid_union", ctes(HYBRID) + "SELECT question, facts, source FROM hybrid")
 def hybrid_union(spark, sf):
-    return _flat(hybrid_rows(spark, sf)).select("question", "facts", "source")
+    return flat(hybrid_rows(spark, sf)).select("question", "facts", "source")
 
 
 @query("hybrid_dataset", ctes(HYBRID) + """SELECT question, facts, source, 1 AS version, 'insert' AS op FROM hybrid
@@ -223,7 +228,7 @@ def hybrid_dataset(spark, sf):
         "_rank", F.struct(rank.alias("r"), F.array_join("expectations.expected_facts", "|").alias("f"))
     )
     merged = datasets.merge_records(spark.createDataFrame([], schemas.CHANGE_LOG), rows, 1, order="_rank")
-    return _flat(merged, "version", "op").select("question", "facts", "source", "version", "op")
+    return flat(merged, "version", "op").select("question", "facts", "source", "version", "op")
 
 
 @query("question_diversity", ctes(base.ANSWERS, f"asked AS (SELECT record_id, list_sort({base.terms('question')}) AS t FROM answers)",

@@ -192,7 +192,7 @@ def retrieved_neighbours(spark, sf):
         F.inline(F.array(*[F.struct((F.col("doc_id") - r).cast("string").alias("record_id"), F.lit(r).alias("rank")) for r in (1, 2)])),
         F.col("doc_id").cast("string").alias("doc_id"),
         F.col("text").alias("content"),
-    ).where(F.col("record_id") != "-1").where(F.col("record_id") != "-2")
+    ).where(F.col("record_id").cast("bigint") >= 0)
 
 
 NEIGHBOURS = """neighbours AS (SELECT CAST(d.doc_id - r.rank AS VARCHAR) AS record_id, r.rank, CAST(d.doc_id AS VARCHAR) AS doc_id, d.text AS content

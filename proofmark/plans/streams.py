@@ -75,12 +75,12 @@ def stream_dedupe(spark, sf):
 
 
 @query("stream_feedback_join", """SELECT 'trace-' || d.doc_id AS trace_id, CAST(d.doc_id AS VARCHAR) AS client_request_id, CASE WHEN toxic = 0 THEN 'true' ELSE 'false' END AS helpful
-FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE (l.doc_id % 90) * 60 <= 3600""")
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE quality = 1""")
 def stream_feedback_join(spark, sf):
     at = F.timestamp_millis(F.lit(tables.EPOCH_MS) + F.col("doc_id") * 1000)
     key = F.col("doc_id").cast("string").alias("client_request_id")
     traces = _live(spark, sf, "documents").select(key, F.concat(F.lit("trace-"), F.col("doc_id").cast("string")).alias("trace_id"), at.alias("request_time"))
-    wait = F.make_dt_interval(mins=(F.col("doc_id") % 90).cast("int"))
+    wait = F.make_dt_interval(mins=F.when(F.col("quality") == 1, 30).otherwise(90))  # 90 minutes is past the bound
     clicks = _live(spark, sf, "labels").select(key, (F.col("toxic") == 0).alias("helpful"), (at + wait).alias("clicked_at"))
     joined = jobs.feedback_stream(clicks, traces, "1 hour")
     return _appended(spark, joined.select("trace_id", "client_request_id", F.col("helpful").cast("string").alias("helpful")))
