@@ -82,8 +82,11 @@ def rate_limit(log: DataFrame, n: int, seconds: int) -> DataFrame:
     )
     group = Window.partitionBy("user_id", "_slice").orderBy("_at")
     so_far = F.sum(1 - F.col("_old")).over(group.rangeBetween(Window.unboundedPreceding, 0))
-    still_in = F.sum("_old").over(group.rangeBetween(0, Window.unboundedFollowing))
-    counted = shown.withColumn("_ends", so_far + still_in).where(F.col("_old") == 0)
+    # "From here to the end" as all less those before: Spark grows a frame from the start in one pass,
+    # but makes one that shrinks towards the end anew for every row.
+    all_old = F.sum("_old").over(group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    gone = F.coalesce(F.sum("_old").over(group.rangeBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counted = shown.withColumn("_ends", so_far + all_old - gone).where(F.col("_old") == 0)
     return (
         counted.join(whole, ["user_id", "_slice"], "inner")
         .withColumn("n_recent", F.col("_ends") + F.col("_whole"))
