@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -17,8 +19,23 @@ ADAPTIVE = {
 }
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, wherever it was imported from."""
+    application = spark.sparkContext.applicationId
+    if application not in _SHIPPED:
+        package = Path(__file__).resolve().parent
+        archive = os.path.join(tempfile.mkdtemp(prefix="proofmark-code-"), package.name)
+        # Zipped on the driver only; Spark hands the file to every executor.
+        spark.sparkContext.addPyFile(shutil.make_archive(archive, "zip", package.parent, package.name))
+        _SHIPPED.add(application)
+
+
 def tune(spark: SparkSession) -> SparkSession:
-    """Turn on adaptive execution with skew splitting, and fix the time zone, on a live session."""
+    """Make a live session ready: adaptive execution with skew splitting, UTC, and this package on the workers."""
+    ship(spark)
     for key, value in ADAPTIVE.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
@@ -40,7 +57,7 @@ def local_session(cores: str = "8", app: str = "proofmark", settings: dict[str,
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return tune(spark)
 
 
 def shared_dir(spark: SparkSession) -> str:
