@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from proofmark.llm.common import col, fresh, written
+from proofmark.llm.common import col, written
 
 GAP = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "[#*$%&|<>]"

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from proofmark.llm import bpe, contamination, line_rules, simhash, token_counts
+from proofmark.llm import bpe, contamination, importance, language, line_rules, page_text, sharding, simhash, token_counts
 from proofmark.llm.common import prepare, table
 from proofmark.session import tune
 
@@ -34,6 +35,37 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def fold(name: str, parts: int) -> Column:
+    """The fold of a row: crc32 of its id as text, modulo the number of folds."""
+    return F.pmod(F.crc32(F.col(name).cast("string").cast("binary")), F.lit(parts))
+
+
+SHARDS = [f"shard-{i:03d}" for i in range(100)]
+
+_SHARD_SQL = f"""WITH slots AS (SELECT unnest({sharding.lookup_table(SHARDS)}) AS k, unnest(range({sharding.SLOTS})) AS slot),
+keyed AS (SELECT doc_id, CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8))::UBIGINT % {sharding.SLOTS} AS BIGINT) AS slot FROM documents)
+SELECT doc_id, slot, 'shard-' || lpad(CAST(k AS VARCHAR), 3, '0') AS shard FROM keyed JOIN slots USING (slot)"""
+
+
+@query("op2_sharding", _SHARD_SQL)
+def _sharding(spark, sf_dir):
+    return sharding.place(table(spark, sf_dir, "documents"), SHARDS)
+
+
+@query("op3_language_id")
+def _language_id(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(fold("doc_id", 4) == 2, F.lit(False))
+    models = language.fit(documents, ~held_out, "text", "lang")
+    found = language.identify(documents, models)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
+
+
+@query("op4_page_text")
+def _page_text(spark, sf_dir):
+    return page_text.extract(table(spark, sf_dir, "pages"))
+
+
 @query("op5_token_counts")
 def _token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), WORD_BPE)
@@ -83,6 +115,11 @@ def _simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op9_importance_resampling")
+def _importance_resampling(spark, sf_dir):
+    return importance.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op10_benchmark_decontamination")
 def _benchmark_decontamination(spark, sf_dir):
     return contamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

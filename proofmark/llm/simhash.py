@@ -9,8 +9,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from proofmark.llm.common import add_fields, col, keyed_texts, per_batch, split_bytes, written
+from proofmark.llm.common import col, fresh, per_batch, split_bytes, written
 from proofmark.llm.components import connected_components
 
 SHINGLE = 3
@@ -54,18 +55,17 @@ def _hashes(words: list[bytes], shingle: int) -> np.ndarray:
     return np.fromiter((digest(joined[a:b], SEED) for a, b in pairs), dtype=np.uint64, count=n)
 
 
-def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(id, fp): the fingerprint of every row as a signed 64-bit number. A null text has no words."""
-    source = keyed_texts(df, id_col, text_col)
-
+def fingerprints(df: DataFrame, text_col: str, name: str) -> DataFrame:
+    """The table with the fingerprint of its text as a further column, a signed 64-bit number. A null text has no words."""
     def start():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = np.array([fingerprint(body, shingle) for body in batch.column("body").to_pylist()], dtype=np.uint64)
-            return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found.view(np.int64))], ["id", "fp"])
+            texts = batch.column(batch.schema.names.index(text_col)).to_pylist()
+            found = np.array([fingerprint(t.encode("utf-8", "replace") if isinstance(t, str) else t or b"") for t in texts], dtype=np.uint64)
+            return pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.view(np.int64))], [*batch.schema.names, name])
 
         return step
 
-    return source.mapInArrow(per_batch(start), add_fields(source, ["id"], "fp long"))
+    return df.mapInArrow(per_batch(start), T.StructType([*df.schema.fields, T.StructField(name, T.LongType())]))
 
 
 def links(distinct: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
@@ -91,20 +91,39 @@ def links(distinct: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     )
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, most_bits: int = MOST_BITS) -> DataFrame:
-    """One row per input row: id, fingerprint (16 hex digits), component_id (the smallest id that links reach, its own included).
+def names(prints: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
+    """(fp, named): the first row of the component of a fingerprint, for fingerprints of more than one row or with a link.
 
-    Equal fingerprints are one node of the graph, so copies are never paired. Texts without words, nulls among them,
-    share the fingerprint zero. Repeated rows stay; an empty table gives none; a null id takes part but names no group
-    unless all ids of the group are null.
+    Takes (id, row, fp), row being a number of its own for every row. Rows are ordered by id, nulls last, then by row.
+    Equal fingerprints are one node of the graph, so copies are never paired.
     """
-    prints = written(fingerprints(df, id_col, text_col, shingle), "fingerprints")
-    groups = written(prints.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("rows")), "groups")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row"))
+    groups = written(prints.groupBy("fp").agg(first.alias("least"), F.count("*").alias("rows")), "groups")
     roots = connected_components(links(groups.select("fp"), most_bits))
     rooted = written(roots.join(groups, roots.node == groups.fp).select("fp", "root", "least"), "rooted")
     named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("named")), "root").select("fp", "named")
-    # Fingerprints of one row and without a link name themselves, and stay out of the join.
-    names = groups.join(named, "fp", "left").where("named IS NOT NULL OR rows > 1").select("fp", F.coalesce("named", "least").alias("named"))
-    return prints.join(written(names, "names"), "fp", "left").select(
-        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.coalesce("named", "id").alias("component_id")
+    found = groups.join(named, "fp", "left").where("named IS NOT NULL OR rows > 1")
+    return written(found.select("fp", F.coalesce("named", "least").alias("named")), "names")
+
+
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_bits: int = MOST_BITS) -> DataFrame:
+    """One row per input row: id, fingerprint (16 hex digits), component_id (the smallest id that links reach, its own included).
+
+    Texts without words, nulls among them, share the fingerprint zero. Repeated rows stay; an empty table gives none; a
+    null id takes part, but names a component only if all its ids are null. Other columns are not read.
+    """
+    narrow = df.select(F.monotonically_increasing_id().alias("row"), col(id_col).alias("id"), col(text_col).cast("string").alias("text"))
+    prints = written(fingerprints(narrow, "text", "fp").drop("text"), "fingerprints")
+    return prints.join(names(prints, most_bits), "fp", "left").select(
+        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.coalesce(F.col("named.id"), "id").alias("component_id")
     )
+
+
+def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_bits: int = MOST_BITS) -> DataFrame:
+    """The table with one row of every near-duplicate group: the one of the smallest id, and one only where that id repeats."""
+    row, fp = fresh(df, "row"), fresh(df, "fp")
+    prints = written(fingerprints(df.withColumn(row, F.monotonically_increasing_id()), text_col, fp), "fingerprints")
+    found = names(prints.select(col(id_col).alias("id"), col(row).alias("row"), col(fp).alias("fp")), most_bits)
+    later = found.select(F.col("fp").alias(fp + "_named"), F.col("named.row").alias(row + "_named"))
+    joined = prints.join(later, prints[fp] == F.col(fp + "_named"), "left")
+    return joined.where(F.col(row + "_named").isNull() | (F.col(row + "_named") == col(row))).select(*[col(c) for c in df.columns])
