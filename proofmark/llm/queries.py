@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from proofmark.llm import bpe, contamination, importance, language, line_rules, page_text, sharding, simhash, token_counts
+from proofmark.llm import bpe, contamination, importance, language, line_rules, lm_scoring, page_text, sharding, simhash, token_counts
 from proofmark.llm.common import prepare, table
 from proofmark.session import tune
 
@@ -40,6 +40,15 @@ def fold(name: str, parts: int) -> Column:
     return F.pmod(F.crc32(F.col(name).cast("string").cast("binary")), F.lit(parts))
 
 
+@query("op1_lm_scoring")
+def _lm_scoring(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(fold("doc_id", 7) == 2, F.lit(False))
+    model, base, words = lm_scoring.fit(documents, ~held_out, RANKS, public_tokenizers.PATTERN)
+    found = lm_scoring.score(documents, model, base, words, RANKS, public_tokenizers.PATTERN)
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 SHARDS = [f"shard-{i:03d}" for i in range(100)]
 
 _SHARD_SQL = f"""WITH slots AS (SELECT unnest({sharding.lookup_table(SHARDS)}) AS k, unnest(range({sharding.SLOTS})) AS slot),
