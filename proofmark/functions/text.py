@@ -7,6 +7,7 @@ apart and the regular expression runs once per row.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -126,10 +127,49 @@ def redact(c) -> Column:
     return reduce(mask, PII_PATTERNS, col(c))
 
 
-def contains_any(c, needles: list[str]) -> Column:
-    """Case-insensitive: does the text hold any of a fixed, short list of needles?"""
-    low = F.lower(col(c))
-    return reduce(lambda a, b: a | b, [F.contains(low, F.lit(n.lower())) for n in needles])
+def contains_any(c, needles) -> Column:
+    """Case-insensitive: does the text hold any of the needles? An empty list is never held; null in, null out.
+
+    The list is one constant of the plan, whatever its length.
+    """
+    if not needles:
+        return F.when(col(c).isNotNull(), F.lit(False))
+    return F.exists(listed([n.lower() for n in needles]), lambda n: F.contains(F.lower(col(c)), n)) if len(needles) > FEW else reduce(
+        lambda a, b: a | b, [F.contains(F.lower(col(c)), F.lit(n.lower())) for n in needles]
+    )
+
+
+# Up to here a list is tested entry by entry in generated code; longer ones are walked as one constant array.
+FEW = 32
+
+
+def listed(values) -> Column:
+    """A list of strings as one constant array."""
+    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
+
+
+def uses_term(c, lexicon) -> Column:
+    """Does the text use a word or a phrase of the lexicon, as whole tokens? An empty lexicon is never used; null in, null out."""
+    entries = [tokens_of(w) for w in lexicon]
+    words_, phrases = [e[0] for e in entries if len(e) == 1], [" ".join(e) for e in entries if len(e) > 1]
+    known = col(c).isNotNull()
+    hit = F.lit(False)
+    if words_:
+        hit = F.arrays_overlap(tokens(c), listed(words_))
+    if phrases:
+        line = F.concat(F.lit(" "), F.array_join(tokens(c), " "), F.lit(" "))
+        hit = hit | F.exists(listed([f" {p} " for p in phrases]), lambda p: F.contains(line, p))
+    return F.when(known, hit)
+
+
+def tokens_of(entry: str) -> list[str]:
+    """Tokens of a lexicon entry, by the same rule as `tokens`."""
+    return re.findall(r"[^\W_]+", entry.lower())
+
+
+def quoted(term: str) -> str:
+    """A term as a literal part of a regular expression."""
+    return re.sub(r"([^\w\s])", r"\\\1", term)
 
 
 def as_number(c) -> Column:

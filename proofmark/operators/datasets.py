@@ -30,7 +30,9 @@ def _digest(prefix: str = "") -> Column:
 def dataset_as_of(change_log: DataFrame, version: int | None = None) -> DataFrame:
     """State of every record at a version (the newest by default)."""
     upto = change_log if version is None else change_log.where(F.col("version") <= version)
-    return keep_last(upto, ["record_id"], ["version"])
+    # The newest version of a record is an aggregate over two narrow columns; payloads are read once and never sorted.
+    newest = upto.groupBy("record_id").agg(F.max("version").alias("version"))
+    return upto.join(newest, ["record_id", "version"]).select(*upto.columns)
 
 
 def _one_per_record(records: DataFrame, order: str | None) -> DataFrame:
@@ -85,12 +87,14 @@ def parse_expectations(c: str | Column) -> Column:
 def annotate_records(current: DataFrame, labels: DataFrame) -> DataFrame:
     """Add ground truth to existing records; labels carry expectations as text or as a struct.
 
-    Fields that the label leaves out keep their value.
+    Fields that the label leaves out keep their value. Of several labels for a record the last counts: by ``created_ms``
+    where labels have it, else the greatest as JSON text.
     """
     if isinstance(labels.schema["expectations"].dataType, T.StringType):
         labels = labels.withColumn("expectations", parse_expectations("expectations"))
     named = {f.name for f in labels.schema["expectations"].dataType.fields}
-    truth = labels.select("record_id", F.col("expectations").alias("_truth"))
+    order = "created_ms" if "created_ms" in labels.columns else F.to_json("expectations")
+    truth = keep_last(labels.select("record_id", F.col("expectations").alias("_truth"), F.col(order).alias("_o") if isinstance(order, str) else order.alias("_o")), ["record_id"], ["_o"]).drop("_o")
     fields = [
         F.coalesce(F.col(f"_truth.{f}"), F.col(f"expectations.{f}")).alias(f) if f in named else F.col(f"expectations.{f}").alias(f)
         for f in _EXPECTATION_FIELDS
@@ -272,7 +276,9 @@ class Dataset:
         return dataset_history(self.change_log())
 
     def snapshot(self, tag: str, version: int | None = None) -> str:
-        """Write the state at a version under a tag, once; an existing tag is not overwritten."""
+        """Write the state at a version under a tag, once; a finished tag is not overwritten, one that died half-way is."""
         target = f"{self.path}/snapshots/tag={tag}"
-        self.as_of(version).write.mode("errorifexists").parquet(target)
+        if self._fs.exists(self._dir.suffix(f"/snapshots/tag={tag}/_SUCCESS")):
+            raise ValueError(f"snapshot {tag} exists")
+        self.as_of(version).write.mode("overwrite").parquet(target)
         return target

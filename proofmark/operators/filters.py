@@ -179,7 +179,6 @@ def validate_schema(records: DataFrame) -> DataFrame:
     rules = {
         "null_inputs": F.col("inputs").isNull(),
         "neither_question_nor_messages": F.col("inputs").isNotNull() & question.isNull() & messages.isNull(),
-        "empty_question": question == "",
         "no_expected_facts": F.coalesce(F.size("expectations.expected_facts"), F.lit(0)) <= 0,
         "missing_source_tag": F.col("tags")["source"].isNull(),
     }

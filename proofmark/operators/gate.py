@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proofmark import schemas
-from proofmark.operators.joins import small_list
 from proofmark.sources.files import small_table
 
 # Largest value a metric of the scale can reach.
@@ -21,7 +20,7 @@ class QualityGateFailed(Exception):
 
 def thresholds(spark: SparkSession, floors: dict[str, tuple[float, str]]) -> DataFrame:
     """Floors with their scale; a floor that its scale can never reach is refused."""
-    for metric, (floor, scale) in small_list(floors).items():
+    for metric, (floor, scale) in floors.items():
         if floor > SCALE_TOP[scale]:
             raise ValueError(f"{metric}: floor {floor} lies above the {scale} scale")
     rows = [(metric, float(floor), scale) for metric, (floor, scale) in floors.items()]
@@ -68,7 +67,7 @@ def gate_by_run(run_metrics: DataFrame, floors: dict[str, float]) -> DataFrame:
         observed = F.max(F.when(F.col("metric") == metric, F.col("value")))
         return (observed.isNull() | F.isnan(observed) | (observed < floor)).cast("int")
 
-    n_failures = reduce(lambda a, b: a + b, [failed(m, f) for m, f in small_list(floors).items()])
+    n_failures = reduce(lambda a, b: a + b, [failed(m, f) for m, f in floors.items()])
     return run_metrics.groupBy("run_id").agg(n_failures.alias("n_failures")).withColumn(
         "passed", F.when(F.col("n_failures") == 0, "true").otherwise("false")
     )

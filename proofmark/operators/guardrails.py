@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from proofmark.functions import text
-from proofmark.operators.joins import small_list
 
 
 def detect_pii(df: DataFrame, column: str) -> DataFrame:
@@ -16,18 +15,17 @@ def detect_pii(df: DataFrame, column: str) -> DataFrame:
 
 
 def unsafe(column: str, lexicon: list[str]) -> Column:
-    """Does the text use a word of the lexicon?"""
-    words = F.array(*[F.lit(w.lower()) for w in small_list(lexicon)])
-    return F.arrays_overlap(text.tokens(column), words)
+    """Does the text use a word or a phrase of the lexicon?"""
+    return text.uses_term(column, lexicon)
 
 
 def has_keyword(column: str, keywords: list[str]) -> Column:
-    return text.contains_any(column, small_list(keywords))
+    return text.contains_any(column, keywords)
 
 
 def off_topic(column: str, topics: list[str]) -> Column:
-    """No allowed topic is mentioned."""
-    return ~text.contains_any(column, small_list(topics))
+    """No allowed topic is mentioned. Without a list of topics, nothing is off topic."""
+    return ~text.contains_any(column, topics) if topics else F.lit(False)
 
 
 def apply_guardrails(
@@ -37,7 +35,7 @@ def apply_guardrails(
     lexicon: list[str],
     input_safety: bool = False,
 ) -> DataFrame:
-    """Run the checks in order, input before output; the first that fires names the block.
+    """Run the checks in order, input before output; the first that fires names the block. An empty list is a check not asked for.
 
     Every check is a Column on the row, so this runs in one stateless pass, batch or stream.
     """

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import asyncio
 import inspect
+import uuid
 from collections.abc import Awaitable, Callable, Iterator
 
 import pandas as pd
@@ -16,8 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from proofmark.functions import text
+from proofmark.functions.ordered import with_position
 from proofmark.operators.metrics import scorer_metrics
 from proofmark.operators.scorers import Score, long_scores
+from proofmark.session import scratch_path
 
 
 def _with_column(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
@@ -163,30 +166,35 @@ def evaluate(
     scorers: dict[str, Score],
     jobs: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
     key: str = "record_id",
+    out: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Predict, score and aggregate. Returns long results and long metrics.
 
-    Column scorers share one pass over the answers; each job (answers in, ``key, value`` out) adds
-    its rows by union.
+    Answers and results are written once, under ``out`` or a new folder in the shared checkpoint folder, so the model is
+    called once a row whatever reads them later. Column scorers share one pass over the answers; each job (answers in,
+    ``key, value`` out) adds its rows by union.
     """
-    answered = predict(records) if predict else records
+    out = out or scratch_path(records.sparkSession, f"evaluation-{uuid.uuid4().hex}")
+    answered = _stored(predict(records), f"{out}/answers") if predict else records
     results = long_scores(answered, key, scorers)
     for name, job in (jobs or {}).items():
         rows = job(answered).select(key, F.lit(name).alias("name"), F.col("value").cast("string").alias("value"), F.lit(None).cast("string").alias("rationale"))
         results = results.unionByName(rows)
+    results = _stored(results, f"{out}/results")
     return results, scorer_metrics(results)
 
 
-MESSAGES_PER_SEGMENT = 1000
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    """Written once, read as often as need be; a second run for the same path replaces it."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def chat_history(conversations: DataFrame) -> DataFrame:
-    """Ordered message list per conversation, in segments of at most a thousand turns.
+TURNS_PER_BUCKET = 1000
 
-    The segment bounds what a group collects; an ordinary conversation is one row.
-    """
-    segment = F.floor(F.col("turn") / MESSAGES_PER_SEGMENT)
-    listed = F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content"))))
-    return conversations.groupBy("conv_id", segment.alias("segment")).agg(listed.alias("_m")).select(
-        "conv_id", "segment", F.transform("_m", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))).alias("messages")
-    )
+
+def chat_history(conversations: DataFrame) -> DataFrame:
+    """Ordered messages as rows (conv_id, position, role, content), positions from 0, however long the conversation and
+    whatever its turn numbers leave out."""
+    placed = with_position(conversations.select("conv_id", "turn", "role", "text"), ["conv_id"], ["turn", "role"], F.floor(F.col("turn") / TURNS_PER_BUCKET))
+    return placed.select("conv_id", "position", "role", F.col("text").alias("content"))

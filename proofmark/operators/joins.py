@@ -11,16 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from proofmark.functions import text
-
-FIXED_LIST_LIMIT = 1000
-
-
-def small_list(values, limit: int = FIXED_LIST_LIMIT):
-    """Guard for lists that become literals of the plan: they must be short."""
-    if len(values) > limit:
-        raise ValueError(f"{len(values)} entries; at most {limit} may be written into a plan, use a table join")
-    return values
-
+from proofmark.operators.ranking import keep_last
 
 def bridge_request_trace(log: DataFrame, traces: DataFrame, key: str = "client_request_id") -> DataFrame:
     """Traces whose request id is in the log."""
@@ -63,19 +54,41 @@ def attach_feedback(feedback: DataFrame, traces: DataFrame) -> DataFrame:
 
 
 def human_label_join(scores: DataFrame, labels: DataFrame, key: str) -> DataFrame:
-    return scores.join(labels, key, "inner")
+    """Scores with the label of their record; of repeated labels, the greatest counts."""
+    rest = [c for c in labels.columns if c != key]
+    return scores.join(keep_last(labels, [key], rest), key, "inner")
 
 
 def keyword_documents(question, keyword_map: dict[str, list[str]]) -> Column:
     """Documents of every keyword found in the question, in map order, without repeats."""
-    small_list(keyword_map)
-    low = F.lower(text.col(question))
-    none = F.array().cast("array<string>")
-    found = [
-        F.when(F.contains(low, F.lit(word)), F.array(*[F.lit(d) for d in docs])).otherwise(none)
-        for word, docs in keyword_map.items()
-    ]
-    return F.array_distinct(F.flatten(F.array(*found)))
+    if not keyword_map:
+        return F.array().cast("array<string>")
+    entries = F.array(*[F.struct(F.lit(word).alias("word"), text.listed(docs).alias("docs")) for word, docs in keyword_map.items()])
+    held = F.filter(entries, lambda e: F.contains(F.lower(text.col(question)), e["word"]))
+    return F.coalesce(F.array_distinct(F.flatten(F.transform(held, lambda e: e["docs"]))), F.array().cast("array<string>"))
+
+
+def phrase_hits(df: DataFrame, key: str, column: str, phrases: DataFrame, phrase: str = "phrase") -> DataFrame:
+    """(key, phrase): phrases of a table that a text uses as whole tokens, each once.
+
+    For lists too long for a plan. Phrases meet texts by an equi-join on token n-grams: texts give their distinct runs of
+    tokens of the lengths that the table has, so nothing is compared with everything. Lengths are few: one small aggregate.
+    """
+    terms = phrases.select(F.col(phrase).alias("phrase"), text.tokens(F.col(phrase)).alias("_t")).where(F.size("_t") > 0)
+    terms = terms.select("phrase", F.array_join("_t", " ").alias("_gram"), F.size("_t").alias("_n")).distinct()
+    sizes = sorted(r[0] for r in terms.select("_n").distinct().collect())
+    if not sizes:
+        return df.select(key, F.lit(None).cast("string").alias("phrase")).where(F.lit(False))
+    with_tokens = df.select(key, text.tokens(column).alias("_w"))
+    runs = F.array_distinct(F.flatten(F.array(*[_token_runs(n) for n in sizes])))
+    return with_tokens.select(key, F.explode(runs).alias("_gram")).join(terms, "_gram").select(key, "phrase").distinct()
+
+
+def _token_runs(n: int) -> Column:
+    if n == 1:
+        return F.col("_w")
+    starts = F.filter(F.sequence(F.lit(1), F.greatest(F.size("_w"), F.lit(1))), lambda i: i + (n - 1) <= F.size("_w"))
+    return F.transform(starts, lambda i: F.array_join(F.slice("_w", i, n), " "))
 
 
 def keyword_expected_docs(records: DataFrame, keyword_map: dict[str, list[str]], question: str = "question") -> DataFrame:
@@ -91,10 +104,10 @@ def keyword_retrieve(records: DataFrame, docs: dict[str, str], question: str = "
 
 
 def compare_runs_rows(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Row-by-row comparison of two runs on the same record and scorer."""
+    """Row-by-row comparison of two runs on the same record and scorer; of repeated scores, the greatest counts."""
     on = ["record_id", "scorer"]
-    left = a.select(*on, F.col("score").alias("score_a"))
-    right = b.select(*on, F.col("score").alias("score_b"))
+    left = a.groupBy(*on).agg(F.max("score").alias("score_a"))
+    right = b.groupBy(*on).agg(F.max("score").alias("score_b"))
     return left.join(right, on, "inner").withColumn("delta", F.col("score_b") - F.col("score_a"))
 
 
@@ -131,9 +144,8 @@ def facts_in_source(records: DataFrame, docs: DataFrame) -> DataFrame:
         "record_id", "fact", F.explode("uris").alias("doc_uri")
     )
     found = F.contains(F.lower("content"), F.lower("fact"))
-    return facts.join(docs.select("doc_uri", "content"), "doc_uri", "inner").select(
-        "record_id", "doc_uri", "fact", text.yes_no(found).alias("in_source")
-    )
+    sources = keep_last(docs.select("doc_uri", "content"), ["doc_uri"], ["content"])
+    return facts.join(sources, "doc_uri", "inner").select("record_id", "doc_uri", "fact", text.yes_no(found).alias("in_source")).distinct()
 
 
 def changes(old: DataFrame, new: DataFrame, key: str) -> DataFrame:

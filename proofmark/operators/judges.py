@@ -14,8 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from proofmark.functions import text
-from proofmark.operators.joins import small_list
-from proofmark.operators.metrics import any_of
+from proofmark.operators.ranking import keep_last
 from proofmark.operators.scorers import Score
 
 # Default thresholds; parameters of every judge, not calibrated.
@@ -46,11 +45,16 @@ def relevance(df: DataFrame, question: str = "question", output: str = "outputs"
     return share.withColumn("value", text.yes_no(F.col("coverage") >= threshold)).drop("_q", "_a")
 
 
-def context_terms(retrieved: DataFrame, k: int) -> DataFrame:
-    """Distinct terms of the at most ``k`` documents retrieved per record."""
+def context_terms(retrieved: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """Distinct terms of the at most ``k`` documents retrieved per record.
+
+    Terms are made once per document; a document's text never leaves its row.
+    """
+    known = keep_last(docs.select("doc_id", text.content_terms("content").alias("_t")), ["doc_id"], ["_t"])
     return (
         retrieved.where(F.col("rank") <= k)
-        .select("record_id", text.content_terms("content").alias("_t"))
+        .select("record_id", "doc_id")
+        .join(known, "doc_id")
         .groupBy("record_id")
         .agg(F.array_distinct(F.flatten(F.collect_list("_t"))).alias("context"))
     )
@@ -59,14 +63,14 @@ def context_terms(retrieved: DataFrame, k: int) -> DataFrame:
 SENTENCES_PER_BLOCK = 16
 
 
-def groundedness(answers: DataFrame, retrieved: DataFrame, k: int = 3, threshold: float = GROUNDED) -> DataFrame:
+def groundedness(answers: DataFrame, retrieved: DataFrame, docs: DataFrame, k: int = 3, threshold: float = GROUNDED) -> DataFrame:
     """Each sentence of the answer is covered by the retrieved text; no verdict when nothing was retrieved.
 
     A record's context is ``k`` documents at most, so the check stays on the row. Terms absent from the
     context are found once per answer, narrowed per block of sentences, and only then met with each
     sentence: a set operation hashes its second side anew each time, so that side is kept short.
     """
-    joined = answers.select("record_id", "outputs").join(context_terms(retrieved, k), "record_id", "left")
+    joined = answers.select("record_id", "outputs").join(context_terms(retrieved, docs, k), "record_id", "left")
     starts = F.filter(F.sequence(F.lit(0), F.size("_s"), F.lit(SENTENCES_PER_BLOCK)), lambda i: i < F.size("_s"))
     blocks = F.transform(starts, lambda i: F.slice("_s", i + 1, SENTENCES_PER_BLOCK))
     marked = F.transform(
@@ -95,10 +99,11 @@ def groundedness(answers: DataFrame, retrieved: DataFrame, k: int = 3, threshold
     )
 
 
-def retrieval_relevance(questions: DataFrame, retrieved: DataFrame, threshold: float = RELEVANT) -> DataFrame:
+def retrieval_relevance(questions: DataFrame, retrieved: DataFrame, docs: DataFrame, threshold: float = RELEVANT) -> DataFrame:
     """Share of retrieved documents that cover enough of the question."""
     asked = questions.select("record_id", text.content_terms("question").alias("_q"))
-    found = retrieved.select("record_id", text.tokens("content").alias("_d"))
+    known = keep_last(docs.select("doc_id", F.array_distinct(text.tokens("content")).alias("_d")), ["doc_id"], ["_d"])
+    found = retrieved.select("record_id", "doc_id").join(known, "doc_id").select("record_id", "_d")
     hit = F.when(F.coalesce(text.coverage("_q", "_d"), F.lit(0.0)) >= threshold, 1.0).otherwise(0.0)
     return found.join(asked, "record_id", "inner").select("record_id", hit.alias("hit")).groupBy("record_id").agg(
         F.count("*").alias("n_docs"), F.round(F.avg("hit"), 6).alias("relevance")
@@ -106,10 +111,9 @@ def retrieval_relevance(questions: DataFrame, retrieved: DataFrame, threshold: f
 
 
 def safety(output: str, lexicon: list[str]) -> Score:
-    """No word of the lexicon and no personal data; the rationale names what was found first."""
-    words = F.array(*[F.lit(w.lower()) for w in small_list(lexicon)])
-    reason = F.coalesce(text.first_pii_kind(output), F.when(F.arrays_overlap(text.tokens(output), words), F.lit("lexicon")))
-    return Score(text.yes_no(reason.isNull()), reason)
+    """No word or phrase of the lexicon and no personal data; the rationale names what was found first. No text, no verdict."""
+    reason = F.coalesce(text.first_pii_kind(output), F.when(text.uses_term(output, lexicon), F.lit("lexicon")))
+    return Score(F.when(text.col(output).isNotNull(), text.yes_no(reason.isNull())), reason)
 
 
 class Rule(NamedTuple):
@@ -120,63 +124,78 @@ class Rule(NamedTuple):
     question_guard: str | None = None
 
 
-def _with_language(df: DataFrame, rules: list[Rule], output: str) -> DataFrame:
+def _with_language(df: DataFrame, output: str, wanted: bool = True) -> DataFrame:
     """Add the language, once per row, where a rule asks for it."""
-    wanted = any(r.kind == "language" for r in small_list(rules, 100))
     return text.with_language(df.withColumn("_tok", text.tokens(output)), "_tok", "_lang") if wanted else df
 
 
+def _holds(kind: Column, arg: Column, out: Column, lang: Column, n_sentences: Column) -> Column:
+    """Does a rule hold? The one engine behind listed rules and rules on the row. An unknown kind, or an argument that it
+    cannot read, gives null; so does a missing text."""
+    return (
+        F.when(kind == "language", lang == arg)
+        .when(kind == "max_sentences", n_sentences <= arg.try_cast("int"))
+        .when(kind == "must_match", F.rlike(out, arg))
+        .when(kind == "must_not_match", ~F.rlike(out, arg))
+        .when(kind == "must_contain", F.contains(F.lower(out), F.lower(arg)))
+        .when(kind == "must_not_contain", ~F.contains(F.lower(out), F.lower(arg)))
+    )
+
+
 def rule_holds(rule: Rule, output: str = "outputs", question: str = "question") -> Column:
     """yes / no; a guarded rule whose guard is not met has no verdict. Language rules read ``_lang``."""
     out = text.col(output)
-    holds = {
-        "language": lambda: F.col("_lang") == rule.arg,
-        "max_sentences": lambda: F.size(text.sentences(out)) <= int(rule.arg),
-        "must_match": lambda: out.rlike(rule.arg),
-        "must_not_match": lambda: ~out.rlike(rule.arg),
-    }[rule.kind]()
-    verdict = text.yes_no(holds)
+    verdict = text.yes_no(_holds(F.lit(rule.kind), F.lit(rule.arg), out, F.col("_lang") if rule.kind == "language" else F.lit(None).cast("string"), F.size(text.sentences(out))))
     return F.when(text.col(question).rlike(rule.question_guard), verdict) if rule.question_guard else verdict
 
 
 def guidelines(df: DataFrame, key: str, name: str, rules: list[Rule], output: str = "outputs", question: str = "question") -> DataFrame:
-    """Verdict per row against a short rule list: fails when any rule fails; failing rules are listed."""
-    each = [rule_holds(r, output, question) for r in rules]
-    flags = _with_language(df, rules, output).select(key, *[c.alias(f"r{i}") for i, c in enumerate(each, 1)])
-    numbers = range(1, len(rules) + 1)
-    broken = any_of([F.coalesce(F.col(f"r{i}") == "no", F.lit(False)) for i in numbers])
-    failed = F.concat_ws(",", *[F.when(F.col(f"r{i}") == "no", F.lit(str(i))) for i in numbers])
-    return flags.select(key, F.lit(name).alias("scorer"), text.yes_no(~broken).alias("value"), failed.alias("failed_rules"))
+    """Verdict per row against a rule list: fails when any rule fails; failing rules are listed. No text, no verdict."""
+    results = rule_results(df.withColumn("_given", text.col(output).isNotNull()), key, name, rules, output, question, carry=["_given"], as_array=True)
+    failed = F.transform(F.filter("_rules", lambda r: F.coalesce(r["passed"] == "no", F.lit(False))), lambda r: r["rule_id"].cast("string"))
+    return results.withColumn("_failed", failed).select(
+        key, F.lit(name).alias("scorer"), F.when(F.col("_given"), text.yes_no(F.size("_failed") == 0)).alias("value"), F.array_join("_failed", ",").alias("failed_rules")
+    )
 
 
-def rule_results(df: DataFrame, key: str, name: str, rules: list[Rule], output: str = "outputs", question: str = "question") -> DataFrame:
-    """One row per record and rule."""
+def rule_results(df: DataFrame, key: str, name: str, rules: list[Rule], output: str = "outputs", question: str = "question",
+                 carry: list[str] | None = None, as_array: bool = False) -> DataFrame:
+    """One row per record and rule, or one array per record."""
     rows = F.array(
         *[F.struct(F.lit(i).alias("rule_id"), rule_holds(r, output, question).alias("passed")) for i, r in enumerate(rules, 1)]
-    )
-    return _with_language(df, rules, output).select(key, F.lit(name).alias("scorer"), F.inline(rows))
+    ).cast("array<struct<rule_id:int,passed:string>>")
+    prepared = _with_language(df, output, any(r.kind == "language" for r in rules))
+    return prepared.select(key, *(carry or []), F.lit(name).alias("scorer"), rows.alias("_rules") if as_array else F.inline(rows))
 
 
 def row_guidelines(df: DataFrame, key: str, rules: str = "guidelines", output: str = "outputs") -> DataFrame:
-    """Rules that live on the row, written ``kind:argument``; fails when any fails."""
-    prepared = text.with_language(df.withColumn("_tok", text.tokens(output)), "_tok", "_lang").select(
+    """Rules that live on the row, written ``kind:argument``; fails when any fails.
+
+    A rule of an unknown kind, or with an argument its kind cannot read, is listed in ``unknown_rules``; a row with one has
+    no verdict. Neither has a row without rules or without text.
+    """
+    prepared = _with_language(df, output).select(
         key, rules, "_lang", F.col(output).alias("_out"), F.size(text.sentences(output)).alias("_n")
     )
-
-    def holds(rule: Column) -> Column:
-        kind, arg = F.substring_index(rule, ":", 1), F.regexp_replace(rule, r"^[^:]*:", "")
-        return (
-            F.when(kind == "language", F.col("_lang") == arg)
-            .when(kind == "max_sentences", F.col("_n") <= arg.try_cast("int"))
-            .when(kind == "must_contain", F.contains(F.lower("_out"), F.lower(arg)))
-            .when(kind == "must_not_contain", ~F.contains(F.lower("_out"), F.lower(arg)))
-        )
-
-    failed = F.filter(rules, lambda r: ~F.coalesce(holds(r), F.lit(True)))
-    return prepared.withColumn("_f", failed).select(
+    marked = F.transform(
+        rules,
+        lambda r: F.struct(
+            r.alias("rule"),
+            _holds(F.substring_index(r, ":", 1), F.regexp_replace(r, r"^[^:]*:", ""), F.col("_out"), F.col("_lang"), F.col("_n")).alias("held"),
+        ),
+    )
+    given = F.col("_out").isNotNull()
+    listed = prepared.withColumn("_m", marked).withColumns(
+        {
+            "_f": F.transform(F.filter("_m", lambda m: ~F.coalesce(m["held"], F.lit(True))), lambda m: m["rule"]),
+            "_u": F.transform(F.filter("_m", lambda m: m["held"].isNull() & given), lambda m: m["rule"]),
+        }
+    )
+    return listed.select(
         key,
-        F.when(F.size(rules) > 0, text.yes_no(F.size("_f") == 0)).alias("value"),
+        F.when(given & (F.size(rules) > 0) & (F.size("_u") == 0), text.yes_no(F.size("_f") == 0)).alias("value"),
         F.array_join("_f", ",").alias("failed_rules"),
+        F.array_join("_u", ",").alias("unknown_rules"),
     )
 
 
@@ -190,7 +209,8 @@ class Override(NamedTuple):
 def rubric(base_coverage: Column, overrides: list[Override]) -> Column:
     """1-5 grade: coverage bands, then the caps; null coverage gives no grade."""
     base = F.least(F.lit(5), 1 + F.floor(base_coverage * 4)).cast("int")
-    return reduce(lambda score, o: F.when(o.applies, F.least(score, F.lit(o.cap))).otherwise(score), overrides, base)
+    capped = reduce(lambda score, o: F.when(o.applies, F.least(score, F.lit(o.cap))).otherwise(score), overrides, base)
+    return F.when(base_coverage.isNotNull(), capped)
 
 
 def knowledge_retention(conversations: DataFrame) -> DataFrame:

@@ -60,25 +60,34 @@ def version_progression(run_metrics: DataFrame) -> DataFrame:
 SLICES = 50  # parts of the rate-limit span; divides every whole number of seconds
 
 
-def rate_limit(log: DataFrame, n: int, seconds: int) -> DataFrame:
+SLICES_PER_BLOCK = 20 * SLICES
+
+
+def rate_limit(log: DataFrame, n: int, seconds: int, slices_per_span: int = SLICES) -> DataFrame:
     """Requests beyond ``n`` within the trailing ``seconds`` of the same user, both ends included.
 
     A window over a user would put one busy user into one task. Time is cut into slices instead, and
     a trailing count is the sum of three parts: the request's own slice so far, the whole slices
     before it (from per-slice counts), and the late end of the slice one span earlier. The last part
     comes from showing each request to the slice one span later as well, so a window group holds two
-    slices of one user.
+    slices of one user; a caller with busier users takes more slices. Per-slice counts are summed within
+    blocks of slices, the end of each block being shown to the next, so they are spread by time too.
     """
     span = seconds * 1000
-    width = span // SLICES
+    count, width = slices_per_span, span // slices_per_span
+    length = count * (SLICES_PER_BLOCK // SLICES)
     slices = log.select("request_id", "user_id", "timestamp_ms", F.floor(F.col("timestamp_ms") / width).alias("_slice"))
 
     per_slice = slices.groupBy("user_id", "_slice").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("user_id").orderBy("_slice").rangeBetween(-(SLICES - 1), -1)
-    whole = per_slice.select("user_id", "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_whole"))
+    block = F.floor(F.col("_slice") / length)
+    late = F.col("_slice") >= (block + 1) * length - count
+    blocks = per_slice.withColumn("_block", F.explode(F.when(late, F.array(block, block + 1)).otherwise(F.array(block))))
+    before = Window.partitionBy("user_id", "_block").orderBy("_slice").rangeBetween(-(count - 1), -1)
+    summed = blocks.withColumn("_whole", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    whole = summed.where(F.col("_block") == block).select("user_id", "_slice", "_whole")
 
     shown = slices.withColumn("_old", F.explode(F.array(F.lit(0), F.lit(1)))).withColumns(
-        {"_slice": F.col("_slice") + F.col("_old") * SLICES, "_at": F.col("timestamp_ms") + F.col("_old") * span}
+        {"_slice": F.col("_slice") + F.col("_old") * count, "_at": F.col("timestamp_ms") + F.col("_old") * span}
     )
     group = Window.partitionBy("user_id", "_slice").orderBy("_at")
     so_far = F.sum(1 - F.col("_old")).over(group.rangeBetween(Window.unboundedPreceding, 0))

@@ -1,12 +1,14 @@
 """Nearest-neighbour retrieval without a cross join.
 
 Both variants score blocks of vectors as one matrix product inside a task and let only the best
-``k`` of each query leave the block. What varies is how blocks meet:
-
-* ``vector_topk`` sends the queries to every index partition while they are few, which is checked;
-  beyond that, queries and index are cut into bounded blocks that meet in a grid.
-* ``vector_topk_approx`` meets only within cells of random-hyperplane hash tables. A hot cell, such
-  as one full of copies, is cut into bounded blocks by the same grid, so no task holds it whole.
+``k`` of each query leave the block. Queries and index are cut into bounded blocks that meet in a
+grid, by the same plan at every size. What varies is which blocks meet:
+
+* ``vector_topk``: every query block every index block, queries x index by nature.
+* ``vector_topk_approx``: only within cells of random-hyperplane hash tables. The number of cells
+  follows the index, so a query meets about as many vectors however large it is; a query also looks
+  into the neighbouring cells, one sign apart. A hot cell, such as one full of copies, is cut into
+  bounded blocks by the same grid, so no task holds it whole.
 """
 
 from __future__ import annotations
@@ -18,7 +20,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BROADCAST_BYTES = 64 * 1024 * 1024
 BLOCK_ROWS = 20_000
 TOPK_SCHEMA = "query_id BIGINT, vec_id BIGINT, score DOUBLE"
 
@@ -68,66 +69,56 @@ def _rank(candidates: DataFrame, k: int) -> DataFrame:
     return candidates.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def fits_broadcast(queries: DataFrame, dim: int, limit: int = BROADCAST_BYTES) -> bool:
-    """Do the query vectors fit the broadcast limit? Reads at most one row more than that."""
-    most = limit // (8 * dim)
-    return queries.limit(most + 1).count() <= most
-
-
 def vector_topk(
-    queries: DataFrame, index: DataFrame, k: int = 3, dim: int = 64, skip_self: bool = False,
-    broadcast_bytes: int = BROADCAST_BYTES, block_rows: int = BLOCK_ROWS,
+    queries: DataFrame, index: DataFrame, k: int = 3, dim: int = 64, skip_self: bool = False, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Exact ``k`` nearest by cosine. Frames hold ``query_id, embedding`` and ``vec_id, embedding``."""
-    if not fits_broadcast(queries, dim, broadcast_bytes):
-        one_cell = F.array(F.lit(0))
-        return _rank(_grid(queries.withColumn("cells", one_cell), index.withColumn("cells", one_cell), k, skip_self, block_rows), k)
+    one_cell = F.array(F.lit(0))
+    return _rank(_grid(queries.withColumn("cells", one_cell), index.withColumn("cells", one_cell), k, skip_self, block_rows), k)
 
-    known = queries.select("query_id", "embedding").toPandas()  # bounded by the check above
-    held = queries.sparkSession.sparkContext.broadcast(
-        (known["query_id"].to_numpy(dtype=np.int64), _unit(known["embedding"]) if len(known) else np.zeros((0, dim)))
-    )
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        query_ids, matrix = held.value
-        best: Triples | None = None
-        for batch in batches:
-            if len(batch) and len(query_ids):
-                found = _best(query_ids, matrix, batch["vec_id"].to_numpy(dtype=np.int64), _unit(batch["embedding"]), k, skip_self)
-                best = found if best is None else _cut(tuple(np.concatenate(pair) for pair in zip(best, found)), k)
-        if best is not None:
-            yield _frame(best)
+TABLES = 6
+MOST_BITS = 12
+PER_CELL = 64
+
+
+def planes(dim: int, tables: int, seed: int) -> np.ndarray:
+    """Random hyperplanes, MOST_BITS a table, in three decimals so that they can be written down."""
+    return np.random.default_rng(seed).standard_normal((dim, tables * MOST_BITS)).round(3)
+
 
-    # A task sends out k rows per query whatever it read, so few long tasks shuffle less than many short ones.
-    tasks = 2 * index.sparkSession.sparkContext.defaultParallelism
-    return _rank(index.select("vec_id", "embedding").coalesce(tasks).mapInPandas(score, TOPK_SCHEMA), k)
+def bits_for(rows: int, per_cell: int = PER_CELL) -> int:
+    """Signs a table looks at, so that a cell of an even index holds about ``per_cell`` vectors."""
+    return max(3, min(MOST_BITS, int(np.ceil(np.log2(max(rows, 1) / per_cell)))))
 
 
-def hash_cells(df: DataFrame, key: str, tables: int, bits: int, dim: int, seed: int) -> DataFrame:
-    """Add ``cells``: per hash table, the sign pattern against random hyperplanes."""
-    planes = np.random.default_rng(seed).standard_normal((dim, tables * bits))
+def hash_cells(df: DataFrame, key: str, tables: int, bits: int, dim: int, seed: int, probe: bool = False) -> DataFrame:
+    """Add ``cells``: per hash table, the sign pattern against random hyperplanes; with ``probe``, those one sign apart as well."""
+    chosen = planes(dim, tables, seed).reshape(dim, tables, MOST_BITS)[:, :, :bits].reshape(dim, tables * bits)
     weights = 1 << np.arange(bits)
+    flips = np.concatenate(([0], weights)) if probe else np.zeros(1, dtype=np.int64)
 
     def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch) == 0:
                 continue
-            signs = (np.round(_unit(batch["embedding"]) @ planes, 9) >= 0).reshape(len(batch), tables, bits)
-            codes = (signs * weights).sum(axis=2) + np.arange(tables) * (1 << bits)
-            yield batch.assign(cells=list(codes.astype(np.int32)))
+            signs = (np.round(_unit(batch["embedding"]) @ chosen, 9) >= 0).reshape(len(batch), tables, bits)
+            codes = ((signs * weights).sum(axis=2)[:, :, None] ^ flips) + (np.arange(tables) * (1 << bits))[:, None]
+            yield batch.assign(cells=list(codes.reshape(len(batch), -1).astype(np.int32)))
 
     return df.select(key, "embedding").mapInPandas(cells, f"{key} BIGINT, embedding ARRAY<FLOAT>, cells ARRAY<INT>")
 
 
 def vector_topk_approx(
-    queries: DataFrame, index: DataFrame, k: int = 3, dim: int = 64, tables: int = 8, bits: int = 5,
+    queries: DataFrame, index: DataFrame, k: int = 3, dim: int = 64, tables: int = TABLES, bits: int | None = None,
     seed: int = 11, skip_self: bool = False, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Approximate ``k`` nearest: a pair meets if it shares a cell of any table; scores are exact.
+    """Approximate ``k`` nearest: a pair meets if it shares a cell of any table, or is one sign from that; scores are exact.
 
-    ``2**bits * tables`` cells: more bits make smaller cells, more tables find more neighbours.
+    ``bits`` follows the number of vectors unless it is given: more bits make smaller cells, more tables find more.
     """
-    q = hash_cells(queries, "query_id", tables, bits, dim, seed)
+    bits = bits or bits_for(index.count())
+    q = hash_cells(queries, "query_id", tables, bits, dim, seed, probe=True)
     v = hash_cells(index, "vec_id", tables, bits, dim, seed)
     met = _grid(q, v, k, skip_self, block_rows).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     return _rank(met, k)

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from proofmark.functions import text
 from proofmark.functions.ordered import with_position
-from proofmark.operators.joins import small_list
 from proofmark.operators.ranking import first_span
 
 # Latency budgets in milliseconds, tool-call limit, retrieval depth.
@@ -52,8 +51,11 @@ def has_citation(output="outputs") -> Score:
 
 def mentions(terms: list[str], output="outputs") -> Score:
     """Whole-word, case-blind product terms; the rationale lists the distinct ones, sorted."""
+    if not terms:
+        return _said(F.when(text.col(output).isNotNull(), "no"), "")
     edge = r"[\p{L}\p{N}_]"
-    pattern = rf"(?iu)(?<!{edge})(" + "|".join(small_list(terms)) + rf")(?!{edge})"
+    longest_first = sorted(set(terms), key=lambda t: (-len(t), t))
+    pattern = rf"(?iu)(?<!{edge})(" + "|".join(map(text.quoted, longest_first)) + rf")(?!{edge})"
     found = F.array_sort(
         F.array_distinct(
             F.transform(F.regexp_extract_all(text.col(output), F.lit(pattern), F.lit(1)), lambda t: F.lower(t))
@@ -62,15 +64,24 @@ def mentions(terms: list[str], output="outputs") -> Score:
     return _said(text.yes_no(F.size(found) > 0), F.array_join(found, ","))
 
 
-def valid_json(output="outputs") -> Score:
-    """Parses as JSON. Accepts two documents in a row and refuses NaN, unlike a strict parser."""
-    return _said(F.when(F.try_parse_json(text.col(output)).isNotNull(), "yes").otherwise("no"))
+def valid_json(output="outputs", strict: bool = False) -> Score:
+    """Parses as JSON. A strict reading takes exactly one document; the other accepts two in a row. Both refuse NaN."""
+    given = text.col(output)
+    ok = F.try_parse_json(given).isNotNull()
+    if strict:
+        # Inside brackets, two documents in a row, or one with a stray comma, are no list of one.
+        alone = F.try_parse_json(F.concat(F.lit("["), given, F.lit("]")))
+        ok = ok & alone.isNotNull() & F.try_variant_get(alone, "$[1]", "variant").isNull() & ~F.trim(given).rlike(r",\s*$")
+    return _said(F.when(ok, "yes").otherwise("no"))
+
+
+_BAD = "_unparsed"
 
 
 def conforms(ddl: str, required: list[str], output="outputs") -> Score:
-    """Parses into the declared fields, the required ones being present."""
-    parsed = F.from_json(text.col(output), ddl)
-    ok = F.try_parse_json(text.col(output)).isNotNull() & parsed.isNotNull()
+    """Parses into the declared fields: each of its declared type or absent, the required ones being present."""
+    parsed = F.from_json(text.col(output), f"{ddl}, {_BAD} STRING", {"columnNameOfCorruptRecord": _BAD})
+    ok = F.try_parse_json(text.col(output)).isNotNull() & parsed.isNotNull() & parsed[_BAD].isNull()
     for name in required:
         ok = ok & parsed[name].isNotNull()
     return _said(F.when(ok, "yes").otherwise("no"))
@@ -161,29 +172,21 @@ def tool_efficiency(traces: DataFrame, spans: DataFrame) -> DataFrame:
     )
 
 
-STEPS_PER_SEGMENT = 1000
 MINUTE_NS = 60_000_000_000
 
 
 def trajectory(spans: DataFrame) -> DataFrame:
-    """Ordered tool path of each trace, in segments of at most a thousand steps.
-
-    The segment bounds what a group collects when a single trace holds very many calls; an ordinary
-    trace gives one row.
-    """
+    """Ordered tool path of each trace as rows (trace_id, position, tool), positions from 0; no trace is gathered into one row."""
     calls = spans.where(F.col("span_type") == "TOOL").select("trace_id", "start_time_ns", "span_id", "tool")
     placed = with_position(calls, ["trace_id"], ["start_time_ns", "span_id"], F.floor(F.col("start_time_ns") / MINUTE_NS))
-    steps = F.array_sort(F.collect_list(F.struct("position", "tool")))
-    segment = F.floor(F.col("position") / STEPS_PER_SEGMENT)
-    return placed.groupBy("trace_id", segment.alias("segment")).agg(steps.alias("s")).select(
-        "trace_id", "segment", F.array_join(F.transform("s", lambda x: x["tool"]), ">").alias("path"), F.size("s").alias("n_steps")
-    )
+    return placed.select("trace_id", "position", "tool")
 
 
-def score_trajectory(spans: DataFrame, expected: str | None = None) -> DataFrame:
-    """The path itself, or how it compares with an expected one."""
-    path = trajectory(spans)
-    return path.withColumn("value", text.yes_no(F.col("path") == expected)) if expected else path
+def score_trajectory(spans: DataFrame, expected: list[str]) -> DataFrame:
+    """One verdict per trace: its path is the expected one, step by step. Rows trace_id, n_steps, n_matching, value."""
+    same = F.col("tool") == F.get(text.listed(expected), F.col("position").cast("int"))
+    steps = trajectory(spans).groupBy("trace_id").agg(F.count("*").alias("n_steps"), F.count_if(same).alias("n_matching"))
+    return steps.withColumn("value", text.yes_no((F.col("n_steps") == len(expected)) & (F.col("n_matching") == len(expected))))
 
 
 def label_policy(output="outputs", question="question", off_topic: tuple[str, ...] = (), concepts: tuple[str, ...] = (), short: int = 80) -> Column:

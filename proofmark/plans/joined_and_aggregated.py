@@ -174,7 +174,19 @@ def vector_topk(spark, sf):
     return retrieval.vector_topk(queries, index, 3).select("query_id", "vec_id", "rank", F.round("score", 6).alias("score"))
 
 
-@query("vector_topk_lsh")
+def _lsh_sql() -> str:
+    """Written from the definition: sign patterns of the listed planes, pairs at most one sign apart in some table."""
+    listed = retrieval.planes(64, retrieval.TABLES, 11).T.tolist()
+    tables_ = [listed[t * retrieval.MOST_BITS : (t + 1) * retrieval.MOST_BITS] for t in range(retrieval.TABLES)]
+    return f"""WITH size AS (SELECT greatest(3, least({retrieval.MOST_BITS}, ceil(log2(count(*) / {retrieval.PER_CELL}.0)))) AS bits FROM embeddings),
+planes AS (SELECT unnest(range({retrieval.TABLES})) AS t, unnest({tables_}::DOUBLE[][][]) AS ps),
+codes AS (SELECT vec_id, embedding::DOUBLE[] AS e, t, list_sum([CASE WHEN b < bits AND round(list_inner_product(embedding::DOUBLE[], ps[b + 1]) / sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])), 9) >= 0
+  THEN (1::BIGINT << b) ELSE 0 END FOR b IN range({retrieval.MOST_BITS})])::BIGINT AS code FROM embeddings, planes, size),
+met AS (SELECT DISTINCT q.vec_id AS query_id, v.vec_id, round(list_cosine_similarity(q.e, v.e), 9) AS s FROM codes q JOIN codes v ON q.t = v.t AND bit_count(xor(q.code, v.code)) <= 1)
+SELECT query_id, vec_id, CAST(rank AS INT) AS rank, round(s, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id) AS rank FROM met) WHERE rank <= 3"""
+
+
+@query("vector_topk_lsh", _lsh_sql())
 def vector_topk_lsh(spark, sf):
     index = tables.load(spark, sf, "embeddings", "vec_id", "embedding")
     queries = index.withColumnRenamed("vec_id", "query_id")

@@ -68,6 +68,15 @@ def score_valid_json(spark, sf):
     return _score(tables.inference_log(spark, sf), "request_id", scorers.valid_json("request"))
 
 
+@query("score_strict_json", ctes(base.LOG) + """SELECT request_id, CASE WHEN json_valid(body) THEN 'yes' ELSE 'no' END AS value
+FROM (SELECT request_id, CASE CAST(request_id AS BIGINT) % 3 WHEN 0 THEN request ELSE CASE CAST(request_id AS BIGINT) % 3 WHEN 1 THEN request || request ELSE request || ',' END END AS body FROM log)""")
+def score_strict_json(spark, sf):
+    """Every third body as it is, every third twice over, every third with a stray comma."""
+    turn = F.col("request_id").cast("bigint") % 3
+    body = F.when(turn == 0, F.col("request")).when(turn == 1, F.concat("request", "request")).otherwise(F.concat("request", F.lit(",")))
+    return _score(tables.inference_log(spark, sf).withColumn("request", body), "request_id", scorers.valid_json("request", strict=True))
+
+
 @query("score_json_schema", "SELECT event_id, CASE WHEN json_valid(props) AND json_extract(props, '$.k') IS NOT NULL THEN 'yes' ELSE 'no' END AS value FROM events")
 def score_json_schema(spark, sf):
     events = tables.load(spark, sf, "events", "event_id", "props")
@@ -146,11 +155,11 @@ def score_tool_efficiency(spark, sf):
     return scorers.tool_efficiency(tool_traces(spark, sf), tables.tool_spans(spark, sf))
 
 
-@query("score_trajectory", ctes(base.TOOLS) + """SELECT trace_id, segment, path, n_steps, CASE WHEN path = 'view>click' THEN 'yes' ELSE 'no' END AS value FROM (
-  SELECT trace_id, CAST(0 AS BIGINT) AS segment, string_agg(tool, '>' ORDER BY start_time_ns, span_id) AS path, CAST(count(*) AS INT) AS n_steps
-  FROM tools GROUP BY ALL)""")
+@query("score_trajectory", ctes(base.TOOLS) + """SELECT trace_id, count(*) AS n_steps, coalesce(max(CASE WHEN tool = 'view' AND n = 1 THEN 1 END), 0) + coalesce(max(CASE WHEN tool = 'click' AND n = 2 THEN 1 END), 0) AS n_matching,
+  CASE WHEN string_agg(tool, '>' ORDER BY n) = 'view>click' THEN 'yes' ELSE 'no' END AS value
+FROM (SELECT *, row_number() OVER (PARTITION BY trace_id ORDER BY start_time_ns, span_id) AS n FROM tools) GROUP BY trace_id""")
 def score_trajectory(spark, sf):
-    return scorers.score_trajectory(tables.tool_spans(spark, sf), "view>click")
+    return scorers.score_trajectory(tables.tool_spans(spark, sf), ["view", "click"])
 
 
 @query("score_knowledge_retention", ctes(f"""turns AS (SELECT conv_id, turn, role, {base.terms('text')} AS t FROM conversations WHERE role IN ('user', 'assistant')),
@@ -186,15 +195,18 @@ def score_relevance(spark, sf):
 
 
 def retrieved_neighbours(spark, sf):
-    """Retrieval results: each answer is served the next two documents, where they exist."""
-    docs = tables.load_texts(spark, sf, "doc_id", "text")
-    return docs.select(
+    """Retrieval results, ids only: each answer is served the next two documents, where they exist."""
+    return tables.load(spark, sf, "documents", "doc_id").select(
         F.inline(F.array(*[F.struct((F.col("doc_id") - r).cast("string").alias("record_id"), F.lit(r).alias("rank")) for r in (1, 2)])),
         F.col("doc_id").cast("string").alias("doc_id"),
-        F.col("text").alias("content"),
     ).where(F.col("record_id").cast("bigint") >= 0)
 
 
+def contents(spark, sf):
+    """The documents that retrieval draws on."""
+    return tables.load_texts(spark, sf, "doc_id", "text").select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").alias("content"))
+
+
 NEIGHBOURS = """neighbours AS (SELECT CAST(d.doc_id - r.rank AS VARCHAR) AS record_id, r.rank, CAST(d.doc_id AS VARCHAR) AS doc_id, d.text AS content
   FROM documents d, (SELECT unnest([1, 2]) AS rank) r WHERE d.doc_id - r.rank >= 0)"""
 
@@ -206,13 +218,13 @@ bad AS (SELECT p.record_id, count(*) AS n FROM pieces p JOIN context c ON p.reco
   CASE WHEN context IS NOT NULL THEN CASE WHEN coalesce(n, 0) = 0 THEN 'yes' ELSE 'no' END END AS value
 FROM answers a LEFT JOIN context c ON a.record_id = c.record_id LEFT JOIN bad b ON a.record_id = b.record_id""")
 def score_groundedness(spark, sf):
-    return judges.groundedness(tables.answers(spark, sf), retrieved_neighbours(spark, sf))
+    return judges.groundedness(tables.answers(spark, sf), retrieved_neighbours(spark, sf), contents(spark, sf))
 
 
 @query("score_retrieval_relevance", ctes(base.ANSWERS, NEIGHBOURS, f"""met AS (SELECT n.record_id, {base.terms('a.question')} AS q, {base.tokens('n.content')} AS d FROM neighbours n JOIN answers a ON n.record_id = a.record_id)""")
   + f"SELECT record_id, count(*) AS n_docs, round(avg(CASE WHEN {base.coverage('q', 'd')} >= 0.3 THEN 1.0 ELSE 0.0 END)::DOUBLE, 6) AS relevance FROM met GROUP BY record_id")
 def score_retrieval_relevance(spark, sf):
-    return judges.retrieval_relevance(tables.answers(spark, sf), retrieved_neighbours(spark, sf))
+    return judges.retrieval_relevance(tables.answers(spark, sf), retrieved_neighbours(spark, sf), contents(spark, sf))
 
 
 _REASON = f"coalesce({base.first_pii('text')}, CASE WHEN list_has_any({base.tokens('text')}, [{base.quoted(LEXICON)}]) THEN 'lexicon' END)"
@@ -227,6 +239,21 @@ _RULE_SQL = ctes(base.ANSWERS, f"""checked AS (SELECT record_id, {base.language(
   NOT regexp_matches(outputs, '[0-9]{{6,}}') AS r3, CASE WHEN regexp_matches(question, 'the') THEN regexp_matches(outputs, 'tion|ing') END AS r4 FROM answers)""")
 
 
+PHRASES = ["the", "of the", "in and the", "Ou", "que la", "der, die"]
+
+
+@query("phrase_hits", f"""WITH p AS (SELECT phrase, ' ' || array_to_string({base.tokens('phrase')}, ' ') || ' ' AS g FROM (SELECT unnest([{base.quoted(PHRASES)}]) AS phrase)),
+d AS (SELECT doc_id, ' ' || array_to_string({base.tokens('text')}, ' ') || ' ' AS t FROM documents)
+SELECT doc_id, phrase FROM d, p WHERE contains(t, g)""")
+def phrase_hits(spark, sf):
+    """Phrases of a table that each document uses as whole tokens."""
+    from proofmark.operators.joins import phrase_hits as hits
+    from proofmark.sources.files import small_table
+
+    phrases = small_table(spark, [(p,) for p in PHRASES], "phrase STRING")
+    return hits(tables.load_texts(spark, sf, "doc_id", "text"), "doc_id", "text", phrases)
+
+
 @query("score_guidelines", _RULE_SQL + """SELECT record_id, 'compliance' AS scorer, CASE WHEN r1 AND r2 AND r3 AND coalesce(r4, true) THEN 'yes' ELSE 'no' END AS value,
   concat_ws(',', CASE WHEN NOT r1 THEN '1' END, CASE WHEN NOT r2 THEN '2' END, CASE WHEN NOT r3 THEN '3' END, CASE WHEN NOT r4 THEN '4' END) AS failed_rules FROM checked""")
 def score_guidelines(spark, sf):
@@ -242,24 +269,27 @@ def rule_breakdown(spark, sf):
 
 
 def row_rules(spark, sf):
-    """Answers with rules of their own, by language; Spanish ones have none."""
+    """Answers with rules of their own, by language; Spanish ones have none, some German ones have rules of no known kind."""
     by_lang = {
-        "en": ["language:en", "max_sentences:20"],
+        "en": ["language:en", "max_sentences:20", "must_match:^[A-Z\\[]"],
         "fr": ["must_contain:tion", "max_sentences:20"],
         "de": ["must_not_contain:und", "language:de"],
     }
     rules = F.when(F.col("lang") == "none", F.array().cast("array<string>"))
     for lang, listed in by_lang.items():
         rules = rules.when(F.col("lang") == lang, F.array(*[F.lit(r) for r in listed]))
-    return tables.answers(spark, sf).withColumn("guidelines", rules.otherwise(F.array().cast("array<string>")))
+    listed = rules.otherwise(F.array().cast("array<string>"))
+    odd = F.array(F.lit("be polite"), F.lit("max_sentences:few"))
+    is_odd = (F.col("lang") == "de") & (F.col("source") == "src3")
+    return tables.answers(spark, sf).withColumn("guidelines", F.when(is_odd, F.concat(listed, odd)).otherwise(listed))
 
 
-@query("score_row_guidelines", ctes(base.ANSWERS, f"""c AS (SELECT record_id, lang, {base.language('outputs')} AS l, len({base.sentences('outputs')}) AS n, lower(outputs) AS o FROM answers),
-f AS (SELECT record_id, lang, CASE lang
-  WHEN 'en' THEN concat_ws(',', CASE WHEN l <> 'en' THEN 'language:en' END, CASE WHEN n > 20 THEN 'max_sentences:20' END)
+@query("score_row_guidelines", ctes(base.ANSWERS, f"""c AS (SELECT record_id, lang, {base.language('outputs')} AS l, len({base.sentences('outputs')}) AS n, lower(outputs) AS o, outputs AS raw, source FROM answers),
+f AS (SELECT record_id, lang, CASE WHEN lang = 'de' AND source = 'src3' THEN 'be polite,max_sentences:few' ELSE '' END AS unknown_rules, CASE lang
+  WHEN 'en' THEN concat_ws(',', CASE WHEN l <> 'en' THEN 'language:en' END, CASE WHEN n > 20 THEN 'max_sentences:20' END, CASE WHEN NOT regexp_matches(raw, '^[A-Z\\[]') THEN 'must_match:^[A-Z\\[]' END)
   WHEN 'fr' THEN concat_ws(',', CASE WHEN NOT contains(o, 'tion') THEN 'must_contain:tion' END, CASE WHEN n > 20 THEN 'max_sentences:20' END)
   WHEN 'de' THEN concat_ws(',', CASE WHEN contains(o, 'und') THEN 'must_not_contain:und' END, CASE WHEN l <> 'de' THEN 'language:de' END) ELSE '' END AS failed_rules FROM c)""")
-  + "SELECT record_id, CASE WHEN lang <> 'es' THEN CASE WHEN failed_rules = '' THEN 'yes' ELSE 'no' END END AS value, failed_rules FROM f")
+  + "SELECT record_id, CASE WHEN lang <> 'es' AND unknown_rules = '' THEN CASE WHEN failed_rules = '' THEN 'yes' ELSE 'no' END END AS value, failed_rules, unknown_rules FROM f")
 def score_row_guidelines(spark, sf):
     return judges.row_guidelines(row_rules(spark, sf), "record_id")
 
@@ -284,7 +314,7 @@ def score_rubric(spark, sf):
             Override(~text.contains_any("response", CONCEPTS), 3),
         ],
     )
-    return covered.select("trace_id", F.when(F.col("coverage").isNotNull(), grade).alias("score"))
+    return covered.select("trace_id", grade.alias("score"))
 
 
 PROMPT = "Question:\n{{ inputs }}\n\nAnswer:\n{{ outputs }}\n\nGive a whole number from 1 to 5 on the last line."

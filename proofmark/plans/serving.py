@@ -9,7 +9,7 @@ from proofmark.operators import agreement, gate, guardrails, harness, judges, me
 from proofmark.plans import base
 from proofmark.plans.base import ctes, query, yes_no
 from proofmark.plans.joined_and_aggregated import DAILY, METRICS, monitors
-from proofmark.plans.scoring import LEXICON, NEIGHBOURS, PROMPT, retrieved_neighbours
+from proofmark.plans.scoring import LEXICON, NEIGHBOURS, PROMPT, contents, retrieved_neighbours
 from proofmark.sources import tables
 
 # --- harness ------------------------------------------------------------------------------------
@@ -59,9 +59,19 @@ def evaluated(spark, sf):
     return harness.evaluate(tables.traces(spark, sf), None, chat_scorers(), key="trace_id")
 
 
-@query("evaluate", ctes(EVALUATED) + "SELECT trace_id, name, value FROM evaluated")
+@query("evaluate", ctes(EVALUATED) + """SELECT trace_id, name, value FROM evaluated
+UNION ALL SELECT trace_id, 'echo', CASE WHEN upper(request) = request THEN 'yes' ELSE 'no' END FROM traces""")
 def evaluate(spark, sf):
-    return evaluated(spark, sf)[0].select("trace_id", "name", "value")
+    """The flagship scorers and a job, over the answers of a predict function that is called once a row."""
+    def shout(request: str) -> str:
+        return request.upper()
+
+    def echo(answers):
+        return answers.select("trace_id", F.when(F.col("outputs") == F.col("request"), "yes").otherwise("no").alias("value"))
+
+    rows = tables.traces(spark, sf).select("trace_id", "request", "response", "execution_duration_ms")
+    results, _ = harness.evaluate(rows, lambda df: harness.predict_local(df, shout), chat_scorers(), {"echo": echo}, key="trace_id")
+    return results.select("trace_id", "name", "value")
 
 
 @query("pivot_results", ctes(EVALUATED) + """SELECT trace_id, max(value) FILTER (name = 'has_citation') AS "has_citation/value", max(value) FILTER (name = 'length') AS "length/value",
@@ -123,14 +133,12 @@ def user_scorer(spark, sf):
 
 @query("rag_context", ctes(NEIGHBOURS) + "SELECT record_id, string_agg('[' || doc_id || '] ' || content, chr(10) ORDER BY rank) AS context FROM neighbours GROUP BY record_id")
 def rag_context(spark, sf):
-    return retrieval.assemble_context(retrieved_neighbours(spark, sf))
+    return retrieval.assemble_context(retrieved_neighbours(spark, sf).join(contents(spark, sf), "doc_id"))
 
 
-@query("chat_history", "SELECT conv_id, turn // 1000 AS segment, string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS history FROM conversations GROUP BY ALL")
+@query("chat_history", "SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS position, role, text AS content FROM conversations")
 def chat_history(spark, sf):
-    listed = harness.chat_history(tables.load(spark, sf, "conversations"))
-    shown = F.transform("messages", lambda m: F.concat(m["role"], F.lit(": "), m["content"]))
-    return listed.select("conv_id", "segment", F.array_join(shown, "\n").alias("history"))
+    return harness.chat_history(tables.load(spark, sf, "conversations"))
 
 
 # --- guardrails ---------------------------------------------------------------------------------

@@ -19,12 +19,24 @@ def scan_table(spark, sf):
 
 @query(
     "validate_schema",
-    ctes(base.RAW) + """SELECT unnest(['null_inputs', 'neither_question_nor_messages', 'empty_question', 'no_expected_facts', 'missing_source_tag']) AS rule,
-  unnest([0, 0, CAST(count(*) FILTER (lang <> 'fr' AND (CASE WHEN lang = 'en' THEN first ELSE source END) = '') AS BIGINT), 0, 0]) AS violations,
-  count(*) AS n_rows FROM raw""",
+    """SELECT unnest(['null_inputs', 'neither_question_nor_messages', 'no_expected_facts', 'missing_source_tag']) AS rule,
+  unnest([count(*) FILTER (doc_id % 7 = 0), count(*) FILTER (doc_id % 7 = 1), count(*) FILTER (doc_id % 5 = 0), count(*) FILTER (doc_id % 3 = 0)]) AS violations,
+  count(*) AS n_rows FROM documents""",
 )
 def validate_schema(spark, sf):
-    return filters.validate_schema(filters.normalise_records(tables.raw_records(spark, sf), "documents"))
+    """Records of which some break each of the rules."""
+    key = F.col("key").cast("bigint")
+    raw = tables.raw_records(spark, sf).withColumns(
+        {
+            "question": F.when(key % 7 != 1, F.coalesce("question", F.lit(""))),
+            "messages": F.when(key % 7 != 1, F.col("messages")),
+            "other": F.when(key % 7 != 1, F.col("other")),
+            "expected_facts": F.when(key % 5 != 0, F.array("key")),
+            "expected_response": F.lit(None).cast("string"),
+        }
+    )
+    records = filters.normalise_records(raw, F.when(key % 3 != 0, "documents"))
+    return filters.validate_schema(records.withColumn("inputs", F.when(key % 7 != 0, F.col("inputs"))))
 
 
 @query(

@@ -31,9 +31,10 @@ def overwrite_sink(spark, sf):
 
 @query("json_artifact_sink", ctes(EVALUATED) + "SELECT metric, value FROM eval_metrics")
 def json_artifact_sink(spark, sf):
-    target = f"{_folder(spark)}/metrics"
-    files.write_json(evaluated(spark, sf)[1], target)
-    return spark.read.schema("metric STRING, value DOUBLE").json(target)
+    """A run's metrics, written twice as a retry would, and read back."""
+    folder, found = f"{_folder(spark)}/metrics", evaluated(spark, sf)[1]
+    files.write_json(found, folder, "run-1")
+    return spark.read.schema("metric STRING, value DOUBLE").json(files.write_json(found, folder, "run-1"))
 
 
 def _two_merges(spark, sf) -> datasets.Dataset:

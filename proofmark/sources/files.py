@@ -53,9 +53,14 @@ def write_files(df: DataFrame, path: str, partition_by: list[str] | None = None,
     writer.parquet(path)
 
 
-def write_json(df: DataFrame, path: str) -> None:
-    """Append small result tables (verdicts, thresholds, name maps) as JSON lines."""
-    df.write.mode("append").json(path)
+def write_json(df: DataFrame, path: str, run_id: str) -> str:
+    """Small result tables (verdicts, thresholds, name maps) of a run as JSON lines, in the run's own folder.
+
+    A retried run replaces its folder, so nothing is doubled; ``path`` reads all runs, with ``run_id`` as a column.
+    """
+    target = f"{path}/run_id={run_id}"
+    df.write.mode("overwrite").json(target)
+    return target
 
 
 def read_inference_log(spark: SparkSession, path: str, streaming: bool = False, glob: str | None = None) -> DataFrame:

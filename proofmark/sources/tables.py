@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from proofmark import schemas
 from proofmark.functions import text
+from proofmark.functions.ordered import with_previous
 from proofmark.sources.files import scan, spread
 
 EPOCH_MS = 1704067200000  # 2024-01-01 00:00 UTC
@@ -26,16 +27,15 @@ def load_texts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 
 def turn_pairs(conversations: DataFrame) -> DataFrame:
-    """Each assistant turn with the user turn just before it.
+    """Each assistant turn whose previous turn, whatever its number, is the user's.
 
-    ``turn`` is the position in the conversation, so the pair meets on (conversation, position): a key
-    without repeats, which spreads even one endless conversation evenly. Each text is shuffled once.
+    Turns are spread by conversation and block of turn numbers, so an endless conversation is many tasks.
     """
-    asked = conversations.where(F.col("role") == "user").select(
-        "conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("question")
+    rows = conversations.select("conv_id", "turn", "role", "text")
+    met = with_previous(rows, ["conv_id"], ["turn", "role"], F.floor(F.col("turn") / 1000), ["role", "text"])
+    return met.where((F.col("role") == "assistant") & (F.col("prev_role") == "user")).select(
+        "conv_id", "turn", F.col("prev_text").alias("question"), F.col("text").alias("answer")
     )
-    answered = conversations.where(F.col("role") == "assistant").select("conv_id", "turn", F.col("text").alias("answer"))
-    return answered.join(asked, ["conv_id", "turn"], "inner").select("conv_id", "turn", "question", "answer")
 
 
 def traces_from_pairs(pairs: DataFrame) -> DataFrame:

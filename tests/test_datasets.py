@@ -7,7 +7,6 @@ import json
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from proofmark import schemas
@@ -64,8 +63,12 @@ def test_snapshot_is_written_once(spark, tmp_path):
     dataset.merge(records(spark, [("b", ["1"])]))
     assert spark.read.parquet(dataset.snapshot("w1", 1)).count() == 1
     assert spark.read.parquet(dataset.snapshot("w2")).count() == 2
-    with pytest.raises(AnalysisException):
+    with pytest.raises(ValueError, match="exists"):
         dataset.snapshot("w1")
+    half = tmp_path / "evals" / "snapshots" / "tag=w3"
+    half.mkdir()
+    (half / "part-0.parquet").write_text("died half-way")
+    assert spark.read.parquet(dataset.snapshot("w3")).count() == 2
     assert dataset.versions() == [1, 2]
 
 
@@ -121,9 +124,9 @@ def test_table_and_json_sinks(spark, tmp_path):
     files.write_table(df.where("id = 2"), "sink_check", ["kind"])
     assert files.scan_named(spark, "sink_check", ["id"]).collect() == [(2,)]
     out = str(tmp_path / "verdicts")
-    for floors in ({}, {"m": (0.5, "ratio")}):
+    for run, floors in (("r1", {}), ("r2", {"m": (0.5, "ratio")}), ("r2", {"m": (0.5, "ratio")})):
         none = spark.createDataFrame([], "metric string, value double")
-        files.write_json(gate.gate_verdict(gate.evaluate_gate(none, gate.thresholds(spark, floors))), out)
+        files.write_json(gate.gate_verdict(gate.evaluate_gate(none, gate.thresholds(spark, floors))), out, run)
     lines = [json.loads(r.value) for r in spark.read.text(out).collect()]
     assert sorted((x["passed"], x["failures"]) for x in lines) == [("false", "m: MISSING"), ("true", "")]
 

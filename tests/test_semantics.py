@@ -195,7 +195,7 @@ def test_rubric_caps(spark):
     rows = [(1.0, "no"), (1.0, "yes"), (0.0, "no"), (None, "no")]
     df = spark.createDataFrame(rows, "c double, off string")
     grade = judges.rubric(F.col("c"), [judges.Override(F.col("off") == "yes", 1)])
-    assert values(df.select(F.when(F.col("c").isNotNull(), grade).alias("g")), "g") == [5, 1, 1, None]
+    assert values(df.select(grade.alias("g")), "g") == [5, 1, 1, None]
 
 
 def test_label_policy_order(spark):
@@ -242,8 +242,9 @@ def test_retention_has_no_verdict_on_a_first_exchange(spark):
 
 def test_groundedness_without_context_has_no_verdict(spark):
     answers = spark.createDataFrame([("a", "alpha beta. gamma delta!"), ("b", "alpha"), ("c", "alpha beta. unknown words here")], "record_id string, outputs string")
-    found = spark.createDataFrame([("a", 1, "alpha beta gamma"), ("c", 1, "alpha beta"), ("c", 9, "unknown words here")], "record_id string, rank int, content string")
-    got = sorted(values(judges.groundedness(answers, found), "record_id", "n_unsupported", "value"))
+    found = spark.createDataFrame([("a", 1, "1"), ("c", 1, "2"), ("c", 9, "3")], "record_id string, rank int, doc_id string")
+    docs = spark.createDataFrame([("1", "alpha beta gamma"), ("2", "alpha beta"), ("2", "alpha beta"), ("3", "unknown words here")], "doc_id string, content string")
+    got = sorted(values(judges.groundedness(answers, found, docs), "record_id", "n_unsupported", "value"))
     assert got == [("a", 0, "yes"), ("b", None, None), ("c", 1, "no")]
 
 
