@@ -131,8 +131,9 @@ def _grid(queries: DataFrame, index: DataFrame, k: int, skip_self: bool, block_r
     driver. A cell of n rows is cut into n / block_rows blocks; every query block of a cell meets
     every index block of that cell, and no group exceeds two blocks.
     """
-    q = queries.select("query_id", "embedding", F.explode("cells").alias("cell"))
-    v = index.select("vec_id", "embedding", F.explode("cells").alias("cell"))
+    # Names of their own: both sides may come from one table.
+    q = queries.select("query_id", F.col("embedding").alias("asked"), F.explode("cells").alias("cell"))
+    v = index.select("vec_id", F.col("embedding").alias("held"), F.explode("cells").alias("cell"))
 
     sizes = (
         q.select("cell", F.lit(1).alias("q"), F.lit(0).alias("v"))
@@ -146,10 +147,10 @@ def _grid(queries: DataFrame, index: DataFrame, k: int, skip_self: bool, block_r
 
     last = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     q_cut = q.join(plan, "cell").select(
-        "cell", "query_id", "embedding", F.pmod(F.xxhash64("query_id"), F.col("nq")).cast("int").alias("qb"), F.explode(last("nv")).alias("vb")
+        "cell", "query_id", "asked", F.pmod(F.xxhash64("query_id"), F.col("nq")).cast("int").alias("qb"), F.explode(last("nv")).alias("vb")
     )
     v_cut = v.join(plan, "cell").select(
-        "cell", "vec_id", "embedding", F.pmod(F.xxhash64("vec_id"), F.col("nv")).cast("int").alias("vb"), F.explode(last("nq")).alias("qb")
+        "cell", "vec_id", "held", F.pmod(F.xxhash64("vec_id"), F.col("nv")).cast("int").alias("vb"), F.explode(last("nq")).alias("qb")
     )
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -157,8 +158,8 @@ def _grid(queries: DataFrame, index: DataFrame, k: int, skip_self: bool, block_r
             return _frame((np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)))
         return _frame(
             _best(
-                left["query_id"].to_numpy(dtype=np.int64), _unit(left["embedding"]),
-                right["vec_id"].to_numpy(dtype=np.int64), _unit(right["embedding"]), k, skip_self,
+                left["query_id"].to_numpy(dtype=np.int64), _unit(left["asked"]),
+                right["vec_id"].to_numpy(dtype=np.int64), _unit(right["held"]), k, skip_self,
             )
         )
 
