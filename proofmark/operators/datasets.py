@@ -6,6 +6,8 @@ its cost follows the new rows plus one look-up of the current state.
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -216,6 +218,21 @@ def expire(log: DataFrame, as_of_ms: int, days: int) -> DataFrame:
     return log.where(F.col("event_date") >= F.to_date(F.timestamp_millis(F.lit(as_of_ms - days * 86_400_000))))
 
 
+def retain(spark: SparkSession, path: str, as_of_ms: int, days: int) -> DataFrame:
+    """Delete the day folders of a log that lie before its time to live; returns the log as it is left.
+
+    Only folder names are read, so the cost follows the number of days. A job that dies half-way may be run again.
+    """
+    first = datetime.datetime.fromtimestamp((as_of_ms - days * 86_400_000) / 1000, datetime.timezone.utc).date().isoformat()
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if name.startswith("event_date=") and name.removeprefix("event_date=") < first:
+            fs.delete(status.getPath(), True)
+    return spark.read.parquet(path)
+
+
 def retention_counts(log: DataFrame, as_of_ms: int, days: int) -> DataFrame:
     kept = F.col("event_date") >= F.to_date(F.timestamp_millis(F.lit(as_of_ms - days * 86_400_000)))
     return log.agg(F.count_if(kept).alias("kept"), F.count_if(~kept).alias("expired"))

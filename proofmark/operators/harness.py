@@ -137,14 +137,24 @@ class ScorerRegistry:
 
         return register
 
-    def batch_scorer(self, name: str, column: str) -> Callable:
-        """Decorator for pandas functions: a series of texts in, a series of values out."""
-        def register(fn: Callable[[pd.Series], pd.Series]) -> Callable:
-            @F.pandas_udf("string")
-            def run(batch: pd.Series) -> pd.Series:
-                return fn(batch).astype("string")
-
-            self.scorer(name)(lambda: run(F.col(column)))
+    def batch_scorer(self, name: str, *columns: str) -> Callable:
+        """Decorator for pandas functions: a series for each column in; out, a series of values, or a frame of value and rationale.
+
+        A column may hold anything Spark can hand to pandas, so a scorer may read a whole trace: its text, times and spans.
+        """
+        def register(fn: Callable[..., pd.Series | pd.DataFrame]) -> Callable:
+            @F.pandas_udf("value string, rationale string")
+            def run(*series: pd.Series) -> pd.DataFrame:
+                found = fn(*series)
+                if not isinstance(found, pd.DataFrame):
+                    found = pd.DataFrame({"value": found, "rationale": None})
+                return found[["value", "rationale"]].astype("string")
+
+            def build() -> Score:
+                both = run(*[F.col(c) for c in columns])
+                return Score(both["value"], both["rationale"])
+
+            self.scorer(name)(build)
             return fn
 
         return register

@@ -66,6 +66,16 @@ class Registry:
     def running(self) -> list[Registration]:
         return [e for e in self._entries.values() if e.status == "running"]
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Write the registry as a table, replacing what was there."""
+        self.to_df(spark).write.mode("overwrite").parquet(path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Registry:
+        """Read a registry back; it has at most MAX_SCORERS rows."""
+        rows = spark.read.schema(schemas.REGISTRY).parquet(path).orderBy("name").limit(MAX_SCORERS + 1).collect()
+        return cls([Registration(**r.asDict()) for r in rows])
+
     def to_df(self, spark: SparkSession) -> DataFrame:
         rows = [(e.name, e.scorer, e.version, e.sample_rate, e.filter, e.status) for e in self._entries.values()]
         return small_table(spark, rows, schemas.REGISTRY)
@@ -86,8 +96,24 @@ def sample_traces(traces: DataFrame, scorer: str, rate: float) -> DataFrame:
     return traces.where(in_sample(scorer, rate))
 
 
-def monitor_batch(traces: DataFrame, registry: Registry, scorers: dict[str, Callable[[], Score]]) -> DataFrame:
-    """Feedback rows of every running scorer: filter, sample and score in one pass over the traces."""
+def as_assessments(feedback: DataFrame, created_ms: str | Column) -> DataFrame:
+    """Feedback rows in the shape of the assessments table.
+
+    The id is a function of trace, scorer and version, so the same verdict given twice has one id.
+    """
+    identity = F.md5(F.concat_ws("\u001f", "trace_id", "name", "source_id"))
+    at = F.col(created_ms) if isinstance(created_ms, str) else created_ms
+    return feedback.select(
+        "trace_id", identity.alias("assessment_id"), "name", "value", F.col("value").try_cast("double").alias("value_num"),
+        "rationale", "source_type", "source_id", at.cast("bigint").alias("created_ms"),
+    )
+
+
+def monitor_batch(traces: DataFrame, registry: Registry, scorers: dict[str, Callable[[], Score]], carry: list[str] | None = None) -> DataFrame:
+    """Feedback rows of every running scorer: filter, sample and score in one pass over the traces.
+
+    ``carry`` names columns of the trace that go along, such as its time.
+    """
     running = registry.running()
     if not running:
         raise ValueError("no scorer is running")
@@ -104,4 +130,4 @@ def monitor_batch(traces: DataFrame, registry: Registry, scorers: dict[str, Call
         rows.append(F.when(wanted, row))
     # Unwanted rows come out as nulls and are dropped after the generator: a filter on the array itself
     # would make the optimizer compute every score twice.
-    return traces.select("trace_id", F.inline(F.array(*rows))).where(F.col("name").isNotNull())
+    return traces.select("trace_id", *(carry or []), F.inline(F.array(*rows))).where(F.col("name").isNotNull())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from proofmark import schemas
@@ -10,7 +12,8 @@ from proofmark.operators import datasets, filters, ranking, setops
 from proofmark.plans import base
 from proofmark.plans.base import ctes, query
 from proofmark.plans.tables_and_filters import AS_OF_MS
-from proofmark.sources import tables
+from proofmark.session import scratch_path
+from proofmark.sources import files, tables
 
 # --- order --------------------------------------------------------------------------------------
 
@@ -251,6 +254,15 @@ def redact_before_publish(spark, sf):
     return datasets.redact_records(tables.load_texts(spark, sf, "doc_id", "text"), "text")
 
 
-@query("retention", ctes(base.LOG) + """SELECT count(*) FILTER (event_date >= DATE '2024-01-17') AS kept, count(*) FILTER (event_date < DATE '2024-01-17') AS expired FROM log""")
-def retention(spark, sf):
+@query("retention_counts", ctes(base.LOG) + """SELECT count(*) FILTER (event_date >= DATE '2024-01-17') AS kept, count(*) FILTER (event_date < DATE '2024-01-17') AS expired FROM log""")
+def retention_counts(spark, sf):
     return datasets.retention_counts(tables.inference_log(spark, sf), AS_OF_MS, 14)
+
+
+@query("retention", ctes(base.LOG) + "SELECT strftime(event_date, '%Y-%m-%d') AS event_date, count(*) AS n FROM log WHERE event_date >= DATE '2024-01-17' GROUP BY 1")
+def retention(spark, sf):
+    """The log is written by day, expired days go, and what is left is read back and counted."""
+    folder = scratch_path(spark, f"log-{uuid.uuid4().hex}")
+    files.write_files(tables.inference_log(spark, sf), folder, ["event_date"])
+    left = datasets.retain(spark, folder, AS_OF_MS, 14)
+    return left.groupBy(F.date_format("event_date", "yyyy-MM-dd").alias("event_date")).agg(F.count("*").alias("n"))

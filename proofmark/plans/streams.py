@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from proofmark import schemas
 from proofmark.operators import monitoring
 from proofmark.plans import base
 from proofmark.plans.base import ctes, query
@@ -36,6 +37,15 @@ def _updated(spark, stream, keys):
     return run.latest_rows(spark, _finished(spark, lambda out, cp: run.to_batches(stream, out, cp, available_now=True)), keys)
 
 
+def _arriving(spark, slices, start):
+    """Land slices one after the other in a folder, running the stream over what is there after each; returns the sink's folder."""
+    folder = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    for rows in slices:
+        rows.write.mode("append").parquet(f"{folder}/in")
+        start(run.read_stream(spark, f"{folder}/in", rows.schema), f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return f"{folder}/out"
+
+
 def _shown(*columns):
     return {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in columns}
 
@@ -62,9 +72,11 @@ def stream_health_sliding(spark, sf):
 FROM (SELECT *, sum(CASE WHEN ts - prev < INTERVAL 12 HOUR THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts) AS s
   FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM events)) GROUP BY user_id, s""")
 def stream_sessions(spark, sf):
-    live = jobs.session_stream(_live(spark, sf, "events"), "user_id", "12 hours")
-    out = _finished(spark, lambda path, cp: run.to_batches(live, path, cp, mode="complete", available_now=True))
-    return run.last_batch(spark, out).withColumns(_shown("session_start", "session_end"))
+    """Sessions leave the state, and are appended, once the watermark has passed them; a last row from a month later closes all."""
+    events = tables.load(spark, sf, "events", "user_id", "ts")
+    closing = events.agg((F.max("ts") + F.expr("INTERVAL 30 DAY")).alias("ts")).select(F.lit(-1).cast("bigint").alias("user_id"), "ts")
+    out = _arriving(spark, [events, closing], lambda live, path, cp: run.to_files(jobs.session_stream(live, "user_id", "12 hours"), path, cp, available_now=True))
+    return spark.read.parquet(out).where("user_id >= 0").withColumns(_shown("session_start", "session_end"))
 
 
 @query("stream_dedupe", ctes(base.LOG) + "SELECT request_id, status_code FROM log")
@@ -106,11 +118,20 @@ def monitor_stream(spark, sf):
     traces = tables.answers_from_documents(_live(spark, sf, "documents")).select(
         F.col("record_id").alias("trace_id"), F.col("outputs").alias("response"), "lang", at.alias("request_time")
     )
-    return _appended(spark, jobs.monitor_stream(traces, registry, LIVE_SCORERS).select("trace_id", "name", "value"))
+    out = _finished(spark, lambda path, cp: jobs.monitor_to_feedback(traces, registry, LIVE_SCORERS, path, cp, available_now=True))
+    return spark.read.schema(schemas.ASSESSMENTS).parquet(out).select("trace_id", "name", "value")
 
 
-@query("late_data", """SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n_streamed, count(*) AS n_batch, CAST(0 AS BIGINT) AS n_lost FROM events GROUP BY 1""")
+@query("late_data", """SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) FILTER (NOT late) AS n_streamed, count(*) AS n_batch, count(*) FILTER (late) AS n_lost
+FROM (SELECT ts, event_id % 50 = 0 AND ts < (SELECT max(ts) FROM events) - INTERVAL 1 DAY AS late FROM events) GROUP BY 1""")
 def late_data(spark, sf):
-    live = _updated(spark, jobs.window_counts(_live(spark, sf, "events"), "1 hour"), ["window_start"])
-    batch = jobs.window_counts(tables.load(spark, sf, "events", "ts"), "1 hour", lateness=None)
-    return jobs.reconcile(live, batch).withColumns(_shown("window_start"))
+    """One event in fifty arrives when the watermark has long passed its hour; the batch count shows what the stream lost."""
+    events = tables.load(spark, sf, "events", "event_id", "ts")
+    end = events.agg(F.max("ts").alias("t")).first().t
+    late = (F.col("event_id") % 50 == 0) & (F.col("ts") < F.lit(end) - F.expr("INTERVAL 1 DAY"))
+    out = _arriving(
+        spark, [events.where(~late), events.where(late)],
+        lambda live, path, cp: run.to_batches(jobs.window_counts(live, "1 hour"), path, cp, available_now=True),
+    )
+    batch = jobs.window_counts(events, "1 hour", lateness=None)
+    return jobs.reconcile(run.latest_rows(spark, out, ["window_start"]), batch).withColumns(_shown("window_start"))

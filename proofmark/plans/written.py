@@ -66,7 +66,9 @@ UNION ALL SELECT 'latency', 0.3::DOUBLE, 'stopped', count(*) FILTER (environment
 UNION ALL SELECT 'idle', 1.0::DOUBLE, 'registered', count(*) FROM traces""")
 def registry(spark, sf):
     """Every registered scorer with the number of traces that fall to it."""
-    known = live_registry().stop("latency")
+    folder = f"{_folder(spark)}/registry"
+    live_registry().stop("latency").save(spark, folder)
+    known = monitoring.Registry.load(spark, folder)
     wanted = [
         F.count_if(monitoring.in_sample(e.name, e.sample_rate) & (F.expr(e.filter) if e.filter else F.lit(True))).alias(e.name)
         for e in known.entries()

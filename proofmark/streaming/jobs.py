@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from proofmark import schemas
 from proofmark.operators.guardrails import apply_guardrails
 from proofmark.operators.metrics import traffic_health
-from proofmark.operators.monitoring import Registry, monitor_batch
+from proofmark.operators.monitoring import Registry, as_assessments, monitor_batch
+from proofmark.operators.ranking import keep_first
 from proofmark.operators.scorers import Score
+from proofmark.streaming.run import tune_streams
 
 LATENESS = "5 minutes"
 
@@ -77,10 +81,38 @@ def guard_stream(requests: DataFrame, keywords: list[str], topics: list[str], le
 def monitor_stream(
     traces: DataFrame, registry: Registry, scorers: dict[str, Callable[[], Score]], time_col: str = "request_time", lateness: str = LATENESS
 ) -> DataFrame:
-    """Registered scorers on live traces: repeats are dropped, then the batch monitor's projection runs."""
+    """Registered scorers on live traces: repeats are dropped, then the batch monitor's projection runs.
+
+    What arrives behind the watermark is dropped as well; ``monitor_to_feedback`` scores it.
+    """
     return monitor_batch(dedupe_stream(traces, "trace_id", time_col, lateness), registry, scorers)
 
 
+def monitor_to_feedback(
+    traces: DataFrame, registry: Registry, scorers: dict[str, Callable[[], Score]], path: str, checkpoint: str,
+    time_col: str = "request_time", available_now: bool = False,
+) -> StreamingQuery:
+    """Registered scorers on live traces, written to a feedback table that loses nothing and doubles nothing.
+
+    Each batch is scored whole, late traces included. A (trace, scorer) that the table already holds gets no second row,
+    whatever time stamp the replay carries. A batch that is run again replaces its own directory.
+    """
+    tune_streams(traces.sparkSession)
+
+    def write(rows: DataFrame, batch: int) -> None:
+        spark = rows.sparkSession
+        once = keep_first(rows, ["trace_id"], [time_col])
+        scored = monitor_batch(once, registry, scorers, carry=[time_col])
+        feedback = as_assessments(scored, F.unix_millis(F.col(time_col).cast("timestamp")))
+        if batch:
+            given = spark.read.schema(f"{schemas.ASSESSMENTS}, batch BIGINT").parquet(path).where(F.col("batch") < batch)
+            feedback = feedback.join(given.select("trace_id", "name"), ["trace_id", "name"], "left_anti").select(*feedback.columns)
+        feedback.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+    writer = traces.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
 def reconcile(streamed: DataFrame, batch: DataFrame, key: str = "window_start") -> DataFrame:
     """Rows per window that a stream counted against a later batch count; the gap was lost to lateness."""
     left = streamed.select(key, F.col("n").alias("n_streamed"))

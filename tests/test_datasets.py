@@ -136,6 +136,10 @@ def test_expiry_prunes_partitions(spark, tmp_path):
     files.write_files(log, str(tmp_path / "log"), ["event_date"])
     kept = datasets.expire(spark.read.parquet(str(tmp_path / "log")), 1704844800000, 2)  # as of 2024-01-10
     assert sorted(r.id for r in kept.collect()) == [2, 3]
+    for _ in range(2):
+        left = datasets.retain(spark, str(tmp_path / "log"), 1704844800000, 2)
+        assert sorted(r.id for r in left.collect()) == [2, 3]
+    assert sorted(p.name for p in (tmp_path / "log").iterdir() if p.is_dir()) == ["event_date=2024-01-09", "event_date=2024-01-10"]
     assert "PartitionFilters: [isnotnull(event_date" in kept._jdf.queryExecution().toString()
 
 

@@ -106,6 +106,44 @@ def test_monitor_restart_gives_no_second_feedback(spark, tmp_path):
     assert sorted((r.trace_id, r.name, r.value) for r in batch.collect()) == got
 
 
+def test_late_traces_get_feedback_and_replays_get_none(spark, tmp_path):
+    source, out, cp = tmp_path / "t", str(tmp_path / "out"), str(tmp_path / "cp")
+    schema = "trace_id string, response string, request_time timestamp"
+    registry = monitoring.Registry([monitoring.Registration("words", "words")]).start("words")
+    scorer = {"words": lambda: scorers.word_count("response")}
+    go = lambda: jobs.monitor_to_feedback(run.read_stream(spark, str(source), schema), registry, scorer, out, cp, available_now=True).awaitTermination()
+    land(spark, source, [("a", "x y", minute(55)), ("b", "x", minute(56)), ("b", "x", minute(57))], schema, ("request_time",))
+    go()
+    land(spark, source, [("late", "x y z", minute(10)), ("a", "x y", minute(500))], schema, ("request_time",))
+    go()
+    go()
+    rows = spark.read.parquet(out).collect()
+    assert sorted((r.trace_id, r.value_num, r.created_ms) for r in rows) == [
+        ("a", 2.0, 1704070500000), ("b", 1.0, 1704070560000), ("late", 3.0, 1704067800000)
+    ]
+    assert len({r.assessment_id for r in rows}) == 3 and {(r.name, r.source_id) for r in rows} == {("words", "words_v1")}
+
+
+def test_registry_table_and_scorers_of_several_columns(spark, tmp_path):
+    import pandas as pd
+
+    from proofmark.operators import harness
+
+    registry = monitoring.Registry([monitoring.Registration("a", "s"), monitoring.Registration("b", "s", 2)]).start("b", 0.25, "x > 1")
+    registry.save(spark, str(tmp_path / "r"))
+    registry.save(spark, str(tmp_path / "r"))
+    assert monitoring.Registry.load(spark, str(tmp_path / "r")).entries() == registry.entries()
+    mine = harness.ScorerRegistry()
+
+    @mine.batch_scorer("budget", "took", "spans")
+    def budget(took: pd.Series, spans: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame({"value": ["yes" if t < 5 else "no" for t in took], "rationale": [f"{len(s)} spans" for s in spans]})
+
+    df = spark.createDataFrame([("t", 3.0, ["a", "b"]), ("u", 9.0, [])], "trace_id string, took double, spans array<string>")
+    got = scorers.long_scores(df, "trace_id", mine.build()).collect()
+    assert sorted((r.trace_id, r.value, r.rationale) for r in got) == [("t", "yes", "2 spans"), ("u", "no", "0 spans")]
+
+
 def test_inference_log_reads_as_batch_and_stream(spark, tmp_path):
     rows = spark.range(3).select(F.col("id").cast("string").alias("request_id"), F.col("id").alias("timestamp_ms"), F.lit(200).alias("status_code"))
     files.write_files(rows, str(tmp_path / "log"))
