@@ -167,6 +167,15 @@ def _grid(queries: DataFrame, index: DataFrame, k: int, skip_self: bool, block_r
     return q_cut.groupBy(*on).cogroup(v_cut.groupBy(*on)).applyInPandas(score, TOPK_SCHEMA)
 
 
+def retrieved_documents(spans: DataFrame) -> DataFrame:
+    """What retriever spans returned, as rows (trace_id, rank, doc_id, content); ranks from 1 over the trace's spans in order."""
+    placed = spans.where(F.col("span_type") == "RETRIEVER").select("trace_id", "start_time_ns", "span_id", F.posexplode("outputs").alias("_at", "_doc"))
+    order = Window.partitionBy("trace_id").orderBy("start_time_ns", "span_id", "_at")
+    return placed.select(
+        "trace_id", F.row_number().over(order).alias("rank"), F.col("_doc.metadata.doc_id").alias("doc_id"), F.col("_doc.page_content").alias("content")
+    )
+
+
 def assemble_context(retrieved: DataFrame, k: int = 3) -> DataFrame:
     """``[doc] text`` lines in rank order, at most ``k`` per record."""
     lines = F.array_sort(F.collect_list(F.struct("rank", F.concat(F.lit("["), "doc_id", F.lit("] "), "content").alias("line"))))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from proofmark.functions import text
-from proofmark.operators import filters, harness, judges, scorers
+from proofmark.operators import filters, harness, judges, retrieval, scorers
 from proofmark.operators.judges import Override, Rule
 from proofmark.plans import base
 from proofmark.plans.base import ctes, query, yes_no
@@ -115,8 +115,8 @@ def score_retrieval_recall(spark, sf):
 
     traces = tables.traces(spark, sf)
     expected = traces.select(F.col("trace_id").alias("record_id"), F.explode_outer(keyword_documents("request", KEYWORD_DOCS)).alias("doc_id"))
-    retrieved = traces.select(F.col("trace_id").alias("record_id"), F.explode(keyword_documents("response", KEYWORD_RETRIEVED)).alias("doc_id"))
-    return scorers.retrieval_recall(expected, retrieved)
+    spans = filters.explode_spans(tables.with_span_array(traces, keyword_documents("response", KEYWORD_RETRIEVED)))
+    return scorers.retrieval_recall(expected, retrieval.retrieved_documents(spans).withColumnRenamed("trace_id", "record_id"))
 
 
 # All users times days of the log are traces, also those without a call; odd-numbered days expect three calls.

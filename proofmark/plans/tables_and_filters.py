@@ -73,7 +73,7 @@ def inference_source(spark, sf):
 
 @query("explode_spans", ctes(base.SPANS) + "SELECT trace_id, span_id, span_type, start_time_ns, end_time_ns FROM spans WHERE span_type = 'CHAT_MODEL'")
 def explode_spans(spark, sf):
-    return filters.explode_spans(tables.with_span_array(tables.traces(spark, sf)), "CHAT_MODEL")
+    return filters.explode_spans(tables.with_span_array(tables.traces(spark, sf)), "CHAT_MODEL").drop("outputs")
 
 
 @query(

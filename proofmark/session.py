@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import shutil
 import tempfile
@@ -27,7 +28,9 @@ def ship(spark: SparkSession) -> None:
     application = spark.sparkContext.applicationId
     if application not in _SHIPPED:
         package = Path(__file__).resolve().parent
-        archive = os.path.join(tempfile.mkdtemp(prefix="proofmark-code-"), package.name)
+        folder = tempfile.mkdtemp(prefix="proofmark-code-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        archive = os.path.join(folder, package.name)
         # Zipped on the driver only; Spark hands the file to every executor.
         spark.sparkContext.addPyFile(shutil.make_archive(archive, "zip", package.parent, package.name))
         _SHIPPED.add(application)

@@ -65,20 +65,33 @@ def traces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return traces_from_pairs(turn_pairs(load(spark, sf_dir, "conversations")))
 
 
-def with_span_array(traces_df: DataFrame) -> DataFrame:
-    """Traces carrying their spans as an array: one retriever span, and chat spans when timed."""
+SPAN_OUTPUTS = "array<struct<page_content:string,metadata:struct<doc_id:string,score:double>>>"
+
+
+def with_span_array(traces_df: DataFrame, retrieved: Column | None = None) -> DataFrame:
+    """Traces carrying their spans as an array: one retriever span, and chat spans when timed.
+
+    ``retrieved`` gives the ids of the documents that the retriever span returned, in order; other spans have no outputs.
+    """
+    none = F.lit(None).cast(SPAN_OUTPUTS)
+    if retrieved is not None:
+        none_text, no_score = F.lit(None).cast("string"), F.lit(None).cast("double")
+        found = F.transform(retrieved, lambda d: F.struct(none_text.alias("page_content"), F.struct(d.alias("doc_id"), no_score.alias("score")).alias("metadata"))).cast(SPAN_OUTPUTS)
+    else:
+        found = none
     start = F.col("request_ms") * 1000000
     millis = F.col("execution_duration_ms")
     ns = lambda share: start + (millis * share * 1000000).cast("bigint")
-    span = lambda no, kind, begin, end: F.struct(
+    span = lambda no, kind, begin, end, outputs=none: F.struct(
         F.concat(F.col("trace_id"), F.lit(f"/{no}")).alias("span_id"),
         F.lit(kind).alias("span_type"),
         begin.cast("bigint").alias("start_time_ns"),
         end.cast("bigint").alias("end_time_ns"),
+        outputs.alias("outputs"),
     )
     spans = F.filter(
         F.array(
-            span(1, "RETRIEVER", start, start + 2000000),
+            span(1, "RETRIEVER", start, start + 2000000, found),
             F.when(millis.isNotNull(), span(2, "CHAT_MODEL", start + 2000000, ns(0.7))),
             F.when(millis > 5000, span(3, "CHAT_MODEL", ns(0.7), ns(1.0))),
         ),
