@@ -13,9 +13,9 @@ import numpy as np
 STRIDE = 32
 CONTEXT = 16
 WIDTH = STRIDE + CONTEXT
-DIM = 32
+DIM = 16
 #: Ids with a class of their own, and the classes the others share.
-SINGLES = 192
+SINGLES = 160
 SHARED = 32
 CLASSES = SINGLES + SHARED
 #: Ids with an embedding and a row of class counts of their own; the others use their class's.
@@ -25,7 +25,7 @@ TAIL = 3072
 #: Strength of the coarser estimate under each count table.
 PRIOR = 20.0
 #: Windows scored at once; their arrays stay in the processor's cache, and are used again for the next ones.
-CHUNK = 96
+CHUNK = 48
 
 
 class Vocabulary:

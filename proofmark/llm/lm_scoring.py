@@ -34,9 +34,11 @@ class Subwords:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.encoding = tiktoken.Encoding("subwords", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.end = max(ranks.values()) + 1
+        self.turn = 0
         self.reset()
 
     def reset(self) -> None:
+        self.turn += 1
         self.known: dict[bytes, int] = {}
         self.hashes = np.empty(1 << 14, dtype=np.int64)
         self.begins = np.empty(1 << 14, dtype=np.int64)
@@ -107,14 +109,20 @@ def kinds_of(ranks: dict[bytes, int]) -> np.ndarray:
     return kinds
 
 
+_SUBWORDS: dict[tuple[str, str], Subwords] = {}
+
+
 class Tokenizer:
-    """What builds the subwords in a worker: the rank file is read there."""
+    """What builds the subwords in a worker: the rank file is read there, once a process; words met stay known to later tasks."""
 
     def __init__(self, ranks_path: str, pattern: str):
         self.ranks_path, self.pattern = ranks_path, pattern
 
     def subwords(self) -> Subwords:
-        return Subwords(read_ranks(self.ranks_path), self.pattern)
+        key = self.ranks_path, self.pattern
+        if key not in _SUBWORDS:
+            _SUBWORDS[key] = Subwords(read_ranks(self.ranks_path), self.pattern)
+        return _SUBWORDS[key]
 
 
 def _bodies(df: DataFrame, text_col: str) -> DataFrame:
@@ -190,7 +198,8 @@ def _rows(kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
 def trained(texts: DataFrame, trainers: int, tokenizer: Tokenizer, vocabulary: lm.Vocabulary, after: np.ndarray, weights: dict, rate: float, least: int = 0) -> dict:
     """Weights after every trainer has gone over its share of the texts from the given ones: the mean of their results.
 
-    Texts are dealt out by hash. A trainer sends its weights as one row a number, and the mean is an aggregate.
+    A trainer sends its weights as one row a number, and the mean is an aggregate. One trainer reads the texts where they
+    lie, and goes over them until `least` windows are done.
     """
     shared = texts.sparkSession.sparkContext.broadcast((vocabulary, after, weights))
 
@@ -202,7 +211,7 @@ def trained(texts: DataFrame, trainers: int, tokenizer: Tokenizer, vocabulary: l
             flat = np.concatenate([trainer.w[name].ravel() for name in sorted(trainer.w)]).astype(np.float64)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat * done), pa.array(np.full(len(flat), done, dtype=np.int64))], ["at", "value", "done"])
 
-    dealt = texts.repartition(trainers, F.xxhash64("body"))
+    dealt = texts.coalesce(1) if trainers == 1 else texts.repartition(trainers)
     mean = dealt.mapInArrow(run, "at long, value double, done long").groupBy("at").agg((F.sum("value") / F.sum("done")).alias("value")).orderBy("at").toArrow()
     if not mean.num_rows:
         return weights
@@ -255,6 +264,28 @@ def fit(df: DataFrame, train: Column, ranks_path: str, pattern: str, text_col: s
     return lm.Model(vocabulary, after, within, weights), base, words
 
 
+_NONE = np.empty(0, dtype=np.int64)
+
+
+class Marks:
+    """log10(count + 1) of words by their numbers in a worker's memory of words; -1 where a word is not a common one."""
+
+    def __init__(self, common: dict[int, int]):
+        self.common, self.values, self.filled, self.turn = common, np.empty(0), 0, -1
+
+    def of(self, subwords: Subwords, numbers: np.ndarray) -> np.ndarray:
+        if self.turn != subwords.turn:
+            self.filled, self.turn = 0, subwords.turn
+        known = len(subwords.known)
+        if self.filled < known:
+            if len(self.values) < len(subwords.hashes):
+                self.values = np.concatenate((self.values[: self.filled], np.empty(len(subwords.hashes) - self.filled)))
+            counts = (self.common.get(h) for h in subwords.hashes[self.filled : known].tolist())
+            self.values[self.filled : known] = [-1.0 if c is None else log10(c + 1) for c in counts]
+            self.filled = known
+        return self.values[numbers]
+
+
 def score(df: DataFrame, model: lm.Model, base: Base, words: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per input row: id, n_tokens, n_known, train_tokens, base_score, score (both log10).
 
@@ -270,35 +301,31 @@ def score(df: DataFrame, model: lm.Model, base: Base, words: DataFrame, ranks_pa
 
     def start():
         own, totals = shared.value
-        subwords = tokenizer.subwords()
+        subwords, marks = tokenizer.subwords(), Marks(totals.common)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts, n_tokens, known, logs, rare, often = [], [], [], [], [], []
             for body in batch.column("body").to_pylist():
-                parts, seen = [np.array([subwords.end], dtype=np.int32)], Counter()
-                size = 1
+                parts, size = [np.array([subwords.end], dtype=np.int32)], 1
+                sure, logged = int(totals.texts > 0), log10(totals.texts + 1)
+                keys, times = [], []
                 for part in pieces(body):
                     index = subwords.index(part)
                     parts.append(subwords.ids(index))
                     size += len(part)
-                    numbers, times = np.unique(index, return_counts=True)
-                    seen.update(dict(zip(subwords.hashes[numbers].tolist(), times.tolist())))
+                    numbers, n = np.unique(index, return_counts=True)
+                    found = marks.of(subwords, numbers)
+                    common = found >= 0
+                    sure += int(n[common].sum())
+                    logged += float((n * found)[common].sum())
+                    keys.append(subwords.hashes[numbers[~common]])
+                    times.append(n[~common])
                 texts.append(np.concatenate([*parts, parts[0]]))
                 n_tokens.append(size)
-                sure, logged = int(totals.texts > 0), log10(totals.texts + 1)
-                keys, times = [], []
-                for h, n in seen.items():
-                    c = totals.common.get(h)
-                    if c is None:
-                        keys.append(h)
-                        times.append(n)
-                    else:
-                        sure += n
-                        logged += n * log10(c + 1)
                 known.append(sure)
                 logs.append(logged)
-                rare.append(keys)
-                often.append(times)
+                rare.append(np.concatenate(keys) if keys else _NONE)
+                often.append(np.concatenate(times) if times else _NONE)
             scores = [x / log(10) for x in own.log_probabilities(texts)]
             arrays = [batch.column("row"), batch.column("id"), pa.array(n_tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(logs, pa.float64()),
                       pa.array(scores, pa.float64()), pa.array(rare, pa.list_(pa.int64())), pa.array(often, pa.list_(pa.int64()))]
