@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from math import log, log10
 
 import numpy as np
@@ -34,6 +33,8 @@ class Subwords:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.encoding = tiktoken.Encoding("subwords", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.end = max(ranks.values()) + 1
+        self.spaced = np.zeros(self.end, dtype=bool)
+        self.spaced[[rank for token, rank in ranks.items() if token.startswith(b" ")]] = True
         self.turn = 0
         self.reset()
 
@@ -54,20 +55,29 @@ class Subwords:
             if len(known) + len(unseen) > REMEMBERED:
                 self.reset()
                 known, unseen = self.known, list(set(words))
-            encode, digest = self.encoding.encode_ordinary, xxhash.xxh3_64_intdigest
-            ids = [encode(" " + w.decode("utf-8", "replace")) for w in unseen]
+            digest = xxhash.xxh3_64_intdigest
+            ids, sizes = self._encoded(unseen)
             first, n = len(known), len(unseen)
-            sizes = np.fromiter(map(len, ids), dtype=np.int64, count=n)
-            total = int(sizes.sum())
+            total = len(ids)
             self._grow(first + n, self.used + total)
             self.hashes[first : first + n] = np.fromiter(map(digest, unseen), dtype=np.uint64, count=n).view(np.int64)
             self.sizes[first : first + n] = sizes
             self.begins[first : first + n] = self.used + np.cumsum(sizes) - sizes
-            self.flat[self.used : self.used + total] = np.fromiter((i for x in ids for i in x), dtype=np.int32, count=total)
+            self.flat[self.used : self.used + total] = ids
             self.used += total
             known.update(zip(unseen, range(first, first + n)))
         return np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
 
+    def _encoded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words, each after a space, and how many each has.
+
+        Words are encoded as one text: the split pattern begins anew at a space after a word, and only the first id of a
+        word begins with a space.
+        """
+        ids = np.array(self.encoding.encode_ordinary(" " + b" ".join(words).decode("utf-8", "replace")), dtype=np.int32)
+        begins = np.flatnonzero(self.spaced[ids])
+        return ids, np.diff(np.append(begins, len(ids)))
+
     def _grow(self, words: int, ids: int) -> None:
         while words > len(self.hashes):
             self.hashes, self.begins, self.sizes = (np.concatenate((a, np.empty_like(a))) for a in (self.hashes, self.begins, self.sizes))
@@ -159,26 +169,39 @@ def corpus_counts(texts: DataFrame, tokenizer: Tokenizer, vocabulary: lm.Vocabul
     def run(batches):
         subwords, v = tokenizer.subwords(), shared.value
         counts, ids_seen = lm.Counts(v), np.zeros(v.size, dtype=np.int64)
-        words: Counter = Counter()
+        tally, pending = np.zeros(0, dtype=np.int64), []
+
+        def tallied():
+            if not pending:
+                return tally
+            seen = np.bincount(np.concatenate(pending), minlength=len(tally))
+            pending.clear()
+            seen[: len(tally)] += tally
+            return seen
+
         for batch in batches:
             texts_ids = []
             for body in batch.column("body").to_pylist():
                 parts = [np.array([subwords.end], dtype=np.int32)]
                 for part in pieces(body):
-                    words.update(part)
-                    parts.append(subwords.ids(subwords.index(part)))
+                    if len(subwords.known) + len(part) > REMEMBERED:
+                        # Numbers of words are about to be given out anew.
+                        yield _word_rows(subwords, tallied())
+                        tally = tally[:0]
+                        subwords.reset()
+                    index = subwords.index(part)
+                    pending.append(index)
+                    parts.append(subwords.ids(index))
                 texts_ids.append(np.concatenate([*parts, parts[0]]))
+            if pending:
+                tally = tallied()
             flat = np.concatenate(texts_ids)
             lengths = np.array([len(x) for x in texts_ids])
             starts = np.zeros(len(flat), dtype=bool)
             starts[np.cumsum(lengths) - lengths] = True
             counts.add(flat, starts)
             ids_seen += np.bincount(flat[~starts], minlength=v.size)
-            if len(words) > REMEMBERED:
-                yield _word_rows(words)
-                words = Counter()
-        if words:
-            yield _word_rows(words)
+        yield _word_rows(subwords, tally)
         for kind, table in ((ID, ids_seen), (AFTER, counts.next_class.ravel()), (WITHIN, counts.next_id.ravel())):
             at = np.flatnonzero(table)
             yield _rows(kind, at, table[at].astype(np.int64))
@@ -186,9 +209,9 @@ def corpus_counts(texts: DataFrame, tokenizer: Tokenizer, vocabulary: lm.Vocabul
     return texts.mapInArrow(run, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
-def _word_rows(words: Counter) -> pa.RecordBatch:
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words)).view(np.int64)
-    return _rows(WORD, hashes, np.fromiter(words.values(), dtype=np.int64, count=len(words)))
+def _word_rows(subwords: Subwords, tally: np.ndarray) -> pa.RecordBatch:
+    at = np.flatnonzero(tally)
+    return _rows(WORD, subwords.hashes[at], tally[at])
 
 
 def _rows(kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
