@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,7 +97,8 @@ def labelled_rows(documents: DataFrame, labels: DataFrame, id_col: str, text_col
     rows = documents.select(col(id_col).alias("key"), F.coalesce(col(text_col), F.lit("")).cast("string").cast("binary").alias("body")).join(F.broadcast(chosen), "key")
     rows = rows.select("body", "target", F.xxhash64("body").alias("copy"))
     copies = rows.groupBy("copy").agg((1 / F.count("*")).alias("share"))
-    return rows.join(copies, "copy").select("body", F.pmod("copy", F.lit(2)).cast("int").alias("half"), "target", "share")
+    # At most as many rows as there are chosen labels, so they go to the texts, not the texts to them.
+    return rows.join(F.broadcast(copies), "copy").select("body", F.pmod("copy", F.lit(2)).cast("int").alias("half"), "target", "share")
 
 
 def bucket_counts(rows: DataFrame) -> dict[tuple[int, bool], np.ndarray]:
@@ -207,6 +208,14 @@ def kth_largest(df: DataFrame, name: str, k: int) -> float:
     return low
 
 
+def sample_key(classifier: Classifier, id_col: str, weight_col: str) -> Column:
+    """Gumbel key of a row, a function of its id and log weight; 0 where nothing is rejected."""
+    if classifier.limit == -np.inf:
+        return F.lit(0.0)
+    uniform = (F.pmod(F.xxhash64(col(id_col).cast("string"), F.lit(SEED)), F.lit((1 << 52) - 1)) + 1) / F.lit(float(1 << 52))
+    return (col(weight_col) - classifier.limit) * SHARPNESS - F.log(-F.log(uniform))
+
+
 def resampled(df: DataFrame, classifier: Classifier, id_col: str, weight_col: str, key_col: str) -> tuple[DataFrame, float]:
     """The weighed table with its Gumbel keys, and the least key of the sample.
 
@@ -214,10 +223,9 @@ def resampled(df: DataFrame, classifier: Classifier, id_col: str, weight_col: st
     proportion to their sharpened weights: Gumbel noise, a function of the id, is added and the largest keys win.
     Equal keys at the limit are all in.
     """
+    keyed = df.withColumn(key_col, sample_key(classifier, id_col, weight_col))
     if classifier.limit == -np.inf:
-        return df.withColumn(key_col, F.lit(0.0)), -np.inf
-    uniform = (F.pmod(F.xxhash64(col(id_col).cast("string"), F.lit(SEED)), F.lit((1 << 52) - 1)) + 1) / F.lit(float(1 << 52))
-    keyed = df.withColumn(key_col, (col(weight_col) - classifier.limit) * SHARPNESS - F.log(-F.log(uniform)))
+        return keyed, -np.inf
     size = keyed.where(col(weight_col) >= classifier.limit).count()
     if not size:
         return keyed, np.inf
@@ -238,9 +246,14 @@ def classify(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
 
 def filtered(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The kept rows of the table, all columns."""
+    """The kept rows of the table, all columns.
+
+    Texts are weighed once for the limit of the sample and once more as they are filtered: that is cheaper than to store them.
+    """
     classifier = fit(documents, labels, id_col, text_col, **options)
-    weight, key = fresh(documents, "log_weight"), fresh(documents, "sample_key")
-    weights = written(weighed(documents, [classifier.ratio], text_col, name=weight), "weighed")
-    keyed, least = resampled(weights, classifier, id_col, weight, key)
-    return keyed.where(col(key) >= F.lit(least)).select(*[col(c) for c in documents.columns])
+    narrow = documents.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text"))
+    weights = written(weighed(narrow, [classifier.ratio], "text").drop("text"), "weights")
+    _, least = resampled(weights, classifier, "id", "log_weight", "sample_key")
+    name = fresh(documents, "log_weight")
+    again = weighed(documents, [classifier.ratio], text_col, name=name)
+    return again.where(sample_key(classifier, id_col, name) >= F.lit(least)).select(*[col(c) for c in documents.columns])
