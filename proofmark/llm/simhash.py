@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import combinations
 
 import numpy as np
@@ -91,15 +92,16 @@ def links(distinct: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     )
 
 
-def names(prints: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
+def names(prints: DataFrame, most_bits: int = MOST_BITS, link: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(fp, named): the first row of the component of a fingerprint, for fingerprints of more than one row or with a link.
 
     Takes (id, row, fp), row being a number of its own for every row. Rows are ordered by id, nulls last, then by row.
-    Equal fingerprints are one node of the graph, so copies are never paired.
+    Equal fingerprints are one node of the graph, so copies are never paired. `link` gives other links than those at few
+    bits, from (fp, least, rows), least having the first row of a fingerprint.
     """
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row"))
     groups = written(prints.groupBy("fp").agg(first.alias("least"), F.count("*").alias("rows")), "groups")
-    roots = connected_components(links(groups.select("fp"), most_bits))
+    roots = connected_components(link(groups) if link else links(groups.select("fp"), most_bits))
     rooted = written(roots.join(groups, roots.node == groups.fp).select("fp", "root", "least"), "rooted")
     named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("named")), "root").select("fp", "named")
     found = groups.join(named, "fp", "left").where("named IS NOT NULL OR rows > 1")
