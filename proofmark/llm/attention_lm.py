@@ -13,9 +13,9 @@ import numpy as np
 STRIDE = 32
 CONTEXT = 16
 WIDTH = STRIDE + CONTEXT
-DIM = 16
+DIM = 32
 #: Ids with a class of their own, and the classes the others share.
-SINGLES = 160
+SINGLES = 192
 SHARED = 32
 CLASSES = SINGLES + SHARED
 #: Ids with an embedding and a row of class counts of their own; the others use their class's.

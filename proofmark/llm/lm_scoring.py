@@ -15,12 +15,11 @@ from proofmark.llm import attention_lm as lm
 from proofmark.llm.bpe import read_ranks
 from proofmark.llm.common import add_fields, col, per_batch, split_bytes, written
 
-#: Texts that warm the model up and rank the ids: a fixed number, at most about this many.
+#: Texts that warm the model up before all texts train it: a fixed number, at most about this many.
 WARM = 1500
 #: Windows of the warm-up; where the texts have fewer, they are gone over again.
 WARM_WINDOWS = 100_000
-#: One text in so many trains the model after that, more where the corpus has few; a trainer takes about TRAINER_TEXTS.
-EVERY = 40
+#: Texts a trainer takes, about.
 TRAINER_TEXTS = 1500
 #: A word whose share of all tokens is at least one in so many is looked up in a broadcast of that many entries at most.
 COMMON = 200_000
@@ -140,7 +139,7 @@ def _bodies(df: DataFrame, text_col: str) -> DataFrame:
 
 
 def rank_counts(texts: DataFrame, tokenizer: Tokenizer, size: int) -> np.ndarray:
-    """Counts of ids in the warm-up texts."""
+    """Counts of ids in the texts; a task emits at most a row an id."""
     def run(batches):
         subwords, counts = tokenizer.subwords(), np.zeros(size, dtype=np.int64)
         for batch in batches:
@@ -155,11 +154,11 @@ def rank_counts(texts: DataFrame, tokenizer: Tokenizer, size: int) -> np.ndarray
     return counts
 
 
-WORD, ID, AFTER, WITHIN = range(4)
+WORD, AFTER, WITHIN = range(3)
 
 
 def corpus_counts(texts: DataFrame, tokenizer: Tokenizer, vocabulary: lm.Vocabulary) -> DataFrame:
-    """(kind, key, n) over all training texts: words by hash, ids, classes after slots, ids after classes.
+    """(kind, key, n) over all training texts: words by hash, classes after slots, ids after classes.
 
     Words are told apart by 64 bits of hash. A task holds counts of a bounded number of words at a time, and emits at most
     a fixed number of other rows.
@@ -168,7 +167,7 @@ def corpus_counts(texts: DataFrame, tokenizer: Tokenizer, vocabulary: lm.Vocabul
 
     def run(batches):
         subwords, v = tokenizer.subwords(), shared.value
-        counts, ids_seen = lm.Counts(v), np.zeros(v.size, dtype=np.int64)
+        counts = lm.Counts(v)
         tally, pending = np.zeros(0, dtype=np.int64), []
 
         def tallied():
@@ -200,9 +199,8 @@ def corpus_counts(texts: DataFrame, tokenizer: Tokenizer, vocabulary: lm.Vocabul
             starts = np.zeros(len(flat), dtype=bool)
             starts[np.cumsum(lengths) - lengths] = True
             counts.add(flat, starts)
-            ids_seen += np.bincount(flat[~starts], minlength=v.size)
         yield _word_rows(subwords, tally)
-        for kind, table in ((ID, ids_seen), (AFTER, counts.next_class.ravel()), (WITHIN, counts.next_id.ravel())):
+        for kind, table in ((AFTER, counts.next_class.ravel()), (WITHIN, counts.next_id.ravel())):
             at = np.flatnonzero(table)
             yield _rows(kind, at, table[at].astype(np.int64))
 
@@ -255,8 +253,8 @@ class Base:
 def fit(df: DataFrame, train: Column, ranks_path: str, pattern: str, text_col: str = "text") -> tuple[lm.Model, Base, DataFrame]:
     """Model, base totals and word counts from the rows for which `train` holds.
 
-    Counts cover all of them. Attention weights are trained on a fixed number of texts first, then on one text in EVERY by
-    as many trainers as that takes, so training grows with the corpus.
+    Counts cover all of them, those that rank the ids for the vocabulary too. Attention weights are trained on a fixed number
+    of texts first, then on all of them by as many trainers as that takes, at every size.
     """
     tokenizer, ranks = Tokenizer(ranks_path, pattern), read_ranks(ranks_path)
     kinds = kinds_of(ranks)
@@ -264,20 +262,16 @@ def fit(df: DataFrame, train: Column, ranks_path: str, pattern: str, text_col: s
     total = texts.count()
     share = F.pmod(F.xxhash64("body", F.lit(7)), F.lit(max(1, total // WARM)))
     warm = written(texts.where(share == 0), "warm")
-    vocabulary = lm.Vocabulary(rank_counts(warm, tokenizer, len(kinds)), kinds)
+    vocabulary = lm.Vocabulary(rank_counts(texts, tokenizer, len(kinds)), kinds)
     counts = written(corpus_counts(texts, tokenizer, vocabulary), "counts")
     small = counts.where(F.col("kind") != WORD).toArrow()
     kind, key, n = (small.column(c).to_numpy() for c in ("kind", "key", "n"))
     tables = lm.Counts(vocabulary)
-    ids = np.zeros(len(kinds))
-    for k, table in ((ID, ids), (AFTER, tables.next_class.ravel()), (WITHIN, tables.next_id.ravel())):
+    for k, table in ((AFTER, tables.next_class.ravel()), (WITHIN, tables.next_id.ravel())):
         table[key[kind == k]] = n[kind == k]
-    vocabulary.share_out(ids)
     after, within = tables.tables()
     weights = trained(warm, 1, tokenizer, vocabulary, after, lm.starting_weights(), 6e-3, WARM_WINDOWS)
-    every = max(1, min(EVERY, total // (2 * TRAINER_TEXTS)))
-    part = texts.where(F.pmod(F.xxhash64("body", F.lit(11)), F.lit(every)) == 0)
-    weights = trained(part, max(1, round(total / every / TRAINER_TEXTS)), tokenizer, vocabulary, after, weights, 3e-3)
+    weights = trained(texts, max(1, round(total / TRAINER_TEXTS)), tokenizer, vocabulary, after, weights, 3e-3)
     words = counts.where(F.col("kind") == WORD).select(F.col("key").alias("hash"), "n")
     tokens, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     # The end mark is a token too, one a text.

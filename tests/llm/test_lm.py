@@ -125,3 +125,19 @@ def test_query_equals_brute_force(spark, sf_dir):
     for r in rows:
         assert (r.n_tokens, r.n_known, r.train_tokens) == want[r.doc_id][:3] and r.held_out == (r.doc_id in held)
         assert r.base_score == pytest.approx(want[r.doc_id][3]) and r.score < 0
+
+
+def test_all_texts_rank_ids_and_train(spark, monkeypatch):
+    """However many training texts there are against a trainer's share and the warm-up."""
+    prepare(spark)
+    monkeypatch.setattr(lm_scoring, "WARM", 5)
+    monkeypatch.setattr(lm_scoring, "TRAINER_TEXTS", 2)
+    seen = []
+    monkeypatch.setattr(lm_scoring, "trained", lambda texts, trainers, tok, v, after, weights, *rest: seen.append((texts.count(), trainers)) or weights)
+    docs = data.docs_of(spark, [data.words(40, i) for i in range(60)])
+    model, _, _ = lm_scoring.fit(docs, F.lit(True), queries.RANKS, public_tokenizers.PATTERN)
+    assert seen[-1] == (60, 30)
+    tokenizer = lm_scoring.Tokenizer(queries.RANKS, public_tokenizers.PATTERN)
+    counts = lm_scoring.rank_counts(lm_scoring._bodies(docs, "text"), tokenizer, model.vocabulary.size)
+    top = np.argsort(-counts, kind="stable")[: lm.SINGLES]
+    assert sorted(model.vocabulary.class_of[top]) == list(range(lm.SINGLES))
