@@ -14,8 +14,10 @@ from pyspark.sql import types as T
 
 from proofmark import schemas
 from proofmark.functions import text
+from proofmark.operators import similarity
 from proofmark.operators.filters import record_id, trace_to_record
 from proofmark.operators.ranking import keep_last
+from proofmark.session import written
 
 _EXPECTATION_FIELDS = schemas.EXPECTATION_FIELDS
 _PAYLOAD = ["inputs", "outputs", "expectations", "tags"]
@@ -173,8 +175,30 @@ def synthesize(docs: DataFrame, per_doc: int = 2, n: int | None = None, seed: st
     return rows.select("doc_uri", "pick", "question", "fact")
 
 
-def question_diversity(records: DataFrame) -> DataFrame:
-    """How often each question's term set recurs, and whether a reworded twin exists.
+def question_diversity(records: DataFrame, threshold: float = 0.8, most: int = similarity.MOST) -> DataFrame:
+    """How often each question's term set recurs, and whether a reworded question is in the set as well.
+
+    Questions are compared by their sets of content terms: equal sets are one class, named by its least record id, and two
+    classes are reworded twins at a Jaccard similarity of ``threshold`` or more. Rows (record_id, class_id, n_same, reworded,
+    first_like): first_like is the least class among the record's own and its twins, so keeping the rows where it is the
+    record's own id drops what rewords an earlier question. A question without content terms, or null, is a class with all
+    others of its kind and has no twin. A null record_id names no class before others do.
+    """
+    asked = records.select("record_id", F.array_sort(F.coalesce(text.content_terms("question"), F.array().cast("array<string>"))).alias("_terms"))
+    asked = asked.withColumn("_set", F.sha2(F.to_json("_terms"), 256))
+    sets = written(
+        asked.groupBy("_set").agg(F.any_value("_terms").alias("terms"), F.min("record_id").alias("class_id"), F.count("*").alias("n_same")), "question-sets"
+    )
+    like = similarity.twins(sets.where((F.size("terms") > 0) & F.col("class_id").isNotNull()).select(F.col("class_id").alias("id"), "terms"), threshold, most)
+    known = sets.join(like.withColumnRenamed("id", "class_id"), "class_id", "left")
+    return asked.select("record_id", "_set").join(known.drop("terms"), "_set").select(
+        "record_id", "class_id", "n_same", F.when(F.col("first").isNotNull(), "yes").otherwise("no").alias("reworded"),
+        F.coalesce("first", "class_id").alias("first_like"),
+    )
+
+
+def one_term_twins(records: DataFrame) -> DataFrame:
+    """How often each question's term set recurs, and whether a twin one term apart exists.
 
     Two questions are reworded twins when their content-term sets differ by one term added, dropped
     or swapped (sets of three terms or more). Instead of comparing pairs, each distinct term set is

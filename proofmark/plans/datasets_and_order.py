@@ -234,11 +234,21 @@ def hybrid_dataset(spark, sf):
     return flat(merged, "version", "op").select("question", "facts", "source", "version", "op")
 
 
-@query("question_diversity", ctes(base.ANSWERS, f"asked AS (SELECT record_id, list_sort({base.terms('question')}) AS t FROM answers)",
+@query("question_one_term_twins", ctes(base.ANSWERS, f"asked AS (SELECT record_id, list_sort({base.terms('question')}) AS t FROM answers)",
   "sets AS (SELECT t, count(*) AS n_same FROM asked GROUP BY t)",
   """twins AS (SELECT DISTINCT a.t FROM sets a JOIN sets b ON a.t <> b.t AND len(a.t) >= 2 AND len(b.t) >= 2 AND abs(len(a.t) - len(b.t)) <= 1
   AND greatest(len(a.t), len(b.t)) >= 3 WHERE len(list_intersect(a.t, b.t)) = greatest(len(a.t), len(b.t)) - 1)""")
   + "SELECT record_id, n_same, CASE WHEN w.t IS NULL THEN 'no' ELSE 'yes' END AS reworded FROM asked JOIN sets USING (t) LEFT JOIN twins w USING (t)")
+def question_one_term_twins(spark, sf):
+    return datasets.one_term_twins(tables.answers(spark, sf))
+
+
+@query("question_diversity", ctes(base.ANSWERS, f"asked AS (SELECT record_id, list_sort({base.terms('question')}) AS t FROM answers)",
+  "sets AS (SELECT t, min(record_id) AS class_id, count(*) AS n_same FROM asked GROUP BY t)",
+  """twins AS (SELECT a.t, min(b.class_id) AS first FROM sets a JOIN sets b ON a.t <> b.t AND 5 * len(a.t) >= 4 * len(b.t) AND 5 * len(b.t) >= 4 * len(a.t)
+  WHERE 9 * len(list_intersect(a.t, b.t)) >= 4 * (len(a.t) + len(b.t)) GROUP BY a.t)""")
+  + """SELECT record_id, class_id, n_same, CASE WHEN w.t IS NULL THEN 'no' ELSE 'yes' END AS reworded, coalesce(least(w.first, class_id), class_id) AS first_like
+FROM asked JOIN sets USING (t) LEFT JOIN twins w USING (t)""")
 def question_diversity(spark, sf):
     return datasets.question_diversity(tables.answers(spark, sf))
 

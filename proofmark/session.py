@@ -6,9 +6,10 @@ import atexit
 import os
 import shutil
 import tempfile
+import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Hot keys are split at run time even where the next step groups by the join key again.
 ADAPTIVE = {
@@ -81,3 +82,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), name)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate to the shared folder and read it back: it outlives lost executors and cuts the lineage."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -113,7 +113,7 @@ def test_synthesis_spreads_a_limit_over_documents(spark):
 def test_diversity_finds_reworded_questions(spark):
     rows = [("1", "How does alpha beta gamma work"), ("2", "how does GAMMA beta alpha work?"), ("3", "How does alpha beta delta work"),
             ("4", "How does alpha beta work"), ("5", "entirely other words here"), ("6", None), ("7", "")]
-    got = {r.record_id: (r.n_same, r.reworded) for r in datasets.question_diversity(spark.createDataFrame(rows, "record_id string, question string")).collect()}
+    got = {r.record_id: (r.n_same, r.reworded) for r in datasets.one_term_twins(spark.createDataFrame(rows, "record_id string, question string")).collect()}
     assert {k: got[k] for k in "12345"} == {"1": (2, "yes"), "2": (2, "yes"), "3": (1, "yes"), "4": (1, "yes"), "5": (1, "no")}
     assert len(got) == 7
 
