@@ -1,25 +1,27 @@
 """Nearest-neighbour retrieval without a cross join.
 
-Both variants score blocks of vectors as one matrix product inside a task and let only the best
-``k`` of each query leave the block. Queries and index are cut into bounded blocks that meet in a
-grid, by the same plan at every size. What varies is which blocks meet:
-
-* ``vector_topk``: every query block every index block, queries x index by nature.
-* ``vector_topk_approx``: only within cells of random-hyperplane hash tables. The number of cells
-  follows the index, so a query meets about as many vectors however large it is; a query also looks
-  into the neighbouring cells, one sign apart. A hot cell, such as one full of copies, is cut into
-  bounded blocks by the same grid, so no task holds it whole.
+Both variants score blocks of vectors as one matrix product inside a task and let only the best ``k`` of each query leave it:
+
+* ``vector_topk``: queries and index are cut into bounded blocks that meet in a grid, by the same plan at every size; every query
+  block meets every index block, queries x index by nature.
+* ``inverted_file`` and ``vector_topk_approx``: each vector is filed once under its closest centroid. A query looks into as many of its
+  closest cells as held-out vectors needed to find the stated share of their true neighbours.
 """
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from proofmark.session import scratch_path, written
+
 BLOCK_ROWS = 20_000
 TOPK_SCHEMA = "query_id BIGINT, vec_id BIGINT, score DOUBLE"
 
@@ -77,51 +79,157 @@ def vector_topk(
     return _rank(_grid(queries.withColumn("cells", one_cell), index.withColumn("cells", one_cell), k, skip_self, block_rows), k)
 
 
-TABLES = 6
-MOST_BITS = 12
-PER_CELL = 64
+#: Cells of an inverted file are about the root of its vectors, and at most so many, which bounds what is broadcast.
+MOST_CELLS = 16_384
+#: Centroids are fitted on about so many vectors a cell, picked by the hash of their ids, in so many rounds.
+SAMPLE_PER_CELL = 64
+FIT_ROUNDS = 3
+#: Cells are probed until this share of the true neighbours of held-out vectors lies in them.
+RECALL = 0.95
+HELD_OUT = 200
+#: Queries that are broadcast at a time.
+ROUND_QUERIES = 16_384
+
+
+def _hash_share(name: str, salt: str) -> Column:
+    """An even number from 0 to 1 for a row, from the hash of its id."""
+    return F.conv(F.substring(F.md5(F.concat(F.lit(salt), F.col(name).cast("string"))), 1, 8), 16, 10).cast("double") / 4294967296
+
+
+def _closeness(vectors: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    return np.round(vectors @ centroids.T, 9)
 
 
-def planes(dim: int, tables: int, seed: int) -> np.ndarray:
-    """Random hyperplanes, MOST_BITS a table, in three decimals so that they can be written down."""
-    return np.random.default_rng(seed).standard_normal((dim, tables * MOST_BITS)).round(3)
+def _nearest(vectors: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """The closest centroid of each vector, the first of equals."""
+    return np.concatenate([_closeness(vectors[i : i + 1024], centroids).argmax(axis=1) for i in range(0, max(len(vectors), 1), 1024)])
 
 
-def bits_for(rows: int, per_cell: int = PER_CELL) -> int:
-    """Signs a table looks at, so that a cell of an even index holds about ``per_cell`` vectors."""
-    return max(3, min(MOST_BITS, int(np.ceil(np.log2(max(rows, 1) / per_cell)))))
+@dataclass
+class InvertedFile:
+    """Vectors filed under their closest centroid, each once, and the number of closest cells that a query looks into."""
 
+    filed: DataFrame  # cell, vec_id, embedding; written in the order of cells
+    centroids: np.ndarray
+    probes: int
 
-def hash_cells(df: DataFrame, key: str, tables: int, bits: int, dim: int, seed: int, probe: bool = False) -> DataFrame:
-    """Add ``cells``: per hash table, the sign pattern against random hyperplanes; with ``probe``, those one sign apart as well."""
-    chosen = planes(dim, tables, seed).reshape(dim, tables, MOST_BITS)[:, :, :bits].reshape(dim, tables * bits)
-    weights = 1 << np.arange(bits)
-    flips = np.concatenate(([0], weights)) if probe else np.zeros(1, dtype=np.int64)
+    def cells_of(self, vectors: np.ndarray) -> np.ndarray:
+        """The cells to look into, closest first, for each unit vector."""
+        return np.argsort(-_closeness(vectors, self.centroids), axis=1, kind="stable")[:, : self.probes]
 
-    def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _moved(sample: DataFrame, centroids: np.ndarray) -> np.ndarray:
+    """Centroids in the middle of the vectors closest to them; one that no vector is closest to stays."""
+    shared = sample.sparkSession.sparkContext.broadcast(centroids)
+
+    def totals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = shared.value
+        total = np.zeros_like(held)
+        for batch in batches:
+            if len(batch):
+                vectors = _unit(batch["embedding"])
+                np.add.at(total, _nearest(vectors, held), vectors)
+        some = np.flatnonzero(np.abs(total).sum(axis=1))
+        if len(some):
+            yield pd.DataFrame({"cell": some, "total": list(total[some])})
+
+    def added(parts: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"cell": parts["cell"].iloc[:1], "total": [np.stack(list(parts["total"])).sum(axis=0)]})
+
+    schema = "cell BIGINT, total ARRAY<DOUBLE>"
+    out = centroids.copy()
+    for row in sample.mapInPandas(totals, schema).groupBy("cell").applyInPandas(added, schema).collect():  # one row a cell
+        out[row.cell] = _unit([row.total])[0].round(6)
+    shared.unpersist()
+    return out
+
+
+def inverted_file(index: DataFrame, k: int = 3, recall: float = RECALL, cells: int | None = None) -> InvertedFile:
+    """Fit an inverted file on ``vec_id, embedding`` and file every vector.
+
+    Centroids come from a few rounds of spherical k-means on a sample that is chosen by hash, SAMPLE_PER_CELL vectors a cell.
+    The number of probes is the least that holds the share ``recall`` of the true ``k`` neighbours of HELD_OUT vectors, which are
+    looked up exactly. Vectors that are null are not filed; a zero vector is filed like any other.
+    """
+    index = index.where("embedding IS NOT NULL").select("vec_id", "embedding")
+    spark = index.sparkSession
+    rows = index.count()
+    cells = cells or max(1, min(MOST_CELLS, math.ceil(math.sqrt(rows))))
+    first = index.orderBy(F.md5(F.col("vec_id").cast("string"))).limit(cells).collect()
+    if not first:
+        return InvertedFile(index.select(F.lit(0).alias("cell"), "vec_id", "embedding"), np.zeros((1, 1)), 1)
+    centroids = _unit([r.embedding for r in first]).round(6)
+    sample = index.where(_hash_share("vec_id", "s") < min(1.0, SAMPLE_PER_CELL * cells / rows))
+    for _ in range(FIT_ROUNDS):
+        centroids = _moved(sample, centroids)
+
+    shared = spark.sparkContext.broadcast(centroids)
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if len(batch) == 0:
-                continue
-            signs = (np.round(_unit(batch["embedding"]) @ chosen, 9) >= 0).reshape(len(batch), tables, bits)
-            codes = ((signs * weights).sum(axis=2)[:, :, None] ^ flips) + (np.arange(tables) * (1 << bits))[:, None]
-            yield batch.assign(cells=list(codes.reshape(len(batch), -1).astype(np.int32)))
+            if len(batch):
+                yield batch.assign(cell=_nearest(_unit(batch["embedding"]), shared.value))
 
-    return df.select(key, "embedding").mapInPandas(cells, f"{key} BIGINT, embedding ARRAY<FLOAT>, cells ARRAY<INT>")
+    placed = index.mapInPandas(place, "vec_id BIGINT, embedding ARRAY<FLOAT>, cell BIGINT").select("cell", "vec_id", "embedding")
+    # By cell, then by hash: a cell full of copies is many partitions.
+    filed = written(placed.repartitionByRange("cell", F.xxhash64("vec_id")).sortWithinPartitions("cell"), "inverted-file")
 
+    asked = index.orderBy(F.md5(F.concat(F.lit("h"), F.col("vec_id").cast("string")))).limit(HELD_OUT).collect()
+    held = spark.createDataFrame([(r.vec_id, list(r.embedding)) for r in asked], "query_id BIGINT, embedding ARRAY<FLOAT>")
+    true = vector_topk(held, index, k, skip_self=True).select("query_id", "vec_id")
+    met = true.join(filed.select("vec_id", "cell"), "vec_id").select("query_id", "cell").collect()  # k a held-out vector
+    order = np.argsort(-_closeness(_unit([r.embedding for r in asked]), centroids), axis=1, kind="stable")
+    place_of = {r.vec_id: {int(c): n + 1 for n, c in enumerate(line)} for r, line in zip(asked, order)}
+    ranks = sorted(place_of[r.query_id][r.cell] for r in met)
+    probes = ranks[math.ceil(recall * len(ranks)) - 1] if ranks else 1
+    return InvertedFile(filed, centroids, probes)
 
-def vector_topk_approx(
-    queries: DataFrame, index: DataFrame, k: int = 3, dim: int = 64, tables: int = TABLES, bits: int | None = None,
-    seed: int = 11, skip_self: bool = False, block_rows: int = BLOCK_ROWS,
-) -> DataFrame:
-    """Approximate ``k`` nearest: a pair meets if it shares a cell of any table, or is one sign from that; scores are exact.
 
-    ``bits`` follows the number of vectors unless it is given: more bits make smaller cells, more tables find more.
+def vector_topk_approx(queries: DataFrame, file: InvertedFile, k: int = 3, skip_self: bool = False) -> DataFrame:
+    """The ``k`` nearest by cosine among the vectors in the cells a query looks into; scores are exact.
+
+    Queries are broadcast in rounds of ROUND_QUERIES, each with the cells it looks into, so vectors stay where they are filed and
+    only a task's best ``k`` of a query are shuffled. Query ids are unique; null vectors ask nothing.
     """
-    bits = bits or bits_for(index.count())
-    q = hash_cells(queries, "query_id", tables, bits, dim, seed, probe=True)
-    v = hash_cells(index, "vec_id", tables, bits, dim, seed)
-    met = _grid(q, v, k, skip_self, block_rows).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    return _rank(met, k)
+    spark = file.filed.sparkSession
+    path = scratch_path(spark, f"probed-{uuid.uuid4().hex}")
+    spark.createDataFrame([], TOPK_SCHEMA).write.parquet(f"{path}/round=-1")
+
+    def ask(number: int, held: list) -> None:
+        ids, vectors = np.array([r.query_id for r in held], dtype=np.int64), _unit([r.embedding for r in held])
+        probed = file.cells_of(vectors)
+        cells, who = probed.ravel(), np.repeat(np.arange(len(ids)), probed.shape[1])
+        order = np.argsort(cells, kind="stable")
+        starts = np.searchsorted(cells[order], np.arange(len(file.centroids) + 1))
+        shared = spark.sparkContext.broadcast((ids, vectors, who[order], starts))
+
+        def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            query_ids, asked, waiting, begin = shared.value
+            found, rows = [], 0
+            for batch in batches:
+                for cell, part in batch.groupby("cell"):
+                    at = waiting[begin[cell] : begin[cell + 1]]
+                    if len(at):
+                        best = _best(query_ids[at], asked[at], part["vec_id"].to_numpy(dtype=np.int64), _unit(part["embedding"]), k, skip_self)
+                        found, rows = [*found, best], rows + len(best[0])
+                if rows > 4 * k * len(query_ids):
+                    found = [_cut(tuple(np.concatenate(column) for column in zip(*found)), k)]
+                    rows = len(found[0][0])
+            if found:
+                yield _frame(_cut(tuple(np.concatenate(column) for column in zip(*found)), k))
+
+        file.filed.mapInPandas(score, TOPK_SCHEMA).write.parquet(f"{path}/round={number}")
+        shared.unpersist()
+
+    number, held = 0, []
+    for row in queries.where("embedding IS NOT NULL").select("query_id", "embedding").toLocalIterator():
+        held.append(row)
+        if len(held) == ROUND_QUERIES:
+            ask(number, held)
+            number, held = number + 1, []
+    if held:
+        ask(number, held)
+    return _rank(spark.read.schema(TOPK_SCHEMA).parquet(path), k)
 
 
 def _grid(queries: DataFrame, index: DataFrame, k: int, skip_self: bool, block_rows: int) -> DataFrame:

@@ -174,23 +174,42 @@ def vector_topk(spark, sf):
     return retrieval.vector_topk(queries, index, 3).select("query_id", "vec_id", "rank", F.round("score", 6).alias("score"))
 
 
-def _lsh_sql() -> str:
-    """Written from the definition: sign patterns of the listed planes, pairs at most one sign apart in some table."""
-    listed = retrieval.planes(64, retrieval.TABLES, 11).T.tolist()
-    tables_ = [listed[t * retrieval.MOST_BITS : (t + 1) * retrieval.MOST_BITS] for t in range(retrieval.TABLES)]
-    return f"""WITH size AS (SELECT greatest(3, least({retrieval.MOST_BITS}, ceil(log2(count(*) / {retrieval.PER_CELL}.0)))) AS bits FROM embeddings),
-planes AS (SELECT unnest(range({retrieval.TABLES})) AS t, unnest({tables_}::DOUBLE[][][]) AS ps),
-codes AS (SELECT vec_id, embedding::DOUBLE[] AS e, t, list_sum([CASE WHEN b < bits AND round(list_inner_product(embedding::DOUBLE[], ps[b + 1]) / sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])), 9) >= 0
-  THEN (1::BIGINT << b) ELSE 0 END FOR b IN range({retrieval.MOST_BITS})])::BIGINT AS code FROM embeddings, planes, size),
-met AS (SELECT DISTINCT q.vec_id AS query_id, v.vec_id, round(list_cosine_similarity(q.e, v.e), 9) AS s FROM codes q JOIN codes v ON q.t = v.t AND bit_count(xor(q.code, v.code)) <= 1)
+def _probed_sql() -> str:
+    """Written from the definition: centroids by rounds of k-means, probes from held-out vectors, neighbours from the probed cells."""
+    def closest(rows: str, centroids: str) -> str:
+        return f"""SELECT r.vec_id, r.u, c.cell FROM {rows} r, {centroids} c
+  QUALIFY row_number() OVER (PARTITION BY r.vec_id ORDER BY round(list_inner_product(r.u, c.m), 9) DESC, c.cell) = 1"""
+
+    def moved(n: int) -> str:
+        return f"""a{n} AS MATERIALIZED ({closest('sample', f'c{n}')}),
+s{n} AS (SELECT cell, list(x ORDER BY d) AS total FROM (SELECT cell, d, sum(x) AS x FROM (SELECT cell, unnest(u) AS x, generate_subscripts(u, 1) AS d FROM a{n}) GROUP BY cell, d) GROUP BY cell),
+c{n + 1} AS MATERIALIZED (SELECT cell, CASE WHEN total IS NULL THEN m ELSE list_transform(total, lambda x: round(x / sqrt(list_inner_product(total, total)), 6)) END AS m
+  FROM c{n} LEFT JOIN s{n} USING (cell))"""
+
+    rounds = retrieval.FIT_ROUNDS
+    return f"""WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE embedding IS NOT NULL),
+u AS MATERIALIZED (SELECT vec_id, list_transform(e, lambda x: x / CASE WHEN list_inner_product(e, e) = 0 THEN 1 ELSE sqrt(list_inner_product(e, e)) END) AS u FROM v),
+size AS (SELECT count(*) AS n, greatest(1, least({retrieval.MOST_CELLS}, ceil(sqrt(count(*))))) AS cells FROM u),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY md5(vec_id::VARCHAR)) - 1 AS cell, list_transform(u, lambda x: round(x, 6)) AS m FROM u
+  QUALIFY cell < (SELECT cells FROM size)),
+sample AS (SELECT * FROM u WHERE ('0x' || substr(md5('s' || vec_id), 1, 8))::BIGINT / 4294967296.0::DOUBLE < (SELECT {retrieval.SAMPLE_PER_CELL} * cells / n FROM size)),
+{", ".join(moved(n) for n in range(rounds))},
+filed AS MATERIALIZED ({closest('u', f'c{rounds}')}),
+seen AS MATERIALIZED (SELECT vec_id, u, cell, row_number() OVER (PARTITION BY vec_id ORDER BY round(list_inner_product(u, m), 9) DESC, cell) AS place FROM u, c{rounds}),
+held AS (SELECT * FROM u ORDER BY md5('h' || vec_id) LIMIT {retrieval.HELD_OUT}),
+true_ones AS (SELECT h.vec_id AS query_id, f.cell FROM held h JOIN filed f ON f.vec_id <> h.vec_id
+  QUALIFY row_number() OVER (PARTITION BY h.vec_id ORDER BY round(list_inner_product(h.u, f.u), 9) DESC, f.vec_id) <= 3),
+probes AS (SELECT list_sort(list(place))[ceil({retrieval.RECALL} * count(*))::INT] AS p FROM true_ones t JOIN seen s ON s.vec_id = t.query_id AND s.cell = t.cell),
+met AS (SELECT s.vec_id AS query_id, f.vec_id, round(list_inner_product(s.u, f.u), 9) AS s FROM seen s JOIN filed f USING (cell) WHERE s.place <= (SELECT p FROM probes))
 SELECT query_id, vec_id, CAST(rank AS INT) AS rank, round(s, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id) AS rank FROM met) WHERE rank <= 3"""
 
 
-@query("vector_topk_lsh", _lsh_sql())
+@query("vector_topk_lsh", _probed_sql())
 def vector_topk_lsh(spark, sf):
     index = tables.load(spark, sf, "embeddings", "vec_id", "embedding")
     queries = index.withColumnRenamed("vec_id", "query_id")
-    return retrieval.vector_topk_approx(queries, index, 3).select("query_id", "vec_id", "rank", F.round("score", 6).alias("score"))
+    found = retrieval.vector_topk_approx(queries, retrieval.inverted_file(index), 3)
+    return found.select("query_id", "vec_id", "rank", F.round("score", 6).alias("score"))
 
 
 @query("compare_runs_rows", ctes(base.GRADED) + """SELECT record_id, scorer, a.score AS score_a, b.score AS score_b, b.score - a.score AS delta
