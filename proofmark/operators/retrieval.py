@@ -115,6 +115,8 @@ class InvertedFile:
 
     def cells_of(self, vectors: np.ndarray) -> np.ndarray:
         """The cells to look into, closest first, for each unit vector."""
+        if not self.probes:  # nothing is filed
+            return np.zeros((len(vectors), 0), dtype=np.int64)
         return np.argsort(-_closeness(vectors, self.centroids), axis=1, kind="stable")[:, : self.probes]
 
 
@@ -157,7 +159,7 @@ def inverted_file(index: DataFrame, k: int = 3, recall: float = RECALL, cells: i
     cells = cells or max(1, min(MOST_CELLS, math.ceil(math.sqrt(rows))))
     first = index.orderBy(F.md5(F.col("vec_id").cast("string"))).limit(cells).collect()
     if not first:
-        return InvertedFile(index.select(F.lit(0).alias("cell"), "vec_id", "embedding"), np.zeros((1, 1)), 1)
+        return InvertedFile(index.select(F.lit(0).alias("cell"), "vec_id", "embedding"), np.zeros((0, 0)), 0)
     centroids = _unit([r.embedding for r in first]).round(6)
     sample = index.where(_hash_share("vec_id", "s") < min(1.0, SAMPLE_PER_CELL * cells / rows))
     for _ in range(FIT_ROUNDS):
