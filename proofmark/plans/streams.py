@@ -14,7 +14,7 @@ from proofmark.plans.serving import GUARDED, KEYWORDS, LIVE_SCORERS, TOPICS
 from proofmark.plans.scoring import LEXICON
 from proofmark.session import scratch_path
 from proofmark.sources import tables
-from proofmark.streaming import jobs, run
+from proofmark.streaming import deduplicated, jobs, run, sessions
 
 
 def _live(spark, sf, name):
@@ -79,6 +79,49 @@ def stream_sessions(spark, sf):
     return spark.read.parquet(out).where("user_id >= 0").withColumns(_shown("session_start", "session_end"))
 
 
+@query("stream_sessions_by_id", ctes(base.TRACES) + """SELECT session_id, late AS correction, min(request_ms) AS first_ms, max(request_ms) AS last_ms, count(*) AS n_traces,
+  count(*) FILTER (state <> 'OK') AS n_errors FROM (SELECT *, session_id::BIGINT % 7 = 0 AND (request_ms - 1704067200000) % 600000 >= 4000 AS late FROM traces) GROUP BY ALL""")
+def stream_sessions_by_id(spark, sf):
+    """Sessions close by silence, a marker from a month later closes the last; traces that come after that are correction rows."""
+    traces = tables.traces(spark, sf).select("session_id", "state", F.timestamp_millis("request_ms").alias("request_time"), "request_ms")
+    late = (F.col("session_id").cast("bigint") % 7 == 0) & ((F.col("request_ms") - tables.EPOCH_MS) % 600_000 >= 4000)
+    kept = traces.drop("request_ms")
+    marker = traces.agg((F.max("request_time") + F.expr("INTERVAL 30 DAY")).alias("request_time")).select(F.lit("end").alias("session_id"), F.lit("OK").alias("state"), "request_time")
+    slices = [traces.where(~late).select(kept.columns), marker, traces.where(late).select(kept.columns)]
+    out = _arriving(spark, slices, lambda live, path, cp: run.to_files(sessions.closing_sessions(live), path, cp, available_now=True))
+    rows = spark.read.schema(sessions.SESSION_ROWS).parquet(out).where("session_id <> 'end'")
+    return rows.select("session_id", "correction", "first_ms", "last_ms", "n_traces", "n_errors")
+
+
+@query("stream_late_rows", ctes(base.LOG) + """,
+marked AS (SELECT request_id, timestamp_ms AS ms, request_id::BIGINT % 50 = 0 AND timestamp_ms < t - 3 * 86400000 AS held, t FROM log, (SELECT max(timestamp_ms) AS t FROM log)),
+arrived AS (
+  SELECT request_id, 'kept' AS kind, NULL AS late_ms FROM marked WHERE NOT held
+  UNION ALL SELECT request_id, 'repeated', NULL FROM marked WHERE NOT held AND request_id::BIGINT % 10 = 1
+  UNION ALL SELECT request_id, 'repeated', NULL FROM marked WHERE ms >= t - 86400000
+  UNION ALL SELECT request_id, 'late', t - 2 * 86400000 - ms FROM marked WHERE held
+  UNION ALL SELECT request_id, 'late', t - 2 * 86400000 - ms FROM marked WHERE ms < t - 3 * 86400000 AND request_id::BIGINT % 70 = 1)
+SELECT request_id, kind, late_ms, count(*) AS n FROM arrived GROUP BY ALL""")
+def stream_late_rows(spark, sf):
+    """Copies inside a batch and across batches, and rows two days behind the watermark: every row is kept, a repeat, or late."""
+    log = tables.inference_log(spark, sf).select("request_id", "ts", "status_code", "timestamp_ms")
+    end = log.agg(F.max("timestamp_ms").alias("t")).first().t
+    ms, no, day = F.col("timestamp_ms"), F.col("request_id").cast("bigint"), 86_400_000
+    old = ms < end - 3 * day if end is not None else F.lit(False)
+    held = (no % 50 == 0) & old
+    slices = [
+        log.where(~held).unionByName(log.where(~held & (no % 10 == 1))),
+        log.where(ms >= end - day) if end is not None else log,
+        log.where(held).unionByName(log.where(old & (no % 70 == 1))),
+    ]
+    out = _arriving(spark, slices, lambda live, path, cp: deduplicated.split_log(live, path, cp, lateness_minutes=2 * 1440, available_now=True))
+    kinds = [
+        deduplicated.read_kind(spark, out, kind, log).select("request_id", F.lit(kind).alias("kind"), F.col("late_ms") if kind == "late" else F.lit(None).cast("bigint").alias("late_ms"))
+        for kind in deduplicated.KINDS
+    ]
+    return kinds[0].unionByName(kinds[1]).unionByName(kinds[2]).groupBy("request_id", "kind", "late_ms").agg(F.count("*").alias("n"))
+
+
 @query("stream_dedupe", ctes(base.LOG) + "SELECT request_id, status_code FROM log")
 def stream_dedupe(spark, sf):
     log = tables.log_from_events(_live(spark, sf, "events"))

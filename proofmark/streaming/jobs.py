@@ -52,12 +52,6 @@ def session_stream(events: DataFrame, user: str, gap: str, time_col: str = "ts",
     )
 
 
-def session_id_stream(traces: DataFrame, time_col: str = "request_time", lateness: str = LATENESS) -> DataFrame:
-    """Running totals per known session id."""
-    live = _event_time(traces, time_col).withWatermark(time_col, lateness)
-    return live.groupBy("session_id").agg(F.count("*").alias("n_traces"), F.count_if(F.col("state") != "OK").alias("n_errors"))
-
-
 def dedupe_stream(log: DataFrame, key: str = "request_id", time_col: str = "ts", lateness: str = LATENESS) -> DataFrame:
     """One row per request under replay; the state forgets ids older than the lateness."""
     return _event_time(log, time_col).withWatermark(time_col, lateness).dropDuplicatesWithinWatermark([key])

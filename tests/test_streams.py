@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from proofmark.operators import monitoring, scorers
 from proofmark.sources import files
-from proofmark.streaming import jobs, run
+from proofmark.streaming import deduplicated, jobs, run, sessions
 
 LOG = "request_id string, ts timestamp, status_code int, execution_duration_ms double"
 
@@ -19,7 +19,7 @@ def land(spark, folder, rows, schema=LOG, time_cols=("ts",)):
 
 
 def minute(m):
-    return f"2024-01-01 {m // 60:02d}:{m % 60:02d}:00"
+    return f"2024-01-{1 + m // 1440:02d} {m % 1440 // 60:02d}:{m % 60:02d}:00"
 
 
 def test_late_rows_are_reported(spark, tmp_path):
@@ -69,15 +69,81 @@ def test_sessions_close_in_append_mode(spark, tmp_path):
     assert sorted((r.user, r.n) for r in spark.read.parquet(out).collect()) == [("u", 1), ("u", 2), ("v", 1)]
 
 
-def test_known_sessions_run_a_total(spark, tmp_path):
+SESSION = "session_id string, state string, request_time timestamp"
+
+
+def test_silent_sessions_leave_the_state(spark, tmp_path):
     source, out, cp = tmp_path / "t", str(tmp_path / "out"), str(tmp_path / "cp")
-    schema = "session_id string, state string, request_time timestamp"
-    go = lambda: run.to_batches(jobs.session_id_stream(run.read_stream(spark, str(source), schema)), out, cp, available_now=True).awaitTermination()
-    land(spark, source, [("s", "OK", minute(0)), ("t", "OK", minute(1))], schema, ("request_time",))
+    held = []
+
+    def go():
+        stream = sessions.closing_sessions(run.read_stream(spark, str(source), SESSION), gap_minutes=30)
+        query = run.to_files(stream, out, cp, available_now=True)
+        query.awaitTermination()
+        counts = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+        held.append(counts[-1] if counts else held[-1])
+
+    def rows():
+        found = spark.read.schema(sessions.SESSION_ROWS).parquet(out).collect()
+        return sorted((r.session_id, r.n_traces, r.n_errors, (r.last_ms - r.first_ms) // 60_000, r.correction) for r in found)
+
+    land(spark, source, [("s", "OK", minute(0)), ("t", "OK", minute(1)), ("s", None, minute(9)), (None, "OK", minute(2)), ("u", "OK", None)], SESSION, ("request_time",))
+    go()
+    assert rows() == [] and held[0] > 0
+    land(spark, source, [("s", "ERROR", minute(29)), ("t", "OK", minute(61))], SESSION, ("request_time",))
     go()
-    land(spark, source, [("s", "ERROR", minute(2))], schema, ("request_time",))
+    go()  # a restart without news
+    assert rows() == [("t", 1, 0, 0, False)] or rows() == []
+    land(spark, source, [("end", "OK", minute(600))], SESSION, ("request_time",))
     go()
-    assert sorted((r.session_id, r.n_traces, r.n_errors) for r in run.latest_rows(spark, out, ["session_id"]).collect()) == [("s", 2, 1), ("t", 1, 0)]
+    closed = [r for r in rows() if r[0] != "end"]
+    assert closed[0] == ("s", 3, 2, 29, False) and sum(r[1] for r in closed if r[0] == "t") == 2
+    land(spark, source, [("s", "OK", minute(40)), ("end", "OK", minute(601))], SESSION, ("request_time",))
+    go()
+    assert [r for r in rows() if r[0] == "s"] == [("s", 1, 0, 0, True), ("s", 3, 2, 29, False)]
+    land(spark, source, [("last", "OK", minute(5000))], SESSION, ("request_time",))
+    go()
+    land(spark, source, [("last", "OK", minute(5001))], SESSION, ("request_time",))
+    go()
+    assert held[-1] <= held[0] and {r[0] for r in rows()} == {"s", "t", "end"}  # the state holds the open session only
+    totals = {r.session_id: (r.n_traces, r.n_errors, r.n_corrections) for r in sessions.session_totals(spark.read.schema(sessions.SESSION_ROWS).parquet(out)).collect()}
+    assert totals["s"] == (4, 2, 1)
+
+
+def test_every_row_is_kept_repeated_or_late(spark, tmp_path):
+    source, out, cp = tmp_path / "log", str(tmp_path / "out"), str(tmp_path / "cp")
+
+    def go():
+        deduplicated.split_log(run.read_stream(spark, str(source), LOG), out, cp, lateness_minutes=60, available_now=True).awaitTermination()
+
+    land(spark, source, [("a", minute(1), 200, 1.0), ("a", minute(2), 200, 2.0), ("b", minute(200), 200, 1.0), (None, minute(190), 200, 1.0), ("n", None, 200, 1.0)])
+    go()
+    land(spark, source, [("b", minute(200), 200, 1.0), ("c", minute(150), 200, 1.0), ("d", minute(139), 200, 1.0), (None, minute(191), 200, 1.0), ("a", minute(201), 200, 1.0)])
+    go()
+    go()  # a restart without news
+    land(spark, source, [("c", minute(400), 200, 1.0), ("b", minute(10), 200, 1.0)])
+    go()
+    land(spark, source, [("c", minute(401), 200, 1.0)])
+    go()
+    live = spark.read.schema(LOG).parquet(str(source))
+    kind = lambda k: sorted(((r.request_id, r.batch) for r in deduplicated.read_kind(spark, out, k, live).collect()), key=str)
+    # Minute 139 is a minute behind the mark of batch 1. An hour after the mark has passed a kept row, its key counts as new.
+    assert kind("kept") == sorted([("a", 0), ("b", 0), (None, 0), ("c", 1), ("a", 1), ("c", 3)], key=str)
+    assert kind("repeated") == sorted([("a", 0), ("b", 1), (None, 1), ("c", 2)], key=str)
+    late = {(r.request_id, r.batch): r.late_ms for r in deduplicated.read_kind(spark, out, "late", live).collect()}
+    assert late == {("n", 0): None, ("d", 1): 60_000, ("b", 2): 131 * 60_000}
+    assert deduplicated.reckoning(spark, out, live).agg(F.sum("n").alias("n")).first().n == live.count() == 13
+
+
+def test_a_batch_reads_back_to_the_horizon_only(spark, tmp_path):
+    source, out, cp = tmp_path / "log", str(tmp_path / "out"), str(tmp_path / "cp")
+    land(spark, source, [(str(i), f"2024-01-{1 + i // 28:02d} {i % 24:02d}:00:00", 200, 1.0) for i in range(288)])
+    deduplicated.split_log(run.read_stream(spark, str(source), LOG), out, cp, lateness_minutes=60, available_now=True).awaitTermination()
+    live = spark.read.schema(LOG).parquet(str(source))
+    recent = deduplicated.kept_since(spark, out, live, 1704067200000 + 8 * 86_400_000, 1704067200000 + 9 * 86_400_000)
+    assert sorted({r.day for r in recent.collect()}) == [19731, 19732]
+    every = deduplicated.read_kind(spark, out, "kept", live)
+    assert every.count() == 288 and 5 * len(recent.inputFiles()) <= 2 * len(every.inputFiles())
 
 
 def test_clicks_outside_the_bound_do_not_match(spark, tmp_path):
