@@ -7,6 +7,8 @@ its cost follows the new rows plus one look-up of the current state.
 from __future__ import annotations
 
 import datetime
+import hashlib
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,15 +47,8 @@ def _one_per_record(records: DataFrame, order: str | None) -> DataFrame:
     return keep_last(ranked.select("record_id", *_PAYLOAD, "_o"), ["record_id"], ["_o"]).drop("_o")
 
 
-def merge_records(change_log: DataFrame, records: DataFrame, version: int, order: str | None = None) -> DataFrame:
-    """Rows that an upsert of ``records`` appends as ``version``.
-
-    Non-null incoming fields overwrite, tags are joined key by key, and a record that would not
-    change is left out: merging the same rows twice appends nothing.
-    """
-    incoming = _one_per_record(records, order)
-    current = dataset_as_of(change_log).select("record_id", *[F.col(c).alias(f"old_{c}") for c in _PAYLOAD])
-    joined = incoming.join(current, "record_id", "left")
+def _merged(joined: DataFrame, version: int) -> DataFrame:
+    """What incoming rows, joined with the state of their records (old_ columns), append as a version."""
     known = F.col("old_inputs").isNotNull()
     facts = F.struct(
         *[
@@ -78,6 +73,23 @@ def merge_records(change_log: DataFrame, records: DataFrame, version: int, order
     return merged.where(changed).select("record_id", *_PAYLOAD, F.lit(version).alias("version"), "op")
 
 
+def merge_records(change_log: DataFrame, records: DataFrame, version: int, order: str | None = None) -> DataFrame:
+    """Rows that an upsert of ``records`` appends as ``version``.
+
+    Non-null incoming fields overwrite, tags are joined key by key, and a record that would not
+    change is left out: merging the same rows twice appends nothing.
+    """
+    incoming = _one_per_record(records, order)
+    current = dataset_as_of(change_log).select("record_id", *[F.col(c).alias(f"old_{c}") for c in _PAYLOAD])
+    return _merged(incoming.join(current, "record_id", "left"), version)
+
+
+def empty_log(spark: SparkSession) -> DataFrame:
+    """A change log without rows, which the optimizer sees to be empty."""
+    fields = spark.createDataFrame([], schemas.CHANGE_LOG).schema.fields
+    return spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields]).where(F.lit(False))
+
+
 def merge_traces(change_log: DataFrame, traces: DataFrame, version: int) -> DataFrame:
     """Upsert of records made from traces; the newest trace of a question wins."""
     return merge_records(change_log, trace_to_record(traces), version, order="request_ms")
@@ -262,11 +274,24 @@ def retention_counts(log: DataFrame, as_of_ms: int, days: int) -> DataFrame:
     return log.agg(F.count_if(kept).alias("kept"), F.count_if(~kept).alias("expired"))
 
 
+#: Folders that a dataset's versions are cut into by record, and buckets of a base within each.
+PARTS = 8
+BUCKETS = 16
+
+
+def _part() -> Column:
+    return F.pmod(F.xxhash64("record_id"), F.lit(PARTS)).cast("int")
+
+
 class Dataset:
-    """A named dataset in a shared folder: one directory per committed version.
+    """A named dataset in a shared folder: one directory per committed version, and bases that sum versions up.
 
     A version is written to its own directory and counts only once the writer's success marker is
     there, so a lost job leaves no half version behind and may be run again. One writer at a time.
+
+    ``compact`` writes the state at a version as a base: a table bucketed by record. What is read later starts from the newest
+    finished base at or before the version asked for, so its cost follows the base and the versions since. A merge reads the
+    parts of the base that its records fall into and joins them where they lie, without a shuffle of the base.
     """
 
     def __init__(self, spark: SparkSession, root: str, name: str):
@@ -281,37 +306,106 @@ class Dataset:
         dataset._fs.mkdirs(dataset._dir)
         return dataset
 
-    def versions(self) -> list[int]:
+    def _finished(self, folder: str) -> list[int]:
+        at = self._dir.suffix(folder)
+        if not self._fs.exists(at):
+            return []
         found = []
-        for status in self._fs.listStatus(self._dir):
+        for status in self._fs.listStatus(at):
             label = status.getPath().getName()
             if label.startswith("v=") and self._fs.exists(status.getPath().suffix("/_SUCCESS")):
                 found.append(int(label[2:]))
         return sorted(found)
 
+    def versions(self) -> list[int]:
+        return self._finished("")
+
+    def bases(self) -> list[int]:
+        """Versions whose state is summed up in a base."""
+        return self._finished("/base")
+
+    def _log(self, versions: list[int], parts: list[int] | None = None) -> DataFrame:
+        if not versions:
+            return empty_log(self.spark)
+        log = self.spark.read.schema(f"{schemas.CHANGE_LOG}, part INT").option("basePath", self.path).parquet(*[f"{self.path}/v={v}" for v in versions])
+        return (log if parts is None else log.where(F.col("part").isin(parts))).drop("part", "v")
+
     def change_log(self) -> DataFrame:
-        paths = [f"{self.path}/v={v}" for v in self.versions()]
-        if not paths:
-            return self.spark.createDataFrame([], schemas.CHANGE_LOG)
-        return self.spark.read.schema(schemas.CHANGE_LOG).parquet(*paths)
+        """All versions, those before a base included."""
+        return self._log(self.versions())
+
+    def _base(self, version: int) -> DataFrame:
+        """A base as a bucketed table; its name is known to this session only, its files say all."""
+        name = f"base_{hashlib.sha1(self.path.encode()).hexdigest()}_{version}"
+        if not self.spark.catalog.tableExists(name):
+            self.spark.sql(
+                f"CREATE TABLE {name} ({schemas.CHANGE_LOG}, part INT) USING parquet PARTITIONED BY (part) "
+                f"CLUSTERED BY (record_id) SORTED BY (record_id) INTO {BUCKETS} BUCKETS LOCATION '{self.path}/base/v={version}'"
+            )
+            self.spark.catalog.recoverPartitions(name)
+        return self.spark.table(name)
+
+    def _since_base(self, version: int | None) -> tuple[int | None, list[int]]:
+        """The base to start from, and the versions to add to it."""
+        upto = [v for v in self.versions() if version is None or v <= version]
+        base = max((b for b in self.bases() if version is None or b <= version), default=None)
+        return base, [v for v in upto if base is None or v > base]
+
+    def compact(self, version: int | None = None) -> int:
+        """Write the state at a version (the newest by default) as a base, once. Versions stay: history reads them."""
+        found = [v for v in self.versions() if version is None or v <= version]
+        if not found:
+            raise ValueError("nothing to compact")
+        if found[-1] not in self.bases():
+            state = self.as_of(found[-1]).withColumn("part", _part()).repartition(BUCKETS, "record_id")
+            name = f"compacting_{uuid.uuid4().hex}"
+            writer = state.write.format("parquet").mode("overwrite").partitionBy("part").bucketBy(BUCKETS, "record_id").sortBy("record_id")
+            writer.option("path", f"{self.path}/base/v={found[-1]}").saveAsTable(name)
+            self.spark.sql(f"DROP TABLE {name}")  # an external table: its files stay
+        return found[-1]
 
     def _commit(self, rows: DataFrame, version: int) -> int:
-        rows.write.mode("overwrite").parquet(f"{self.path}/v={version}")
+        rows.withColumn("part", _part()).write.mode("overwrite").partitionBy("part").parquet(f"{self.path}/v={version}")
         return version
 
     def next_version(self) -> int:
         return max(self.versions(), default=0) + 1
 
-    def merge(self, records: DataFrame, order: str | None = None) -> int:
+    def _merge(self, records: DataFrame, order: str | None) -> int:
         version = self.next_version()
-        return self._commit(merge_records(self.change_log(), with_record_id(records), version, order), version)
+        base, since = self._since_base(None)
+        if base is None:
+            return self._commit(merge_records(self._log(since), records, version, order), version)
+        incoming = written(_one_per_record(records, order), "incoming")
+        parts = sorted(r.part for r in incoming.select(_part().alias("part")).distinct().collect())
+        return self._commit(_merged(self.with_state(incoming, base, since, parts), version), version)
+
+    def with_state(self, incoming: DataFrame, base: int, since: list[int], parts: list[int]) -> DataFrame:
+        """Incoming rows, all of some parts, with the state of their records as old_ columns: newer versions first, then the base."""
+        payload = F.struct(*_PAYLOAD)
+        held = self._base(base).where(F.col("part").isin(parts)).select("record_id", payload.alias("_held"))
+        joined = incoming.join(held, "record_id", "left")
+        if since:
+            newer = dataset_as_of(self._log(since, parts)).select("record_id", payload.alias("_newer"))
+            joined = joined.join(newer, "record_id", "left").withColumn("_held", F.coalesce("_newer", "_held"))
+        return joined.select("record_id", *_PAYLOAD, *[F.col(f"_held.{c}").alias(f"old_{c}") for c in _PAYLOAD])
+
+    def merge(self, records: DataFrame, order: str | None = None) -> int:
+        return self._merge(with_record_id(records), order)
 
     def merge_traces(self, traces: DataFrame) -> int:
-        version = self.next_version()
-        return self._commit(merge_traces(self.change_log(), traces, version), version)
+        return self._merge(trace_to_record(traces), "request_ms")
 
     def as_of(self, version: int | None = None) -> DataFrame:
-        return dataset_as_of(self.change_log(), version)
+        base, since = self._since_base(version)
+        newer = dataset_as_of(self._log(since))
+        if base is None:
+            return newer
+        held = self._base(base).drop("part")
+        if not since:
+            return held
+        newer = newer.select(*held.columns)
+        return held.join(newer.select("record_id"), "record_id", "left_anti").select(*held.columns).unionByName(newer)
 
     def history(self) -> DataFrame:
         return dataset_history(self.change_log())

@@ -12,7 +12,7 @@ from proofmark.operators import datasets, filters, ranking, setops
 from proofmark.plans import base
 from proofmark.plans.base import ctes, query
 from proofmark.plans.tables_and_filters import AS_OF_MS
-from proofmark.session import scratch_path
+from proofmark.session import scratch_path, written
 from proofmark.sources import files, tables
 
 # --- order --------------------------------------------------------------------------------------
@@ -100,9 +100,8 @@ def second_records(spark, sf):
 
 
 def change_log(spark, sf):
-    """The rows that two merges append, as one lazy plan."""
-    empty = spark.createDataFrame([], schemas.CHANGE_LOG)
-    v1 = datasets.merge_records(empty, datasets.with_record_id(first_records(spark, sf)), 1, order="outputs")
+    """The rows that two merges append; the first version is written before the second is merged into it."""
+    v1 = written(datasets.merge_records(datasets.empty_log(spark), datasets.with_record_id(first_records(spark, sf)), 1, order="outputs"), "v1")
     v2 = datasets.merge_records(v1, datasets.with_record_id(second_records(spark, sf)), 2, order="outputs")
     return v1.unionByName(v2)
 
@@ -140,7 +139,7 @@ def merge_records(spark, sf):
 
 @query("dataset_as_of", ctes(CHANGE_LOG) + "SELECT question, outputs, facts, source, category, version FROM change_log WHERE version <= 1")
 def dataset_as_of(spark, sf):
-    return flat(datasets.dataset_as_of(change_log(spark, sf), 1), "version")
+    return flat(datasets.dataset_as_of(written(change_log(spark, sf), "log"), 1), "version")
 
 
 @query("dataset_history", ctes(CHANGE_LOG) + """SELECT version, count(*) AS n_rows, count(*) FILTER (op = 'insert') AS n_inserted, count(*) FILTER (op = 'update') AS n_updated
@@ -164,8 +163,7 @@ def dataset_diff(spark, sf):
 @query("merge_traces", ctes(base.TRACES) + """SELECT request AS question, response AS outputs, trace_id, 1 AS version, 'insert' AS op FROM traces
 QUALIFY row_number() OVER (PARTITION BY request ORDER BY request_ms DESC) = 1""")
 def merge_traces(spark, sf):
-    empty = spark.createDataFrame([], schemas.CHANGE_LOG)
-    merged = datasets.merge_traces(empty, tables.traces(spark, sf), 1)
+    merged = datasets.merge_traces(datasets.empty_log(spark), tables.traces(spark, sf), 1)
     return merged.select(F.col("inputs.question").alias("question"), "outputs", F.col("tags")["trace_id"].alias("trace_id"), "version", "op")
 
 
@@ -180,7 +178,7 @@ def annotate_records(spark, sf):
         filters.record_id(inputs).alias("record_id"),
         F.to_json(F.struct(F.array("truth").alias("expected_facts"), F.col("truth").alias("expected_response"))).alias("expectations"),
     )
-    done = datasets.annotate_records(datasets.dataset_as_of(change_log(spark, sf)), labels)
+    done = datasets.annotate_records(datasets.dataset_as_of(written(change_log(spark, sf), "log")), labels)
     return done.select(
         F.col("inputs.question").alias("question"), "outputs",
         F.array_join("expectations.expected_facts", "|").alias("facts"), F.col("expectations.expected_response").alias("response"),
@@ -230,7 +228,7 @@ def hybrid_dataset(spark, sf):
     rows = datasets.with_record_id(hybrid_rows(spark, sf)).withColumn(
         "_rank", F.struct(rank.alias("r"), F.array_join("expectations.expected_facts", "|").alias("f"))
     )
-    merged = datasets.merge_records(spark.createDataFrame([], schemas.CHANGE_LOG), rows, 1, order="_rank")
+    merged = datasets.merge_records(datasets.empty_log(spark), rows, 1, order="_rank")
     return flat(merged, "version", "op").select("question", "facts", "source", "version", "op")
 
 

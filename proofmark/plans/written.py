@@ -51,6 +51,20 @@ def create_dataset(spark, sf):
     return flat(datasets.Dataset.create_or_get(spark, *root_and_name).as_of(), "version")
 
 
+@query("dataset_compaction", ctes(CHANGE_LOG) + """SELECT 1 AS as_of, question, outputs, facts, source, category, version FROM change_log WHERE version = 1
+UNION ALL SELECT 2, question, outputs, facts, source, category, version FROM state""")
+def dataset_compaction(spark, sf):
+    """A base between two merges, a merge that changes nothing, and a base of that: both states, read through a base each."""
+    dataset = datasets.Dataset.create_or_get(spark, _folder(spark), "answers")
+    dataset.merge(first_records(spark, sf), order="outputs")
+    dataset.compact()
+    dataset.merge(second_records(spark, sf), order="outputs")
+    dataset.merge(second_records(spark, sf), order="outputs")
+    dataset.compact()
+    states = [flat(dataset.as_of(v), "version").select(F.lit(v).alias("as_of"), "*") for v in (1, 2)]
+    return states[0].unionByName(states[1])
+
+
 @query("dataset_snapshot", ctes(CHANGE_LOG) + "SELECT question, outputs, facts, source, category, version FROM change_log WHERE version = 1")
 def dataset_snapshot(spark, sf):
     return flat(spark.read.parquet(_two_merges(spark, sf).snapshot("weekly", 1)), "version")

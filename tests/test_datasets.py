@@ -154,3 +154,63 @@ def test_chunks_cover_every_word(spark):
     assert sorted({w for c in got[1] for w in c}) == sorted(words)
     with pytest.raises(ValueError):
         files.chunk_documents(df, "doc_id", "text", 2, 2)
+
+
+def _state(df):
+    return sorted((r.record_id, r.inputs.question, r.outputs, r.version, tuple(sorted((r.tags or {}).items()))) for r in df.collect())
+
+
+def _questions(spark, rows):
+    df = spark.createDataFrame(rows, "q string, a string, k string")
+    return df.select(
+        F.struct(F.col("q").alias("question"), F.lit(None).cast(schemas.MESSAGES).alias("messages")).alias("inputs"), F.col("a").alias("outputs"),
+        F.lit(None).cast(schemas.EXPECTATIONS).alias("expectations"), F.create_map(F.lit("kind"), "k").alias("tags"),
+    )
+
+
+def test_states_are_equal_before_and_after_compaction(spark, tmp_path):
+    plain = datasets.Dataset.create_or_get(spark, str(tmp_path), "plain")
+    summed = datasets.Dataset.create_or_get(spark, str(tmp_path), "summed")
+    with pytest.raises(ValueError):
+        summed.compact()
+    for n in range(4):
+        rows = _questions(spark, [(f"question {i}", f"answer {i % (n + 3)}", f"k{n}" if i % 2 else None) for i in range(n * 5, n * 5 + 30)])
+        plain.merge(rows)
+        summed.merge(rows)
+        if n != 1:
+            assert summed.compact() == n + 1 and summed.compact() == n + 1
+    assert summed.bases() == [1, 3, 4] and summed.versions() == [1, 2, 3, 4]
+    again = datasets.Dataset.create_or_get(spark, str(tmp_path), "summed")
+    for version in (None, 1, 2, 3, 4):
+        assert _state(again.as_of(version)) == _state(plain.as_of(version))
+    assert sorted(map(tuple, again.history().collect())) == sorted(map(tuple, plain.history().collect()))
+    before = again.change_log().count()
+    again.merge(_questions(spark, [("question 20", None, None)]))
+    assert again.change_log().count() == before and _state(again.as_of()) == _state(plain.as_of())
+
+
+def test_a_merge_reads_its_parts_and_leaves_the_base_where_it_is(spark, tmp_path):
+    dataset = datasets.Dataset.create_or_get(spark, str(tmp_path), "large")
+    dataset.merge(_questions(spark, [(f"question {i}", "a", "k") for i in range(400)]))
+    dataset.compact()
+    incoming = datasets._one_per_record(datasets.with_record_id(_questions(spark, [("question 7", "b", "k")])), None)
+    parts = [r.p for r in incoming.select(datasets._part().alias("p")).collect()]
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = dataset.with_state(incoming, 1, [], parts)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    base = plan.split("\n")
+    scan = next(i for i, line in enumerate(base) if "FileScan" in line and "base_" in line)
+    depth, above = base[scan].index("FileScan"), []
+    for line in reversed(base[:scan]):  # from the base's scan up to the join
+        at = len(line) - len(line.lstrip(" :+-*()0123456789"))
+        if at < depth:
+            depth, above = at, [*above, line]
+    above = above[: next(i for i, line in enumerate(above) if "SortMergeJoin" in line)]
+    assert above and not any("Exchange" in line for line in above) and "Bucketed: true" in base[scan]
+    assert "part" in base[scan].split("PartitionFilters:")[1].split("]")[0]
+    assert len(dataset._base(1).where(F.col("part").isin(parts)).inputFiles()) < len(dataset._base(1).inputFiles())
+    dataset.merge(_questions(spark, [("question 7", "b", "k")]))
+    assert [r.op for r in dataset.change_log().where("version = 2").collect()] == ["update"]
