@@ -27,6 +27,11 @@ def thresholds(spark: SparkSession, floors: dict[str, tuple[float, str]]) -> Dat
     return small_table(spark, rows, schemas.THRESHOLDS)
 
 
+def stored_metrics(spark: SparkSession, path: str, run_id: str) -> DataFrame:
+    """(metric, value) that a run has stored (``files.write_json``): what a later gate reads instead of scoring again."""
+    return spark.read.schema("metric STRING, value DOUBLE, run_id STRING").json(path).where(F.col("run_id") == run_id).select("metric", "value")
+
+
 def threshold_join(metrics: DataFrame, floors: DataFrame) -> DataFrame:
     """Each floor with its observed value and state. A NaN counts as missing."""
     joined = floors.join(metrics.select("metric", F.col("value").alias("observed")), "metric", "left")

@@ -11,14 +11,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from proofmark.functions import text
+from proofmark.operators.monitoring import as_assessments
 from proofmark.operators.ranking import keep_last
 
+
 def bridge_request_trace(log: DataFrame, traces: DataFrame, key: str = "client_request_id") -> DataFrame:
     """Traces whose request id is in the log."""
     ids = log.select(F.col("request_id").alias(key)).distinct()
     return traces.join(ids, key, "left_semi")
 
 
+def request_with_trace(log: DataFrame, traces: DataFrame, key: str = "client_request_id") -> DataFrame:
+    """Traces with the log row of their request as the struct ``log``; of a request logged twice, the newest row.
+
+    Traces of a request that was not logged have no row.
+    """
+    newest = keep_last(log.where(F.col("request_id").isNotNull()), ["request_id"], ["timestamp_ms"])
+    return traces.join(newest.select(F.col("request_id").alias(key), F.struct(*newest.columns).alias("log")), key)
+
+
 def latest_trace_per_request(traces: DataFrame, *carry: str) -> DataFrame:
     """The newest trace of each client request id."""
     newest = F.max_by(F.struct("trace_id", *carry), F.struct("request_ms", "trace_id"))
@@ -34,7 +45,7 @@ def unresolved_feedback(feedback: DataFrame, traces: DataFrame) -> DataFrame:
 
 
 def attach_feedback(feedback: DataFrame, traces: DataFrame) -> DataFrame:
-    """Long assessments from clicks: helpful for each, satisfaction where it was given."""
+    """Assessments (``schemas.ASSESSMENTS``) from clicks: helpful for each, satisfaction where it was given, at the time of the click."""
     rows = F.array(
         F.struct(
             F.lit("user_helpful").alias("name"),
@@ -49,8 +60,8 @@ def attach_feedback(feedback: DataFrame, traces: DataFrame) -> DataFrame:
             F.lit("aggregate").alias("source_id"),
         ),
     )
-    attached = resolve_client_request(feedback, traces).select("trace_id", F.inline(rows))
-    return attached.where(F.col("value").isNotNull()).withColumn("source_type", F.lit("HUMAN"))
+    attached = resolve_client_request(feedback, traces).select("trace_id", "clicked_ms", F.inline(rows))
+    return as_assessments(attached.where(F.col("value").isNotNull()).withColumn("source_type", F.lit("HUMAN")), "clicked_ms")
 
 
 def human_label_join(scores: DataFrame, labels: DataFrame, key: str) -> DataFrame:

@@ -109,6 +109,22 @@ def as_assessments(feedback: DataFrame, created_ms: str | Column) -> DataFrame:
     )
 
 
+def append_feedback(
+    traces: DataFrame, registry: Registry, scorers: dict[str, Callable[[], Score]], path: str, run: str, created_ms: str = "request_ms",
+) -> DataFrame:
+    """Run the batch monitor and add its feedback to a table of assessments, in the run's own folder; returns the whole table.
+
+    A run that is repeated replaces its folder. A verdict that an earlier run gave, known by its id, gets no second row.
+    """
+    spark = traces.sparkSession
+    rows = as_assessments(monitor_batch(traces, registry, scorers, carry=[created_ms]), created_ms)
+    folder, schema = f"{path}/run={run}", f"{schemas.ASSESSMENTS}, run STRING"
+    spark.createDataFrame([], schemas.ASSESSMENTS).write.mode("ignore").parquet(f"{path}/run=none")
+    given = spark.read.schema(schema).parquet(path).where(F.coalesce("run", F.lit("")) != run).select("assessment_id").distinct()
+    rows.join(given, "assessment_id", "left_anti").select(*rows.columns).write.mode("overwrite").parquet(folder)
+    return spark.read.schema(schema).parquet(path)
+
+
 def monitor_batch(traces: DataFrame, registry: Registry, scorers: dict[str, Callable[[], Score]], carry: list[str] | None = None) -> DataFrame:
     """Feedback rows of every running scorer: filter, sample and score in one pass over the traces.
 

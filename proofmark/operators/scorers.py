@@ -6,8 +6,10 @@ other rows are jobs: DataFrame in, one verdict row per key out.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -189,6 +191,53 @@ def score_trajectory(spans: DataFrame, expected: list[str]) -> DataFrame:
     return steps.withColumn("value", text.yes_no((F.col("n_steps") == len(expected)) & (F.col("n_matching") == len(expected))))
 
 
+ALIGNED = "trace_id STRING, n_steps BIGINT, n_matched BIGINT, n_inserted BIGINT, n_skipped BIGINT"
+
+
+def align_trajectory(spans: DataFrame, expected: list[str]) -> DataFrame:
+    """The path of each trace against the expected one, by their longest common subsequence, so an extra step costs that step only.
+
+    Rows trace_id, n_steps, n_matched, n_inserted (steps taken that were not expected there), n_skipped (steps expected and not
+    taken), similarity (matched steps, twice, over the steps of both), value (yes if nothing is inserted or skipped). A trace
+    without tool calls has no row. A path goes through a task step by step, in order, as bits of one number for the expected
+    path: a trace takes no more memory the longer it is.
+    """
+    bits: dict[str, int] = {}
+    for place, tool in enumerate(expected):
+        bits[tool] = bits.get(tool, 0) | 1 << place
+    full = (1 << len(expected)) - 1
+
+    def row(trace: str | None, steps: int, state: int) -> tuple:
+        matched = len(expected) - (state & full).bit_count()
+        return trace, steps, matched, steps - matched, len(expected) - matched
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_, steps, state = False, 0, full
+        current = None
+        for batch in batches:
+            done = []
+            for trace, tool in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if not open_ or trace != current:
+                    if open_:
+                        done.append(row(current, steps, state))
+                    open_, current, steps, state = True, trace, 0, full
+                steps += 1
+                kept = state & bits.get(tool, 0)
+                state = ((state + kept) | (state - kept)) & full
+            if done:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*done)], ["trace_id", "n_steps", "n_matched", "n_inserted", "n_skipped"])
+        if open_:
+            last = row(current, steps, state)
+            yield pa.RecordBatch.from_arrays([pa.array([last[0]], pa.string()), *[pa.array([x], pa.int64()) for x in last[1:]]], ["trace_id", "n_steps", "n_matched", "n_inserted", "n_skipped"])
+
+    calls = spans.where((F.col("span_type") == "TOOL") & F.col("trace_id").isNotNull()).select("trace_id", "tool", "start_time_ns", "span_id")
+    ordered = calls.repartition("trace_id").sortWithinPartitions("trace_id", "start_time_ns", "span_id").select("trace_id", "tool")
+    both = F.col("n_steps") + F.lit(len(expected))
+    return ordered.mapInArrow(walk, ALIGNED).withColumns({
+        "similarity": F.round(2 * F.col("n_matched") / both, 6), "value": text.yes_no((F.col("n_inserted") == 0) & (F.col("n_skipped") == 0)),
+    })
+
+
 def label_policy(output="outputs", question="question", off_topic: tuple[str, ...] = (), concepts: tuple[str, ...] = (), short: int = 80) -> Column:
     """Rule that stands in for a human label: short, off-topic, then concept; first match decides."""
     out, asked = text.col(output), text.col(question)

@@ -197,7 +197,7 @@ rag AS (
 
 FEEDBACK = """feedback AS (
   SELECT CAST(doc_id AS VARCHAR) AS client_request_id, 'user' || doc_id AS user_id, toxic = 0 AS helpful,
-    CASE WHEN quality = 1 THEN 5 END AS satisfaction, CASE WHEN quality = 1 THEN 'good' ELSE 'poor' END AS rationale FROM labels)"""
+    CASE WHEN quality = 1 THEN 5 END AS satisfaction, CASE WHEN quality = 1 THEN 'good' ELSE 'poor' END AS rationale, 1704067200000 + doc_id * 1000 AS clicked_ms FROM labels)"""
 
 RAW = f"""raw AS (
   SELECT CAST(doc_id AS VARCHAR) AS key, lang, source, {first_sentence('text')} AS first FROM documents)"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from proofmark.functions import text
-from proofmark.operators import agreement, joins, metrics, retrieval, setops
+from proofmark.operators import agreement, joins, keywords, metrics, ranking, retrieval, setops
 from proofmark.operators.monitoring import Registration, Registry
 from proofmark.plans import base
 from proofmark.plans.base import ctes, query, ratio
@@ -40,6 +40,17 @@ def bridge_request_trace(spark, sf):
     return joins.bridge_request_trace(log, tables.traces(spark, sf)).select("trace_id", "client_request_id")
 
 
+@query("request_with_trace", ctes(base.TRACES, base.LOG) + """SELECT trace_id, t.client_request_id, l.timestamp_ms, l.status_code, l.execution_duration_ms AS logged_ms, t.execution_duration_ms AS traced_ms,
+  l.request AS logged_request, t.request AS traced_request FROM traces t JOIN log l ON l.request_id = t.client_request_id""")
+def request_with_trace(spark, sf):
+    """What the gateway logged beside what the application traced, in one row."""
+    rows = joins.request_with_trace(tables.inference_log(spark, sf), tables.traces(spark, sf))
+    return rows.select(
+        "trace_id", "client_request_id", "log.timestamp_ms", "log.status_code", F.col("log.execution_duration_ms").alias("logged_ms"),
+        F.col("execution_duration_ms").alias("traced_ms"), F.col("log.request").alias("logged_request"), F.col("request").alias("traced_request"),
+    )
+
+
 _RESOLVED = """,
 newest AS (SELECT * FROM traces QUALIFY row_number() OVER (PARTITION BY client_request_id ORDER BY request_ms DESC, trace_id DESC) = 1)"""
 
@@ -56,12 +67,26 @@ def unresolved_feedback(spark, sf):
     return joins.unresolved_feedback(tables.feedback(spark, sf), tables.traces(spark, sf)).select("client_request_id", "user_id")
 
 
-@query("attach_feedback", ctes(base.TRACES + _RESOLVED, base.FEEDBACK) + """SELECT trace_id, 'user_helpful' AS name, CASE WHEN helpful THEN 'true' ELSE 'false' END AS value, rationale, f.user_id AS source_id, 'HUMAN' AS source_type
-FROM feedback f JOIN newest n ON f.client_request_id = n.client_request_id
-UNION ALL SELECT trace_id, 'satisfaction', CAST(satisfaction AS VARCHAR), NULL, 'aggregate', 'HUMAN'
-FROM feedback f JOIN newest n ON f.client_request_id = n.client_request_id WHERE satisfaction IS NOT NULL""")
+ATTACHED = """attached AS (
+  SELECT *, md5(concat_ws(chr(31), trace_id, name, source_id)) AS assessment_id, TRY_CAST(value AS DOUBLE) AS value_num, 'HUMAN' AS source_type FROM (
+    SELECT trace_id, 'user_helpful' AS name, CASE WHEN helpful THEN 'true' ELSE 'false' END AS value, rationale, f.user_id AS source_id, clicked_ms AS created_ms
+    FROM feedback f JOIN newest n ON f.client_request_id = n.client_request_id
+    UNION ALL SELECT trace_id, 'satisfaction', CAST(satisfaction AS VARCHAR), NULL, 'aggregate', clicked_ms
+    FROM feedback f JOIN newest n ON f.client_request_id = n.client_request_id WHERE satisfaction IS NOT NULL))"""
+
+
+@query("attach_feedback", ctes(base.TRACES + _RESOLVED, base.FEEDBACK, ATTACHED) + """SELECT trace_id, assessment_id, name, value, value_num, rationale, source_id, source_type, created_ms FROM attached""")
 def attach_feedback(spark, sf):
-    return joins.attach_feedback(tables.feedback(spark, sf), tables.traces(spark, sf))
+    rows = joins.attach_feedback(tables.feedback(spark, sf), tables.traces(spark, sf))
+    return rows.select("trace_id", "assessment_id", "name", "value", "value_num", "rationale", "source_id", "source_type", "created_ms")
+
+
+@query("feedback_to_latest", ctes(base.TRACES + _RESOLVED, base.FEEDBACK, ATTACHED) + """SELECT trace_id, name, value, created_ms FROM attached
+QUALIFY row_number() OVER (PARTITION BY trace_id, name ORDER BY created_ms DESC, assessment_id DESC) = 1""")
+def feedback_to_latest(spark, sf):
+    """Clicks become assessments, and the last word of each kind on a trace counts."""
+    rows = joins.attach_feedback(tables.feedback(spark, sf), tables.traces(spark, sf))
+    return ranking.latest_assessment(rows).select("trace_id", "name", "value", "created_ms")
 
 
 PAIRED = base.LATEST + """,
@@ -164,6 +189,21 @@ def keyword_retrieve(spark, sf):
     return joins.keyword_retrieve(tables.traces(spark, sf).select("trace_id", "request"), KEYWORD_DOC, "request").select("trace_id", "doc_id")
 
 
+@query("keyword_table_documents", f"""WITH kw AS (SELECT DISTINCT lower(left({base.first_sentence('text')}, 12)) AS keyword, CAST(item_id AS VARCHAR) AS doc_id FROM benchmark
+  UNION SELECT DISTINCT name[1:3], 'nation-' || name FROM (SELECT lower(n_name) AS name FROM nation)),
+hits AS (SELECT d.doc_id AS key, kw.doc_id, count(*) AS n FROM documents d JOIN (SELECT * FROM kw WHERE length(keyword) > 0) kw ON contains(lower(d.text), kw.keyword) GROUP BY ALL)
+SELECT d.doc_id AS key, coalesce(h.doc_id, 'none') AS doc_id, b.text AS content, coalesce(n, 0) AS n_keywords
+FROM documents d LEFT JOIN hits h ON h.key = d.doc_id LEFT JOIN benchmark b ON CAST(b.item_id AS VARCHAR) = h.doc_id""")
+def keyword_table_documents(spark, sf):
+    """Whole documents ask a table of keywords: the beginnings of benchmark passages, and of the names of nations."""
+    items = tables.load(spark, sf, "benchmark").select(F.col("item_id").cast("string").alias("doc_id"), F.col("text").alias("content"))
+    begin = items.select(F.lower(F.substring(text.first_sentence("content"), 1, 12)).alias("keyword"), "doc_id")
+    name = F.lower("n_name")
+    nations = tables.load(spark, sf, "nation", "n_name").select(F.substring(name, 1, 3).alias("keyword"), F.concat(F.lit("nation-"), name).alias("doc_id"))
+    asked = tables.load_texts(spark, sf, "doc_id", "text").select(F.col("doc_id").alias("key"), "text")
+    return keywords.keyword_documents(asked, "key", "text", begin.unionByName(nations), items)
+
+
 @query("vector_topk", """SELECT query_id, vec_id, CAST(rank AS INT) AS rank, score FROM (
   SELECT q.vec_id AS query_id, v.vec_id, round(round(list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 9), 6) AS score,
     row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 9) DESC, v.vec_id) AS rank

@@ -162,6 +162,26 @@ def score_trajectory(spark, sf):
     return scorers.score_trajectory(tables.tool_spans(spark, sf), ["view", "click"])
 
 
+ROUTE = ["view", "click", "view", "purchase"]
+
+
+@query("score_trajectory_alignment", ctes(base.TOOLS).replace("WITH ", "WITH RECURSIVE ", 1) + """,
+steps AS (SELECT trace_id, tool, row_number() OVER (PARTITION BY trace_id ORDER BY start_time_ns, span_id) AS n FROM tools),
+walked AS (
+  SELECT trace_id, 0 AS n, 0 AS a, 0 AS b, 0 AS c, 0 AS d FROM steps WHERE n = 1
+  UNION ALL
+  SELECT trace_id, n, a1, b1, c1, greatest(d, c1, CASE WHEN tool = 'purchase' THEN c + 1 ELSE 0 END)
+  FROM (SELECT *, greatest(c, b1, CASE WHEN tool = 'view' THEN b + 1 ELSE 0 END) AS c1
+    FROM (SELECT *, greatest(b, a1, CASE WHEN tool = 'click' THEN a + 1 ELSE 0 END) AS b1
+      FROM (SELECT w.trace_id, s.n, s.tool, w.a, w.b, w.c, w.d, greatest(w.a, CASE WHEN s.tool = 'view' THEN 1 ELSE 0 END) AS a1
+        FROM walked w JOIN steps s ON s.trace_id = w.trace_id AND s.n = w.n + 1)))),
+ends AS (SELECT trace_id, n AS n_steps, d::BIGINT AS m FROM walked WHERE n > 0 QUALIFY row_number() OVER (PARTITION BY trace_id ORDER BY n DESC) = 1)
+SELECT trace_id, n_steps, m AS n_matched, n_steps - m AS n_inserted, 4 - m AS n_skipped, round(2 * m / (n_steps + 4)::DOUBLE, 6) AS similarity,
+  CASE WHEN n_steps = m AND m = 4 THEN 'yes' ELSE 'no' END AS value FROM ends""")
+def score_trajectory_alignment(spark, sf):
+    return scorers.align_trajectory(tables.tool_spans(spark, sf), ROUTE)
+
+
 @query("score_knowledge_retention", ctes(f"""turns AS (SELECT conv_id, turn, role, {base.terms('text')} AS t FROM conversations WHERE role IN ('user', 'assistant')),
 ends AS (SELECT conv_id, max(turn) FILTER (role = 'assistant') AS la FROM turns GROUP BY conv_id),
 lasts AS (SELECT e.conv_id, la, max(turn) AS lq FROM ends e JOIN turns u ON u.conv_id = e.conv_id AND u.role = 'user' AND u.turn < e.la GROUP BY ALL),

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pandas as pd
 from pyspark.sql import functions as F
 
-from proofmark.operators import agreement, gate, guardrails, harness, judges, metrics, monitoring, ranking, retrieval, scorers
+from proofmark.operators import agreement, filters, gate, guardrails, harness, joins, judges, metrics, monitoring, ranking, retrieval, scorers
 from proofmark.plans import base
 from proofmark.plans.base import ctes, query, yes_no
-from proofmark.plans.joined_and_aggregated import DAILY, METRICS, monitors
-from proofmark.plans.scoring import LEXICON, NEIGHBOURS, PROMPT, contents, retrieved_neighbours
-from proofmark.sources import tables
+from proofmark.plans.joined_and_aggregated import DAILY, METRICS, _keep_order, _keyword_list, monitors
+from proofmark.plans.scoring import LEXICON, PROMPT, contents
+from proofmark.session import scratch_path
+from proofmark.sources import files, tables
 
 # --- harness ------------------------------------------------------------------------------------
 
@@ -131,9 +134,19 @@ def user_scorer(spark, sf):
     return scorers.long_scores(tables.load_texts(spark, sf, "doc_id", "text"), "doc_id", registry.build()).select("doc_id", "name", "value")
 
 
-@query("rag_context", ctes(NEIGHBOURS) + "SELECT record_id, string_agg('[' || doc_id || '] ' || content, chr(10) ORDER BY rank) AS context FROM neighbours GROUP BY record_id")
+SOURCES = {"the": ["0", "3"], "que": ["1", "4"], "und": ["2"], "ree": ["5", "0"], "item": ["6", "none such"]}
+
+
+@query("rag_context", ctes(base.TRACES, f"""asked AS (SELECT trace_id AS record_id, {_keep_order(_keyword_list('request', SOURCES))} AS ids FROM traces),
+retrieved AS (SELECT record_id, unnest(ids) AS doc_id, generate_subscripts(ids, 1) AS rank FROM asked)""")
+  + """SELECT record_id, string_agg('[' || r.doc_id || '] ' || text, chr(10) ORDER BY rank) AS context FROM retrieved r JOIN documents d ON CAST(d.doc_id AS VARCHAR) = r.doc_id
+WHERE rank <= 3 GROUP BY record_id""")
 def rag_context(spark, sf):
-    return retrieval.assemble_context(retrieved_neighbours(spark, sf).join(contents(spark, sf), "doc_id"))
+    """Keywords of a request retrieve documents, the retriever's span holds what it returned, and the context is read from the spans."""
+    traces = tables.traces(spark, sf)
+    spans = filters.explode_spans(tables.with_span_array(traces, joins.keyword_documents("request", SOURCES)))
+    found = retrieval.retrieved_documents(spans).select(F.col("trace_id").alias("record_id"), "rank", "doc_id")
+    return retrieval.assemble_context(found.join(contents(spark, sf), "doc_id"))
 
 
 @query("chat_history", "SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS position, role, text AS content FROM conversations")
@@ -238,6 +251,21 @@ def monitor_batch(spark, sf):
     return monitoring.monitor_batch(tables.traces(spark, sf), live_registry(), LIVE_SCORERS).select("trace_id", "name", "value")
 
 
+@query("monitor_append", ctes(base.TRACES) + f"""SELECT trace_id, name, value, md5(concat_ws(chr(31), trace_id, name, name || '_v1')) AS assessment_id, request_ms AS created_ms,
+  CASE WHEN session_id::BIGINT % 2 = 0 THEN 'first' ELSE 'second' END AS run FROM (
+  SELECT trace_id, request_ms, session_id, 'safety' AS name, CASE WHEN {base.first_pii('response')} IS NULL AND NOT {_unsafe('response')} THEN 'yes' ELSE 'no' END AS value FROM traces WHERE {_sampled('safety', 1.0)}
+  UNION ALL SELECT trace_id, request_ms, session_id, 'length', {yes_no(f"len({base.words('response')}) BETWEEN 40 AND 250")} FROM traces WHERE environment = 'prod' AND {_sampled('length', 0.5)}
+  UNION ALL SELECT trace_id, request_ms, session_id, 'latency', {yes_no('execution_duration_ms <= 8000')} FROM traces WHERE environment = 'prod' AND state = 'OK' AND {_sampled('latency', 0.3)})""")
+def monitor_append(spark, sf):
+    """Two runs of the batch monitor add to one table; the second one sees the first one's traces again, and is run twice."""
+    path = scratch_path(spark, f"feedback-{uuid.uuid4().hex}")
+    traces = tables.traces(spark, sf)
+    monitoring.append_feedback(traces.where(F.col("session_id").cast("bigint") % 2 == 0), live_registry(), LIVE_SCORERS, path, "first")
+    monitoring.append_feedback(traces, live_registry(), LIVE_SCORERS, path, "second")
+    rows = monitoring.append_feedback(traces, live_registry(), LIVE_SCORERS, path, "second")
+    return rows.select("trace_id", "name", "value", "assessment_id", "created_ms", "run")
+
+
 @query("canary_compare", ctes(base.LATEST) + f"""SELECT count(*) AS n_pairs, {base.ratio('a = b')} AS agreement, {base.ratio("a = 'yes'")} AS pass_v1, {base.ratio("b = 'yes'")} AS pass_v2,
   round({base.ratio("b = 'yes'")} - {base.ratio("a = 'yes'")}, 6) AS delta
 FROM (SELECT trace_id, max(value) FILTER (name = 'suite_correctness') AS a, max(value) FILTER (name = 'correctness') AS b FROM latest GROUP BY trace_id) WHERE a IS NOT NULL AND b IS NOT NULL""")
@@ -277,7 +305,10 @@ def gate_verdict(spark, sf):
 
 @query("strict_gate", ctes(EVALUATED, _floors_sql(STRICT_FLOORS)) + _failures_sql("eval_metrics", 2))
 def strict_gate(spark, sf):
-    return gate.evaluate_gate(chat_metrics(spark, sf), gate.thresholds(spark, STRICT_FLOORS), digits=2)
+    """A run stores its metrics; the stricter floors are then held against what is stored, and nothing is scored for them."""
+    path = scratch_path(spark, f"metrics-{uuid.uuid4().hex}")
+    files.write_json(chat_metrics(spark, sf), path, "run-1")
+    return gate.evaluate_gate(gate.stored_metrics(spark, path, "run-1"), gate.thresholds(spark, STRICT_FLOORS), digits=2)
 
 
 def renamed(old: str, new: str):

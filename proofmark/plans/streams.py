@@ -13,7 +13,8 @@ from proofmark.plans.base import ctes, query
 from proofmark.plans.serving import GUARDED, KEYWORDS, LIVE_SCORERS, TOPICS
 from proofmark.plans.scoring import LEXICON
 from proofmark.session import scratch_path
-from proofmark.sources import tables
+from proofmark.plans.tables_and_filters import landed_log
+from proofmark.sources import files, tables
 from proofmark.streaming import deduplicated, jobs, run, sessions
 
 
@@ -129,6 +130,14 @@ def stream_dedupe(spark, sf):
     return _appended(spark, jobs.dedupe_stream(replayed).select("request_id", "status_code"))
 
 
+@query("stream_inference_source", ctes(base.LOG) + "SELECT request_id, timestamp_ms, strftime(event_date, '%Y-%m-%d') AS event_date, status_code FROM log WHERE status_code = 200")
+def stream_inference_source(spark, sf):
+    """The landed log, streamed through its declared source."""
+    live = files.read_inference_log(spark, landed_log(spark, sf), streaming=True)
+    kept = _appended(spark, live.where("status_code = 200").select("request_id", "timestamp_ms", "event_date", "status_code"))
+    return kept.withColumn("event_date", F.date_format("event_date", "yyyy-MM-dd"))
+
+
 @query("stream_feedback_join", """SELECT 'trace-' || d.doc_id AS trace_id, CAST(d.doc_id AS VARCHAR) AS client_request_id, CASE WHEN toxic = 0 THEN 'true' ELSE 'false' END AS helpful
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE quality = 1""")
 def stream_feedback_join(spark, sf):

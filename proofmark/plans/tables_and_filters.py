@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from proofmark.operators import filters, joins
 from proofmark.plans import base
 from proofmark.plans.base import ctes, query
+from proofmark.session import scratch_path
 from proofmark.sources import files, tables
 
 AS_OF_MS = 1706659200000  # 2024-01-31 00:00 UTC, just after the last event
@@ -64,9 +67,16 @@ def chunk_documents(spark, sf):
     return files.chunk_documents(tables.load_texts(spark, sf, "doc_id", "text"), "doc_id", "text", size=500, overlap=50)
 
 
+def landed_log(spark, sf) -> str:
+    folder = scratch_path(spark, f"landed-{uuid.uuid4().hex}")
+    files.write_files(tables.inference_log(spark, sf).drop("ts"), folder, ["event_date"])
+    return folder
+
+
 @query("inference_source", ctes(base.LOG) + "SELECT request_id, timestamp_ms, status_code, execution_duration_ms, request, response FROM log")
 def inference_source(spark, sf):
-    return tables.inference_log(spark, sf).select(
+    """The log is landed by day, as a gateway does, and read through its declared source."""
+    return files.read_inference_log(spark, landed_log(spark, sf)).select(
         "request_id", "timestamp_ms", "status_code", "execution_duration_ms", "request", "response"
     )
 
