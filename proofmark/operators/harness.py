@@ -10,6 +10,7 @@ import asyncio
 import inspect
 import uuid
 from collections.abc import Awaitable, Callable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -20,7 +21,7 @@ from proofmark.functions import text
 from proofmark.functions.ordered import with_position
 from proofmark.operators.metrics import scorer_metrics
 from proofmark.operators.scorers import Score, long_scores
-from proofmark.session import scratch_path
+from proofmark.session import scratch_path, written
 
 
 def _with_column(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
@@ -177,23 +178,57 @@ def evaluate(
     jobs: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
     key: str = "record_id",
     out: str | None = None,
+    resume: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Predict, score and aggregate. Returns long results and long metrics.
 
     Answers and results are written once, under ``out`` or a new folder in the shared checkpoint folder, so the model is
     called once a row whatever reads them later. Column scorers share one pass over the answers; each job (answers in,
-    ``key, value`` out) adds its rows by union.
+    ``key, value`` out) adds its rows by union. With ``resume``, a folder, answers are committed there part by part, and a run
+    that follows one that died asks for the missing ones only (``resumable_answers``).
     """
     out = out or scratch_path(records.sparkSession, f"evaluation-{uuid.uuid4().hex}")
-    answered = _stored(predict(records), f"{out}/answers") if predict else records
-    results = long_scores(answered, key, scorers)
+    answered = records
+    if predict:
+        answered = _stored(resumable_answers(records, predict, resume) if resume else predict(records), f"{out}/answers")
+    found = [long_scores(answered, key, scorers)] if scorers else []
     for name, job in (jobs or {}).items():
         rows = job(answered).select(key, F.lit(name).alias("name"), F.col("value").cast("string").alias("value"), F.lit(None).cast("string").alias("rationale"))
-        results = results.unionByName(rows)
-    results = _stored(results, f"{out}/results")
+        found.append(rows)
+    results = _stored(reduce(DataFrame.unionByName, found), f"{out}/results")
     return results, scorer_metrics(results)
 
 
+def resumable_answers(records: DataFrame, predict: Callable[[DataFrame], DataFrame], path: str, parts: int = 16, output: str = "outputs") -> DataFrame:
+    """The records with their answers, for runs that may die: only what no earlier run has committed is asked.
+
+    Distinct records, by the hash of all their columns, are dealt into ``parts``, and each part's answers are committed by a job of
+    their own to a new folder under ``path``. Another run over the same or other records asks for the hashes that no committed
+    folder holds; a record that has changed is a new one. Equal records are asked once. ``predict`` adds the column ``output``.
+    """
+    spark = records.sparkSession
+    key = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in records.columns]), {"ignoreNullFields": "false"}), 256)
+    hashed = records.withColumn("_hash", key)
+    schema = f"_hash STRING, `{output}` STRING"
+
+    def committed() -> DataFrame:
+        root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        found = [s.getPath().toString() for s in fs.listStatus(root)] if fs.exists(root) else []
+        done = [f for f in found if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f + "/_SUCCESS"))]
+        return spark.read.schema(schema).parquet(*done) if done else spark.createDataFrame([], schema)
+
+    distinct = hashed.dropDuplicates(["_hash"])
+    missing = written(distinct.join(committed().select("_hash"), "_hash", "left_anti").select(*hashed.columns), "unanswered")
+    waiting = {r.part for r in missing.select(F.pmod(F.xxhash64("_hash"), F.lit(parts)).cast("int").alias("part")).distinct().collect()}
+    for part in sorted(waiting):
+        rows = missing.where(F.pmod(F.xxhash64("_hash"), F.lit(parts)) == part)
+        answers = predict(rows).select("_hash", F.col(output).cast("string").alias(output))
+        answers.write.parquet(f"{path}/{uuid.uuid4().hex}")
+    answers = committed().groupBy("_hash").agg(F.max(output).alias(output))
+    return hashed.drop(output).join(answers, "_hash", "left").drop("_hash")
+
+
 def _stored(df: DataFrame, path: str) -> DataFrame:
     """Written once, read as often as need be; a second run for the same path replaces it."""
     df.write.mode("overwrite").parquet(path)

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from proofmark.functions import text
-from proofmark.operators import agreement, joins, keywords, metrics, ranking, retrieval, setops
+from proofmark.operators import agreement, joins, keywords, metrics, ranking, retrieval, rollups, setops
 from proofmark.operators.monitoring import Registration, Registry
 from proofmark.plans import base
 from proofmark.plans.base import ctes, query, ratio
 from proofmark.plans.tables_and_filters import AS_OF_MS
+from proofmark.session import scratch_path
 from proofmark.sources import tables
 
 # A short keyword map, as a retrieval test set carries it: word found in a question -> expected documents.
@@ -145,6 +148,33 @@ _DAY_MS = "strftime(make_timestamp(created_ms * 1000), '%Y-%m-%d')"
 _QUALITY = f"""quality AS (SELECT {_DAY_MS} AS day, name, count(*) AS n_scored, {ratio("value = 'yes'")} AS pass_rate FROM assessments GROUP BY ALL)"""
 
 
+def _rolled_sql(unit: str) -> str:
+    return f"""SELECT strftime(date_trunc('{unit}', ts), '%Y-%m-%d') AS begin, count(*) AS total_requests, count(*) FILTER (status_code <> 200) AS blocked,
+  round(count(*) FILTER (status_code <> 200) / count(*)::DOUBLE, 6) AS blocked_share, quantile_disc(execution_duration_ms, 0.5) AS latency_p50_ms,
+  quantile_disc(execution_duration_ms, 0.95) AS latency_p95_ms, count(DISTINCT user_id) AS n_users FROM log GROUP BY 1"""
+
+
+def _rolled(spark, sf, unit):
+    """Hours are written in two pieces, one of them twice; days and weeks are made of the hours."""
+    path = scratch_path(spark, f"hours-{uuid.uuid4().hex}")
+    log = tables.inference_log(spark, sf)
+    early = F.col("event_date") < F.lit("2024-01-11").cast("date")
+    rollups.write_hours(log.where(early), path)
+    rollups.write_hours(log.where(~early), path)
+    hours = rollups.write_hours(log.where(~early), path)
+    return rollups.rolled_up(hours, unit).withColumn("begin", F.date_format("begin", "yyyy-MM-dd"))
+
+
+@query("daily_from_hours", ctes(base.LOG) + _rolled_sql("day"))
+def daily_from_hours(spark, sf):
+    return _rolled(spark, sf, "day")
+
+
+@query("weekly_from_hours", ctes(base.LOG) + _rolled_sql("week"))
+def weekly_from_hours(spark, sf):
+    return _rolled(spark, sf, "week")
+
+
 @query("quality_ops_join", ctes(base.LOG, base.ASSESSMENTS, _QUALITY) + """SELECT l.day, total_requests, blocked, name, n_scored, pass_rate
 FROM (SELECT strftime(event_date, '%Y-%m-%d') AS day, count(*) AS total_requests, count(*) FILTER (status_code <> 200) AS blocked FROM log GROUP BY ALL) l
 LEFT JOIN quality q ON l.day = q.day""")
