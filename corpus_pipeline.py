@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from proofmark.llm import bpe, contamination, importance, line_rules, near_copies, queries
+from proofmark.llm import bpe, contamination, importance, line_rules, queries, simhash
 from proofmark.llm.common import prepare, table, written
 from proofmark.session import tune
 
@@ -22,9 +22,9 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8 or more) stays, the one of the smallest id."""
+    """One document of each group of fingerprints at most two bits apart (three-word shingles) stays, the one of the smallest id."""
     prepare(tune(spark))
-    return near_copies.one_of_each(docs)
+    return simhash.one_of_each(docs, most_bits=simhash.MOST_BITS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
