@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from proofmark.llm.common import add_fields, col, keyed_texts, per_batch, split_bytes, written
+from proofmark.llm.common import add_fields, col, fresh, keyed_texts, per_batch, split_bytes, written
 
 WINDOW = 13
 #: A document is contaminated if its hit words are at least one in so many.
@@ -265,9 +265,8 @@ def contamination(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", *
     )
 
 
-def cut(automaton: Automaton, text: str, drop_share: float) -> str | None:
-    """The text without its hit spans; None if they hold that share of its words or more. Clean texts come back as they are."""
-    count, spans, _ = scan(automaton, text.encode("utf-8", "replace"))
+def excise(text: str, count: int, spans: list[tuple[int, int]], drop_share: float) -> str | None:
+    """The text, of `count` words, without hit spans; None if they hold that share of its words or more. Clean texts come back as they are."""
     hit = sum(b - a for a, b in spans)
     if not hit or hit * ONE_IN < count:
         return text
@@ -279,8 +278,17 @@ def cut(automaton: Automaton, text: str, drop_share: float) -> str | None:
         kept.append(text[at : place[a][0]])
         at = place[b - 1][1]
     kept.append(text[at:])
-    # What the cut brings together may be a passage again.
-    return cut(automaton, "\n".join(kept), drop_share)
+    return "\n".join(kept)
+
+
+def cut(automaton: Automaton, text: str, drop_share: float) -> str | None:
+    """The text without its hit spans, until none is left; what a cut brings together may be a passage again."""
+    while True:
+        count, spans, _ = scan(automaton, text.encode("utf-8", "replace"))
+        left = excise(text, count, spans, drop_share)
+        if left is None or left == text:
+            return left
+        text = left
 
 
 def remove_passages(df: DataFrame, benchmark: DataFrame, text_col: str = "text", length_col: str | None = "n_chars", drop_share: float = 0.5,
@@ -289,10 +297,62 @@ def remove_passages(df: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
     Hit spans of a contaminated document are removed, and its length column is brought up to date. If they hold half of
     its words or more, the document goes. Documents below the contamination limit, and null texts, stay untouched.
+
+    A document is judged by the hits of the whole benchmark. Where that is several blocks, each round gathers the spans of all
+    blocks, then cuts; documents that were cut go through another round.
     """
-    for block in automata(benchmark, item_col, item_text_col, window):
-        df = df.mapInArrow(per_batch(_cutter(block, text_col, length_col, drop_share)), T.StructType(df.schema.fields))
-    return df
+    blocks = automata(benchmark, item_col, item_text_col, window)
+    if len(blocks) == 1:
+        return df.mapInArrow(per_batch(_cutter(blocks[0], text_col, length_col, drop_share)), T.StructType(df.schema.fields))
+    count, spans, going = fresh(df, "n_words"), fresh(df, "spans"), fresh(df, "going")
+    state = df.select("*", F.lit(0).cast("long").alias(count), F.array().cast("array<long>").alias(spans), col(text_col).isNotNull().alias(going))
+    while True:
+        for block in blocks:
+            state = written(state.mapInArrow(per_batch(_gatherer(block, text_col, count, spans, going)), state.schema), "spans")
+        state = written(state.mapInArrow(per_batch(lambda: _excised(text_col, length_col, drop_share, count, spans, going)), state.schema), "cut")
+        if state.where(col(going)).isEmpty():
+            return state.drop(count, spans, going)
+
+
+def _with_columns(batch: pa.RecordBatch, **new) -> pa.RecordBatch:
+    names = batch.schema.names
+    return pa.RecordBatch.from_arrays([pa.array(new[n], batch.schema.field(n).type) if n in new else c for n, c in zip(names, batch.columns)], names)
+
+
+def _gatherer(block, text_col: str, count: str, spans: str, going: str):
+    """Adds a block's spans to those of the rows that are still going."""
+    def start():
+        automaton = block.value
+
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            rows = zip(*[batch.column(n).to_pylist() for n in (text_col, count, spans, going)])
+            counts, found = [], []
+            for text, n, old, on in rows:
+                if on:
+                    n, new, _ = scan(automaton, text.encode("utf-8", "replace"))
+                    old = [x for span in merged([*zip(old[::2], old[1::2]), *new]) for x in span]
+                counts.append(n)
+                found.append(old)
+            return _with_columns(batch, **{count: counts, spans: found})
+
+        return step
+
+    return start
+
+
+def _excised(text_col: str, length_col: str | None, drop_share: float, count: str, spans: str, going: str):
+    """Cuts the gathered spans; rows that changed go on."""
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        old = batch.column(text_col).to_pylist()
+        rows = zip(old, *[batch.column(n).to_pylist() for n in (count, spans, going)])
+        new = [excise(t, n, list(zip(s[::2], s[1::2])), drop_share) if on else t for t, n, s, on in rows]
+        changed = [n is not None and n != o for n, o in zip(new, old)]
+        more = {text_col: new, going: changed, spans: [[]] * len(new)}
+        if length_col in batch.schema.names:
+            more[length_col] = [len(n) if c else g for n, c, g in zip(new, changed, batch.column(length_col).to_pylist())]
+        return _with_columns(batch, **more).filter(pa.array([n is not None or o is None for n, o in zip(new, old)], pa.bool_()))
+
+    return step
 
 
 def _cutter(block, text_col: str, length_col: str | None, drop_share: float):

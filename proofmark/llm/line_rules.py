@@ -11,9 +11,8 @@ from proofmark.llm.common import col, written
 
 GAP = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "[#*$%&|<>]"
-#: A line is boilerplate if more different documents of its host hold it than this number and this share of them.
+#: A line is boilerplate if more different documents of its host hold it than this number, however many the host has.
 LINE_DOCUMENTS = 20
-LINE_SHARE = 0.01
 #: A document is depleted if removed lines hold more than this share of its words.
 DEPLETED = 0.5
 
@@ -95,17 +94,15 @@ def measure(df: DataFrame, id_col: str, text_col: str, host_col: str, whole_rows
     )
 
 
-def common_lines(measured: DataFrame, least: int = LINE_DOCUMENTS, share: float = LINE_SHARE) -> DataFrame:
-    """(host, key) of lines above the limits. Exact copies of a document count once, so copies alone make no line common."""
+def common_lines(measured: DataFrame, least: int = LINE_DOCUMENTS) -> DataFrame:
+    """(host, key) of lines above the limit. Exact copies of a document count once, so copies alone make no line common."""
     seen = measured.select("host", "copy", F.explode(F.array_distinct(F.transform("lines", lambda line: line.key))).alias("key"))
-    counts = seen.distinct().groupBy("host", "key").agg(F.count("*").alias("n")).where(F.col("n") > least)
-    hosts = measured.select("host", "copy").distinct().groupBy("host").agg(F.count("*").alias("documents"))
-    return counts.join(hosts, "host").where(F.col("n") > F.col("documents") * share).select("host", "key")
+    return seen.distinct().groupBy("host", "key").agg(F.count("*").alias("n")).where(F.col("n") > least).select("host", "key")
 
 
-def judged(measured: DataFrame, least: int = LINE_DOCUMENTS, share: float = LINE_SHARE, depleted: float = DEPLETED) -> DataFrame:
+def judged(measured: DataFrame, least: int = LINE_DOCUMENTS, depleted: float = DEPLETED) -> DataFrame:
     """The measured rows with removed (keys of their common lines), removed_words, base_failed and kept."""
-    common = written(common_lines(measured, least, share), "common-lines")
+    common = written(common_lines(measured, least), "common-lines")
     hits = (
         measured.select("row", "host", F.inline("lines"))
         .join(common, ["host", "key"])

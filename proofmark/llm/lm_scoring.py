@@ -75,7 +75,11 @@ class Subwords:
         """
         ids = np.array(self.encoding.encode_ordinary(" " + b" ".join(words).decode("utf-8", "replace")), dtype=np.int32)
         begins = np.flatnonzero(self.spaced[ids])
-        return ids, np.diff(np.append(begins, len(ids)))
+        if len(begins) == len(words):
+            return ids, np.diff(np.append(begins, len(ids)))
+        # Words of other kinds of space, side by side, may share an id with the space between them: each is encoded alone then.
+        alone = [self.encoding.encode_ordinary(" " + w.decode("utf-8", "replace")) for w in words]
+        return np.array([i for ids in alone for i in ids], dtype=np.int32), np.array([len(ids) for ids in alone], dtype=np.int64)
 
     def _grow(self, words: int, ids: int) -> None:
         while words > len(self.hashes):

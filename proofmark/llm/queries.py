@@ -97,10 +97,7 @@ l AS (
   SELECT r, host, text, trim(lower(regexp_replace(line, '[\\x20\\x09-\\x0D]+', ' ', 'g'))) AS key,
     len(list_filter(string_split_regex(line, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')) AS n
   FROM (SELECT r, host, text, unnest(lines) AS line FROM d)),
-hosts AS (SELECT host, count(DISTINCT text) AS n FROM d GROUP BY host),
-common AS (
-  SELECT host, key FROM (SELECT host, key, count(DISTINCT text) AS n FROM l GROUP BY host, key) c JOIN hosts USING (host)
-  WHERE c.n > 20 AND c.n > hosts.n * 0.01::DOUBLE),
+common AS (SELECT host, key FROM l GROUP BY host, key HAVING count(DISTINCT text) > 20),
 removed AS (SELECT r, sum(n) AS n FROM l JOIN common USING (host, key) GROUP BY r),
 m AS (
   SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,

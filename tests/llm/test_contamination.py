@@ -94,6 +94,24 @@ def test_blocks_of_items_give_the_same(spark, monkeypatch):
     assert sorted(c.contamination(docs, items).collect()) == whole
 
 
+def test_a_document_is_cut_by_all_blocks_together(spark, monkeypatch):
+    """13 + 13 hit words of 400, by items of two blocks: neither is one in twenty, both together are."""
+    first, second = data.words(13, 501, [f"one{i}" for i in range(40)]), data.words(13, 502, [f"two{i}" for i in range(40)])
+    body = data.words(374, 9).split()
+    texts = [" ".join([*body[:100], first, *body[100:300], second, *body[300:]]), " ".join([*body[:100], first, *body[100:]]), None, "", first + " " + second]
+    # What a cut by one block brings together is a passage of the other.
+    split = second.split()
+    texts.append(" ".join(body[:60] + split[:6]) + " " + first + " " + " ".join(split[6:] + body[60:120]))
+    items = benchmark(spark, [(1, first, "", ""), (2, second, "", "")])
+    docs = data.docs_of(spark, texts)
+    whole = sorted(map(tuple, c.remove_passages(docs, items).collect()))
+    assert [r[0] for r in whole] == [0, 1, 2, 3, 5] and "one" not in whole[0][1] and "two" not in whole[0][1] and whole[1][1] == texts[1]
+    assert "one" not in whole[4][1] and "two" not in whole[4][1]
+    monkeypatch.setattr(c, "BLOCK_BYTES", 20)
+    assert len(c.automata(items, "item_id", "text", c.WINDOW)) > 1
+    assert sorted(map(tuple, c.remove_passages(docs, items).collect())) == whole
+
+
 def test_query_equals_brute_force(spark, sf_dir):
     items = [(str(r.item_id), r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()}

@@ -80,6 +80,13 @@ def test_common_lines_go_and_copies_do_not_make_them(spark):
     assert line_rules.cleaned(data.empty(spark)).count() == 0
 
 
+def test_a_line_goes_however_large_its_host_is(spark):
+    """On 30 of 5,000 different documents."""
+    texts = [data.words(60, i) + ("\nThis line is on thirty documents" if i % 160 == 0 and i < 4800 else "\n" + data.words(8, 9000 + i)) for i in range(5000)]
+    rows = line_rules.quality(data.docs_of(spark, texts)).collect()
+    assert sorted(r.doc_id for r in rows if r.removed_words) == list(range(0, 4800, 160)) and all(r.removed_words in (0, 6) for r in rows)
+
+
 def test_hosts_are_apart(spark):
     a, _ = lined(spark)
     b = a.withColumn("source", F.lit(None).cast("string")).where("doc_id < 15")

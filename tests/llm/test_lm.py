@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import zlib
 from collections import Counter
@@ -12,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from proofmark.llm import attention_lm as lm
-from proofmark.llm import lm_scoring, queries
+from proofmark.llm import bpe, lm_scoring, queries
 from proofmark.llm.common import prepare
 from tests.llm import data
 
@@ -116,6 +117,20 @@ def test_rows_of_awkward_tables(spark, monkeypatch):
     assert lm_scoring.score(data.empty(spark), model, base, words, queries.RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+def test_words_of_other_spaces_in_any_order():
+    """Spaces that do not part words; side by side they may share an id with the space between them."""
+    words = [w.encode() for w in ("\xa0", "\xa0\xa0", "\xa0\u2003", "\u2009", "plain")]
+    ranks = bpe.read_ranks(queries.RANKS)
+    alone = {}
+    subwords = lm_scoring.Subwords(ranks, public_tokenizers.PATTERN)
+    for w in words:
+        alone[w] = subwords.ids(subwords.index([w])).tolist()
+        subwords.reset()
+    for order in itertools.permutations(words):
+        ids, sizes = subwords._encoded(list(order))
+        assert ids.tolist() == [i for w in order for i in alone[w]] and sizes.tolist() == [len(alone[w]) for w in order]
+
+
 def test_query_equals_brute_force(spark, sf_dir):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()}
     held = {i for i in texts if zlib.crc32(str(i).encode()) % 7 == 2}

@@ -44,8 +44,7 @@ def brute(rows, labels):
     for text in set(rows.values()):
         for line in {" ".join(x.split()).lower() for x in text.split("\n")}:
             common[line] = common.get(line, 0) + 1
-    total = len(set(rows.values()))
-    gone = {line for line, n in common.items() if n > 20 and n > total / 100}
+    gone = {line for line, n in common.items() if n > 20}
     kept = {}
     for i, text in rows.items():
         n, _, _, _, repeated = test_line_rules.brute(text)
