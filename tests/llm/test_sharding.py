@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
+import xxhash
 
 from proofmark.llm import queries, sharding
 from tests import compare
@@ -19,6 +20,26 @@ def test_every_slot_is_filled_and_shares_are_even():
     assert sharding.lookup_table(["one"], 2) == [0, 0]
 
 
+def plain_table(names, slots):
+    """Turn by turn over whole lists of preferences, as the rule is told."""
+    wishes = []
+    for name in names:
+        offset, skip = xxhash.xxh64(name, seed=1).intdigest() % slots, 1 + xxhash.xxh64(name, seed=2).intdigest() % (slots - 1)
+        wishes.append([(offset + j * skip) % slots for j in range(slots)])
+    owner = {}
+    while len(owner) < slots:
+        for k, wish in enumerate(wishes):
+            free = [x for x in wish if x not in owner]
+            if free:
+                owner[free[0]] = k
+    return [owner[x] for x in range(slots)]
+
+
+@pytest.mark.parametrize("names, slots", [(NAMES, 211), (["one"], 2), (NAMES[:3], 101), ([f"shard-{i:03d}" for i in range(40)], 83)])
+def test_table_equals_a_plain_fill(names, slots):
+    assert sharding.lookup_table(names, slots) == plain_table(names, slots)
+
+
 def test_a_shard_that_goes_moves_few_other_keys():
     before, after = sharding.lookup_table(NAMES, 1009), sharding.lookup_table(NAMES[:-1], 1009)
     moved = sum(a != b for a, b in zip(before, after) if a != 6)
