@@ -20,14 +20,15 @@ LONGEST = 48
 
 
 def balanced(pieces: Iterable[str], limit: int = ENCODE_BYTES) -> Iterator[list[str]]:
-    """Batches of about equal bytes; a piece beyond the limit is a batch of its own."""
+    """Batches of about equal bytes (UTF-8); a piece beyond the limit is a batch of its own."""
     batch, held = [], 0
     for piece in pieces:
-        if batch and held + len(piece) > limit:
+        size = len(piece) if piece.isascii() else len(piece.encode("utf-8", "replace"))
+        if batch and held + size > limit:
             yield batch
             batch, held = [], 0
         batch.append(piece)
-        held += len(piece)
+        held += size
     if batch:
         yield batch
 

@@ -102,6 +102,8 @@ def test_tokenizers_that_keep_white_space_are_not_cut(file):
 def test_batches_are_balanced_by_bytes():
     batches = list(token_counts.balanced(["a" * 10] * 25 + ["b" * 500], 100))
     assert [len(b) for b in batches] == [10, 10, 5, 1] and sum(map(len, batches)) == 26
+    for batch in token_counts.balanced(["中文字"] * 40 + ["é" * 20] * 10, 100):
+        assert len("".join(batch).encode()) <= 100
 
 
 def test_queries_cover_the_table(spark, sf_dir, library):
