@@ -16,7 +16,7 @@ from proofmark.llm.common import col, fresh, per_batch, safe_pieces, written
 #: Characters of an n-gram, and hash buckets of the two models.
 SIZE = 5
 BUCKET_BITS = 18
-#: Labelled rows, about, that the models are fitted and calibrated on, and so the bound of what is broadcast.
+#: Labelled rows, about, that the target model and the limit are fitted on, and so the bound of what is broadcast. The raw model counts all documents.
 LABELLED = 200_000
 #: Weight of a rejected target row against a kept other row when the limit is set.
 CARE = 20.0
@@ -24,6 +24,8 @@ CARE = 20.0
 SHARPNESS = 8.0
 REMEMBERED = 400_000
 SEED = 9
+#: Kind of a row that the raw model is counted from; 0 and 1 are the halves of the target.
+RAW = 2
 
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 _BINS = 4096
@@ -101,8 +103,23 @@ def labelled_rows(documents: DataFrame, labels: DataFrame, id_col: str, text_col
     return rows.join(F.broadcast(copies), "copy").select("body", F.pmod("copy", F.lit(2)).cast("int").alias("half"), "target", "share")
 
 
-def bucket_counts(rows: DataFrame) -> dict[tuple[int, bool], np.ndarray]:
-    """Counts of every bucket by half and by target or not; at most a row a bucket and kind leaves a task or reaches the driver."""
+def raw_rows(documents: DataFrame, text_col: str) -> DataFrame:
+    """(body, share) of all documents, labelled or not; `share` is one over the number of copies of the text.
+
+    Only the hashes of texts that occur again are counted out; they meet the texts by a broadcast while their written
+    size is small, by a join that splits a hot hash beyond that.
+    """
+    body = F.coalesce(col(text_col), F.lit("")).cast("string").cast("binary")
+    copies = documents.groupBy(F.xxhash64(body).alias("copy")).agg(F.count("*").alias("n")).where("n > 1").select("copy", (1 / F.col("n")).alias("share"))
+    rows = documents.select(body.alias("body")).withColumn("copy", F.xxhash64("body"))
+    return rows.join(written(copies, "copies"), "copy", "left").select("body", F.coalesce("share", F.lit(1.0)).alias("share"))
+
+
+def bucket_counts(rows: DataFrame) -> dict[int, np.ndarray]:
+    """Counts of every bucket by kind of row: 0 and 1 the halves of the target, RAW the raw text; rows are (body, kind, share).
+
+    At most a row a bucket and kind leaves a task or reaches the driver.
+    """
     def run(batches):
         counts: dict = defaultdict(lambda: np.zeros(1 << BUCKET_BITS))
         words: dict = defaultdict(Counter)
@@ -118,28 +135,27 @@ def bucket_counts(rows: DataFrame) -> dict[tuple[int, bool], np.ndarray]:
             words.clear()
 
         for batch in batches:
-            for body, half, target, share in zip(*(batch.column(c).to_pylist() for c in ("body", "half", "target", "share"))):
+            for body, kind, share in zip(*(batch.column(c).to_pylist() for c in ("body", "kind", "share"))):
+                own = words[kind]
                 for found in tokens(body):
                     if share == 1:
-                        words[half, target].update(found)
+                        own.update(found)
                     else:
-                        own = words[half, target]
                         for word, n in Counter(found).items():
                             own[word] += n * share
             if sum(map(len, words.values())) > REMEMBERED:
                 flush()
         flush()
-        for (half, target), own in counts.items():
+        for kind, own in counts.items():
             at = np.flatnonzero(own)
-            yield pa.RecordBatch.from_arrays([pa.array([half] * len(at), pa.int32()), pa.array([target] * len(at), pa.bool_()), pa.array(at), pa.array(own[at])], ["half", "target", "bucket", "n"])
-
-    summed = rows.mapInArrow(run, "half int, target boolean, bucket long, n double").groupBy("half", "target", "bucket").agg(F.sum("n").alias("n"))
-    out = {(half, target): np.zeros(1 << BUCKET_BITS) for half in (0, 1) for target in (False, True)}
-    found = summed.toArrow()
-    half, target, bucket, n = (found.column(c).to_numpy() for c in ("half", "target", "bucket", "n"))
-    for (h, t), own in out.items():
-        at = (half == h) & (target == t)
-        own[bucket[at]] = n[at]
+            yield pa.RecordBatch.from_arrays([pa.array([kind] * len(at), pa.int32()), pa.array(at), pa.array(own[at])], ["kind", "bucket", "n"])
+
+    found = rows.mapInArrow(run, "kind int, bucket long, n double").groupBy("kind", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    kind, bucket, n = (found.column(c).to_numpy() for c in ("kind", "bucket", "n"))
+    out = {}
+    for k in (0, 1, RAW):
+        out[k] = np.zeros(1 << BUCKET_BITS)
+        out[k][bucket[kind == k]] = n[kind == k]
     return out
 
 
@@ -169,14 +185,15 @@ class Classifier:
 
 
 def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = LABELLED) -> Classifier:
-    """Both models from labelled rows, raw text being all of them; the limit from rows weighed by the half they are not in.
+    """The target model from labelled rows, the raw model from all documents; the limit from rows weighed by the target half they are not in.
 
     The limit is the middle of the best gap: the one that loses fewest target rows, CARE times as dear as other rows kept.
     Without labels of both kinds, nothing is rejected.
     """
     rows = written(labelled_rows(documents, labels, id_col, text_col, most), "labelled")
-    counts = bucket_counts(rows)
-    ratio = lambda halves: Ratio(sum(counts[h, True] for h in halves), sum(counts[h, t] for h in halves for t in (True, False)))
+    target = rows.where("target").select("body", F.col("half").alias("kind"), "share")
+    counts = bucket_counts(raw_rows(documents, text_col).select("body", F.lit(RAW).alias("kind"), "share").unionByName(target))
+    ratio = lambda halves: Ratio(sum(counts[h] for h in halves), counts[RAW])
     weights = weighed(rows, [ratio([1]), ratio([0])], "body", "half")
     bins = weights.groupBy("target", F.greatest(F.lit(-1024), F.floor(F.col("log_weight") * 8)).cast("int").alias("bin")).agg(F.count("*").alias("n")).collect()
     good, bad = np.zeros(1026), np.zeros(1026)

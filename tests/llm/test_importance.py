@@ -44,13 +44,12 @@ def test_ratio_equals_counts_by_hand(spark):
     target, raw = Counter(), Counter()
     good = {r.doc_id: r.quality == 1 and r.toxic == 0 for r in labels.collect()}
     for r in docs.collect():
-        if r.doc_id in good:
-            for word in importance._TOKEN.findall(r.text.lower()):
-                padded = "  " + word + "  "
-                grams = [padded[i : i + 5] for i in range(len(word))]
-                raw.update(grams)
-                if good[r.doc_id]:
-                    target.update(grams)
+        for word in importance._TOKEN.findall(r.text.lower()):
+            padded = "  " + word + "  "
+            grams = [padded[i : i + 5] for i in range(len(word))]
+            raw.update(grams)
+            if good.get(r.doc_id):
+                target.update(grams)
     slots = 1 << importance.BUCKET_BITS
     own = importance.Weigher(classifier.ratio)
     for word in ("nastyfool", "baran", "###"):
@@ -62,6 +61,51 @@ def test_ratio_equals_counts_by_hand(spark):
         assert own.weight(word.encode()) == pytest.approx(min(0.0, want), abs=1e-3)
 
 
+def test_words_of_unlabelled_documents_only_are_held_against(spark):
+    docs, labels = corpus(spark)
+    texts = [data.words(60, 3000 + i) + " vileshout vileshout" for i in range(30)]
+    unseen = data.docs_of(spark, texts).withColumn("doc_id", F.col("doc_id") + 5000)
+    rows = {r.doc_id: r for r in importance.classify(docs.unionByName(unseen), labels).collect()}
+    assert not any(rows[5000 + i].kept for i in range(30))
+    assert all(rows[i].kept == (i % 6 < 4) for i in range(240))
+
+
+def brute(docs, labels):
+    """Log weights by plain counting: raw over distinct texts, target over distinct labelled good ones."""
+    good = {}
+    for i, quality, toxic in labels:
+        good[i] = good.get(i, True) and quality == 1 and toxic == 0
+    grams = lambda text: Counter(g for w in importance._TOKEN.findall(text.lower()) for g in parts(w))
+    parts = lambda w: importance.buckets_of([w])[0].tolist()  # noqa: E731  (grams of one bucket count together)
+    target, raw = Counter(), Counter()
+    for text in {t for _, t in docs}:
+        raw.update(grams(text))
+    for text in {t for i, t in docs if good.get(i)}:
+        target.update(grams(text))
+    slots, all_target, all_raw = 1 << importance.BUCKET_BITS, sum(target.values()), sum(raw.values())
+    ratio = lambda g: math.log((target[g] + 1) / (all_target + slots)) - math.log((raw[g] + 1) / (all_raw + slots))
+    return {i: min([0.0] + [sum(map(ratio, parts(w))) for w in importance._TOKEN.findall(t.lower())]) for i, t in docs}
+
+
+def test_whole_query_equals_brute_force(spark):
+    """Weights by counting, keys by the stated noise, and the largest keys kept, as many as have a weight above the limit."""
+    docs, labels = corpus(spark)
+    more = docs.where("doc_id < 12").withColumn("doc_id", F.col("doc_id") + 7000)
+    docs = docs.unionByName(more)
+    classifier = importance.fit(docs, labels)
+    want = brute([(r.doc_id, r.text) for r in docs.collect()], [r[:3] for r in labels.collect()])
+    noise = spark.createDataFrame([(i,) for i in want], "doc_id long").select("doc_id", F.xxhash64(F.col("doc_id").cast("string"), F.lit(importance.SEED)).alias("h"))
+    uniform = {r.doc_id: (r.h % ((1 << 52) - 1) + 1) / (1 << 52) for r in noise.collect()}
+    keys = {i: (w - classifier.limit) * importance.SHARPNESS - math.log(-math.log(uniform[i])) for i, w in want.items()}
+    size = sum(w >= classifier.limit for w in want.values())
+    kept = set(sorted(keys, key=keys.get, reverse=True)[:size])
+    rows = importance.classify(docs, labels).collect()
+    assert len(rows) == len(want) and 0 < size < len(want)
+    for r in rows:
+        assert r.log_weight == pytest.approx(want[r.doc_id], abs=1e-3)
+    assert {r.doc_id for r in rows if r.kept} == kept
+
+
 def test_awkward_rows_and_missing_labels(spark):
     docs, labels = (t.withColumn("doc_id", F.col("doc_id") + 10_000) for t in corpus(spark))
     rows = importance.classify(data.awkward(spark).unionByName(docs), labels.unionByName(labels)).collect()
