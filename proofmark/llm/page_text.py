@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -12,9 +14,12 @@ from pyspark.sql import functions as F
 
 from proofmark.llm.common import col, per_batch, written
 
-#: A subtree is template if so many pages of a host hold it, and this share of the host's pages.
+#: A subtree is template if so many different pages of a host hold it, and this share of the host's different pages;
 TEMPLATE_PAGES = 5
 TEMPLATE_SHARE = 0.2
+#: or, outside articles, if so many do, and this far smaller share, which bounds the list of a host.
+MANY_PAGES = 50
+MANY_SHARE = 0.01
 SALTS = 16
 
 _TOKEN = re.compile(
@@ -69,10 +74,13 @@ def parse(html: str) -> tuple[list, list[Element]]:
     parts: list[str | None] = []
     elements: list[Element] = []
     stack: list[int] = []
+    opened: Counter = Counter()  # names on the stack, so that it is searched only for what it holds
 
     def close(depth: int) -> None:
         while len(stack) > depth:
-            elements[stack.pop()].end = len(parts)
+            element = elements[stack.pop()]
+            element.end = len(parts)
+            opened[element.name] -= 1
             parts.append(None)
 
     at = 0
@@ -85,22 +93,20 @@ def parse(html: str) -> tuple[list, list[Element]]:
             continue
         name = name.lower()
         if token["end"]:
-            depth = next((d for d in range(len(stack) - 1, -1, -1) if elements[stack[d]].name == name), None)
-            if depth is not None:
+            if opened[name]:
+                depth = next(d for d in range(len(stack) - 1, -1, -1) if elements[stack[d]].name == name)
                 if name in BLOCKS:
                     close(depth)
                 else:
-                    _close_inline(elements, stack, depth, parts)
+                    _close_inline(elements, stack, depth, parts, opened)
             continue
         if name in VOID:
             if name in ("br", "hr"):
                 parts.append(None)
             continue
-        if name in _CLOSES_P:
-            depth = next((d for d in range(len(stack) - 1, -1, -1) if elements[stack[d]].name == "p"), None)
-            if depth is not None:
-                close(depth)
-        if name in _SIBLINGS:
+        if name in _CLOSES_P and opened["p"]:
+            close(next(d for d in range(len(stack) - 1, -1, -1) if elements[stack[d]].name == "p"))
+        if any(opened[sibling] for sibling in _SIBLINGS.get(name, ())):
             for d in range(len(stack) - 1, -1, -1):
                 if elements[stack[d]].name in _SCOPES[name]:
                     break
@@ -112,9 +118,10 @@ def parse(html: str) -> tuple[list, list[Element]]:
         said = _said(token["rest"])
         element = Element(name, len(parts), stack[-1] if stack else -1, bool(said & MARKS), bool(said & {"comment", "comments", "commentlist", "disqus", "replies"}))
         stack.append(len(elements))
+        opened[name] += 1
         elements.append(element)
         if token["rest"].endswith("/") and name not in BLOCKS:
-            _close_inline(elements, stack, len(stack) - 1, parts)
+            _close_inline(elements, stack, len(stack) - 1, parts, opened)
     if at < len(html):
         parts.append(html[at:])
     close(0)
@@ -127,14 +134,16 @@ def parse(html: str) -> tuple[list, list[Element]]:
     return parts, elements
 
 
-def _close_inline(elements: list[Element], stack: list[int], depth: int, parts: list) -> None:
+def _close_inline(elements: list[Element], stack: list[int], depth: int, parts: list, opened: Counter) -> None:
     """An inline end tag closes its element, and inline ones left open in it; blocks opened in it stay open."""
     if all(elements[i].name not in BLOCKS for i in stack[depth:]):
         for i in stack[depth:]:
             elements[i].end = len(parts)
+            opened[elements[i].name] -= 1
         del stack[depth:]
     else:
         elements[stack[depth]].end = len(parts)
+        opened[elements[stack[depth]].name] -= 1
         del stack[depth]
 
 
@@ -148,20 +157,52 @@ def _said(rest: str) -> set[str]:
     return said
 
 
-def subtree_key(parts: list, element: Element) -> int:
-    """Hash of an element with all below it: its name, and its texts and block edges."""
-    inside = "\x00".join(" ".join(p.split()) if p is not None else "" for p in parts[element.start : element.end])
-    return xxhash.xxh64_intdigest(f"{element.name}\x01{inside}") - (1 << 63)
+class Subtrees:
+    """Hashes of a page's elements with all below them: name, texts, block edges, and whether an article holds the element.
 
+    Each part is hashed once; the hash of a stretch of parts comes from two running sums, however deep elements nest.
+    """
+
+    _PRIME, _BASE = (1 << 61) - 1, 0x1B873593CC9E2D51 % ((1 << 61) - 1)
+
+    def __init__(self, parts: list, elements: list[Element]):
+        self.sums, self.powers, self.edges = [0], [1], [0] * (len(parts) + 2)
+        for part in parts:
+            own = 1 if part is None else xxhash.xxh64_intdigest(" ".join(part.split())) % self._PRIME + 2
+            self.sums.append((self.sums[-1] * self._BASE + own) % self._PRIME)
+            self.powers.append(self.powers[-1] * self._BASE % self._PRIME)
+        for e in elements:
+            if e.name in CONTENT and not e.comments:
+                self.edges[e.start] += 1
+                self.edges[e.end] -= 1
+        self.depth = list(accumulate(self.edges))
+
+    def stretch(self, start: int, end: int) -> int:
+        return (self.sums[end] - self.sums[start] * self.powers[end - start]) % self._PRIME
+
+    def inside(self, element: Element) -> bool:
+        return self.depth[element.start] > 0
+
+    def key(self, element: Element) -> int:
+        place = "article" if self.inside(element) else "page"
+        said = f"{place}\x01{element.name}\x01{element.end - element.start}\x01{self.stretch(element.start, element.end)}"
+        return xxhash.xxh64_intdigest(said) - (1 << 63)
 
-def subtree_keys(html: str) -> set[int]:
-    """Keys of the page's containers that hold text, but for those that hold an article or most of the page's text."""
+
+def page_subtrees(html: str) -> tuple[int, dict[int, bool]]:
+    """What tells the page from its copies (the hash of its articles, or without one of all of it), and the keys of its containers.
+
+    Containers that hold an article or most of the page's text have no key. With each key: whether an article holds it.
+    """
     parts, elements = parse(html)
+    subtrees = Subtrees(parts, elements)
     sizes = [0]
     for p in parts:
         sizes.append(sizes[-1] + (len(p) if p is not None else 0))
-    return {
-        subtree_key(parts, e)
+    articles = [(e.start, e.end) for e in elements if e.name in CONTENT and not e.comments] or [(0, len(parts))]
+    own = xxhash.xxh64_intdigest(repr([(end - start, subtrees.stretch(start, end)) for start, end in articles])) - (1 << 63)
+    return own, {
+        subtrees.key(e): subtrees.inside(e)
         for e in elements
         if e.name in CONTAINERS and not e.content and 0 < sizes[e.end] - sizes[e.start] <= sizes[-1] / 2
     }
@@ -172,6 +213,7 @@ def main_text(html: str, templates: frozenset[int] | set[int] = frozenset()) ->
     parts, elements = parse(html)
     keep = bytearray(len(parts) + 1)
     articles = [e for e in elements if e.name in CONTENT and not e.comments]
+    subtrees = Subtrees(parts, elements) if templates else None
     for e in articles:
         keep[e.start : e.end] = b"\x01" * (e.end - e.start)
     if not articles:
@@ -180,8 +222,8 @@ def main_text(html: str, templates: frozenset[int] | set[int] = frozenset()) ->
         if e.content or e.name in ("html", "body") or e.end <= e.start:
             continue
         gone = e.name in FURNITURE or e.marked
-        if not gone and templates and e.name in CONTAINERS:
-            gone = subtree_key(parts, e) in templates
+        if not gone and subtrees and e.name in CONTAINERS:
+            gone = subtrees.key(e) in templates
         if gone:
             keep[e.start : e.end] = bytes(e.end - e.start)
     blocks, current = [], []
@@ -201,30 +243,39 @@ def _host(url: str) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(col(url).cast("string"), F.lit("")), "^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1))
 
 
-def site_templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", least: int = TEMPLATE_PAGES, share: float = TEMPLATE_SHARE) -> DataFrame:
-    """(host, templates): keys of subtrees that recur across many pages of the host.
+def site_templates(
+    pages: DataFrame, url_col: str = "url", html_col: str = "html",
+    least: int = TEMPLATE_PAGES, share: float = TEMPLATE_SHARE, many: int = MANY_PAGES, many_share: float = MANY_SHARE,
+) -> DataFrame:
+    """(host, templates): keys of subtrees that recur across many different pages of the host; copies of an article are one page.
 
-    A host has at most (containers a page) / share of them, so the list of a host is bounded however many pages it has.
+    A subtree is template on `least` pages that are `share` of the host, or, unless an article holds it, on `many` pages
+    that are `many_share` of the host. A host has at most (containers a page) / many_share templates, whatever its size.
     """
     source = pages.select(_host(url_col).alias("host"), F.coalesce(col(html_col), F.lit("")).cast("string").alias("html"))
 
     def start():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            hosts, keys = [], []
+            hosts, keys, inside, owns = [], [], [], []
             for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-                found = [None, *subtree_keys(html)]  # the row without a key counts the page
-                hosts += [host] * len(found)
-                keys += found
-            return pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(keys, pa.int64())], ["host", "key"])
+                own, found = page_subtrees(html)
+                hosts += [host] * (len(found) + 1)
+                keys += [None, *found]  # the row without a key counts the page
+                inside += [False, *found.values()]
+                owns += [own] * (len(found) + 1)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(hosts, pa.string()), pa.array(keys, pa.int64()), pa.array(inside, pa.bool_()), pa.array(owns, pa.int64())], ["host", "key", "inside", "own"]
+            )
 
         return step
 
-    counts = source.mapInArrow(per_batch(start), "host string, key long").groupBy("host", "key").agg(F.count("*").alias("n"))
+    # Distinct pages first, spread by all four columns, then counts: a subtree on every page of a host is in no single task.
+    counts = source.mapInArrow(per_batch(start), "host string, key long, inside boolean, own long").distinct().groupBy("host", "key", "inside").agg(F.count("*").alias("n"))
     counts = written(counts.where(F.col("key").isNull() | (F.col("n") >= least)), "subtrees")
     sites = counts.where("key IS NULL").select("host", F.col("n").alias("pages"))
-    return (
-        counts.where("key IS NOT NULL").join(sites, "host").where(F.col("n") >= F.col("pages") * share).groupBy("host").agg(F.collect_list("key").alias("templates"))
-    )
+    often = F.col("n") >= F.col("pages") * share
+    absolute = ~F.col("inside") & (F.col("n") >= many) & (F.col("n") >= F.col("pages") * many_share)
+    return counts.where("key IS NOT NULL").join(sites, "host").where(often | absolute).groupBy("host").agg(F.collect_list("key").alias("templates"))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", **limits) -> DataFrame:

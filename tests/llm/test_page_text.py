@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 from html import unescape
 
 import pytest
@@ -55,6 +56,32 @@ def test_templates_of_a_site_go_and_its_articles_stay(spark):
     assert [r.text for r in p.extract(twice.unionByName(twice)).collect()] == ["x", "x"]
 
 
+def test_copies_of_a_page_leave_its_article_whole(spark):
+    prepare(spark)
+    article = "<article><p>%s</p><ul><li>one</li><li>two</li></ul><table><tr><td>cell</table></article>"
+    ad = "<div class=x9><p>Read our paper</p></div>"
+    rows = [("http://d.com/c%d" % i, f"<body><div>at {i}</div>{article % 'the same long article in all of these copies'}</body>") for i in range(5)]
+    rows += [("http://d.com/%d" % i, f"<body>{article.split('<ul>')[0] % data.words(30, i)}</article></body>") for i in range(20)]
+    rows += [("http://e.com/%d" % i, f"<body><p>own {i} {data.words(30, i)}</p>{ad if i % 10 == 0 else ''}</body>") for i in range(1000)]
+    found = {r.page_id: r.text for r in p.extract(pages(spark, rows)).collect()}
+    assert all(found[i] == "the same long article in all of these copies one two cell" for i in range(5))
+    assert all(found[25 + i] == f"own {i} {data.words(30, i)}" for i in range(1000))
+
+
+def test_keys_tell_subtrees_apart():
+    key = lambda html: list(p.page_subtrees(html + "<p>" + "long text of the page " * 9)[1])
+    assert key("<div>a<p>b</div>") == key("<div class=z> a <p>b</p></div>") != key("<div>a b</div>")
+    assert key("<div>a</div>") != key("<section>a</section>") and key("<div>a</div>") != key("<article><div>a</div></article>")
+    assert len(key("<div><div>a</div>b</div><div>a</div>")) == 2
+
+
+def test_deep_pages_take_linear_time():
+    began = time.perf_counter()
+    own, found = p.page_subtrees("<div>x" * 16_000)
+    assert len(found) > 5_000 and p.main_text("<div>x" * 16_000, {1}) == " ".join("x" * 16_000)
+    assert time.perf_counter() - began < 5
+
+
 def test_long_and_nested_pages():
     assert p.main_text("<div>" * 3000 + "x") == "x"
     assert len(p.main_text("<p>word</p>" * 50_000)) == 50_000 * 5 - 1
