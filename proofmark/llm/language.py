@@ -8,7 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from proofmark.llm.common import add_fields, col, keyed_texts, per_batch, safe_pieces, written
@@ -16,9 +16,9 @@ from proofmark.llm.common import add_fields, col, keyed_texts, per_batch, safe_p
 ORDER = 4
 #: Slots of the hash space of each order and language: the bound of the model, whatever the corpus.
 SLOT_BITS = 20
-#: Training documents, about, on which temperature and rejection are calibrated.
-CALIBRATION = 2000
-#: Share of accepted calibration documents that must be right.
+#: Temperatures that are tried.
+TEMPERATURES = tuple(np.geomspace(0.25, 64, 17).tolist())
+#: Share of accepted training documents that must be right.
 PRECISION = 0.99
 REMEMBERED = 400_000
 UNDETERMINED = "und"
@@ -230,37 +230,67 @@ class Scorer:
 
 
 def fit(df: DataFrame, train: Column, text_col: str, lang_col: str) -> Models:
-    """Models from all rows for which `train` holds and the language is known; calibrated on about CALIBRATION of them."""
-    labelled = df.where(train & col(lang_col).isNotNull()).select(
-        F.coalesce(col(text_col), F.lit("")).cast("string").cast("binary").alias("body"), col(lang_col).cast("string").alias("lang")
-    )
-    grams = written(gram_counts(labelled), "grams")
+    """Models from all rows for which `train` holds and the language is known; calibrated on all of them."""
+    return fit_scored(df.where(train & col(lang_col).isNotNull()), F.lit(True), lang_col, text_col, lang_col)[0]
+
+
+def fit_scored(df: DataFrame, train: Column, id_col: str, text_col: str, lang_col: str) -> tuple[Models, DataFrame]:
+    """The same, and the scores of every row of the table for `identify`: each text is scored once, for calibration and answer."""
+    lang = F.when(train, col(lang_col)).cast("string")
+    keyed = df.select(col(id_col).alias("id"), F.coalesce(col(text_col), F.lit("")).cast("string").cast("binary").alias("body"), lang.alias("lang"))
+    grams = written(gram_counts(keyed.where("lang IS NOT NULL").select("body", "lang")), "grams")
     models = Models(_tables(grams).toArrow())
-    rows = labelled.count()
-    part = labelled.where(F.pmod(F.xxhash64("body"), F.lit(max(1, rows // CALIBRATION))) == 0)
-    _calibrate(models, score_rows(part.withColumn("id", F.col("lang")), models).collect())
-    return models
+    scored = written(score_rows(keyed, models), "scores")
+    _calibrate(models, scored.where("lang IS NOT NULL AND length > 0"))
+    return models, scored.select("id", "costs", "length")
 
 
-def _calibrate(models: Models, rows: list) -> None:
+def _calibrate(models: Models, known: DataFrame) -> None:
     """Temperature by least log loss over a grid; the rejection limit by the precision of what is accepted."""
-    known = [r for r in rows if r.length > 0]
-    if not known or len(models.langs) < 2:
+    if len(models.langs) < 2:
         return
-    rates = np.array([r.costs for r in known]) / np.array([[r.length] for r in known])
-    right = np.array([models.langs.index(r.id) for r in known])
-    losses = {}
-    for t in np.geomspace(0.25, 64, 17):
-        p = _softmax(-rates * t)
-        losses[t] = -np.log(np.maximum(p[np.arange(len(right)), right], 1e-12)).mean()
-    models.temperature = float(min(losses, key=losses.get))
-    p = _softmax(-rates * models.temperature)
-    best, ok = p.max(axis=1), p.argmax(axis=1) == right
-    order = np.argsort(-best, kind="stable")
-    precise = np.cumsum(ok[order]) / np.arange(1, len(order) + 1) >= PRECISION
-    last = int(np.flatnonzero(precise).max()) if precise.any() else -1
+    loss = dict(known.mapInArrow(_losses(models.langs), "at int, loss double").groupBy("at").agg(F.sum("loss")).collect())  # a row a temperature
+    if loss:
+        models.temperature = TEMPERATURES[min(loss, key=lambda at: (loss[at], at))]
+        models.least = _least(_verdicts(known, models).select("score", (F.col("lang_pred") == F.col("lang")).alias("right")), len(models.langs))
+
+
+def _losses(langs: list[str]):
+    """A mapInArrow function: the log loss of a task's rows at each temperature."""
+    def run(batches):
+        total, rows = np.zeros(len(TEMPERATURES)), 0
+        for batch in batches:
+            n = batch.num_rows
+            if n:
+                costs = batch.column("costs").flatten().to_numpy().reshape(n, len(langs))
+                rates = costs / batch.column("length").to_numpy()[:, None]
+                right = np.array([langs.index(x) for x in batch.column("lang").to_pylist()])
+                total += [-np.log(np.maximum(_softmax(-rates * t)[np.arange(n), right], 1e-12)).sum() for t in TEMPERATURES]
+                rows += n
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()), pa.array(total)], ["at", "loss"])
+
+    return run
+
+
+def _least(judged: DataFrame, langs: int) -> float:
+    """The lowest score at or above which the share PRECISION of all (score, right) rows is right.
+
+    Rows of one score count together; running sums are made in ranges of scores, and range totals are all that reaches the driver.
+    """
+    by_score = judged.groupBy("score").agg(F.count("*").alias("n"), F.count_if("right").alias("ok"))
+    ranged = written(by_score.repartitionByRange(F.desc("score")).withColumn("part", F.spark_partition_id()), "by-score")
+    starts, n, ok = [], 0, 0
+    for r in ranged.groupBy("part").agg(F.sum("n").alias("n"), F.sum("ok").alias("ok")).orderBy("part").collect():
+        starts.append((r.part, n, ok))
+        n, ok = n + r.n, ok + r.ok
+    before = F.broadcast(judged.sparkSession.createDataFrame(starts, "part int, n_before long, ok_before long"))
+    higher = Window.partitionBy("part").orderBy(F.desc("score"))
+    summed = ranged.select("part", "score", F.sum("n").over(higher).alias("n"), F.sum("ok").over(higher).alias("ok")).join(before, "part")
+    precise = (F.col("ok") + F.col("ok_before")) / (F.col("n") + F.col("n_before")) >= PRECISION
+    found = summed.agg(F.min(F.when(precise, F.col("score"))).alias("least"), F.min("score").alias("lowest")).first()
     # Where even the least sure answers are right, nothing above chance is rejected.
-    models.least = 1.0 if last < 0 else 1 / len(models.langs) if last == len(order) - 1 else float(best[order][last])
+    return 1.0 if found.least is None else 1 / langs if found.least == found.lowest else float(found.least)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -272,9 +302,9 @@ _SCORERS: dict[str, Scorer] = {}
 
 
 def score_rows(keyed: DataFrame, models: Models) -> DataFrame:
-    """(id, costs, length) of rows of (id, body)."""
+    """(id, costs, length) of rows of (id, body); other columns stay beside the id."""
     shared = keyed.sparkSession.sparkContext.broadcast(models)
-    source = keyed.select("id", "body")
+    kept = [c for c in keyed.columns if c != "body"]
 
     def start():
         # The words that a worker has met stay known to its later tasks.
@@ -287,23 +317,31 @@ def score_rows(keyed: DataFrame, models: Models) -> DataFrame:
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             costs, lengths = zip(*(scorer.costs(b.decode("utf-8", "replace")) for b in batch.column("body").to_pylist()))
             return pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array([c.tolist() for c in costs], pa.list_(pa.float64())), pa.array(lengths, pa.float64())], ["id", "costs", "length"]
+                [*map(batch.column, kept), pa.array([c.tolist() for c in costs], pa.list_(pa.float64())), pa.array(lengths, pa.float64())], [*kept, "costs", "length"]
             )
 
         return step
 
-    return source.mapInArrow(per_batch(start), add_fields(source, ["id"], "costs array<double>, length double"))
+    return keyed.mapInArrow(per_batch(start), add_fields(keyed, kept, "costs array<double>, length double"))
 
 
-def identify(df: DataFrame, models: Models, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def identify(df: DataFrame, models: Models, id_col: str = "doc_id", text_col: str = "text", scored: DataFrame | None = None) -> DataFrame:
     """Per input row: id, lang_pred, score (probability of the chosen language), accepted (score at or above the rejection limit).
 
     The language of the lowest cross-entropy per character wins; on a tie, the first in alphabetical order. A text that
-    is null or has no letter, and any text where no language was learned, is `und` with score 0 and not accepted.
+    is null or has no letter, and any text where no language was learned, is `und` with score 0 and not accepted. `scored`:
+    the rows of the table as `fit_scored` returns them, which are then not scored again.
     """
-    found = score_rows(keyed_texts(df, id_col, text_col), models)
+    found = score_rows(keyed_texts(df, id_col, text_col), models) if scored is None else scored
     if not models.langs:
         return found.select(F.col("id").alias(id_col), F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(False).alias("accepted"))
+    return _verdicts(found, models).select(
+        F.col("id").alias(id_col), "lang_pred", "score", ((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= models.least)).alias("accepted")
+    )
+
+
+def _verdicts(found: DataFrame, models: Models) -> DataFrame:
+    """lang_pred and score beside scored rows."""
     rates = F.transform("costs", lambda c: c / F.col("length"))
     some = F.col("length") > 0
     at = F.array_position("rates", F.array_min("rates")).cast("int")
@@ -311,10 +349,6 @@ def identify(df: DataFrame, models: Models, id_col: str = "doc_id", text_col: st
     langs = F.array(*[F.lit(x) for x in models.langs])
     return (
         found.withColumn("rates", F.when(some, rates))
-        .select(
-            F.col("id").alias(id_col),
-            F.when(some, F.element_at(langs, at)).otherwise(UNDETERMINED).alias("lang_pred"),
-            F.when(some, 1 / share).otherwise(0.0).alias("score"),
-        )
-        .withColumn("accepted", (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= models.least))
+        .withColumn("lang_pred", F.when(some, F.element_at(langs, at)).otherwise(UNDETERMINED))
+        .withColumn("score", F.when(some, 1 / share).otherwise(0.0))
     )

@@ -66,6 +66,49 @@ def test_nothing_learned(spark):
     assert language.identify(data.docs_of(spark, ["the tree"]), one).first()[1:3] == ("de", 1.0)
 
 
+def by_brute_force(rates, right, langs):
+    """Temperature and rejection limit from all rows, sorted in one place."""
+    def p(t):
+        e = np.exp(-rates * t - (-rates * t).max(axis=1, keepdims=True))
+        return e / e.sum(axis=1, keepdims=True)
+
+    places = np.arange(len(right))
+    t = min(np.geomspace(0.25, 64, 17), key=lambda t: -np.log(np.maximum(p(t)[places, right], 1e-12)).sum())
+    best, ok = p(t).max(axis=1), p(t).argmax(axis=1) == right
+    fine = [s for s in set(best) if ok[best >= s].mean() >= language.PRECISION]
+    return t, 1.0 if not fine else 1 / langs if min(fine) == best.min() else min(fine)
+
+
+def test_every_training_document_calibrates(spark):
+    rng = np.random.default_rng(4)
+    right = rng.integers(0, 2, 9000)
+    rates = rng.normal(6, 1, (9000, 2))
+    rates[np.arange(9000), right] -= rng.gamma(2, 1, 9000)
+    rates[:500] = rates[500:1000]  # ties
+    rows = [(["de", "en"][k], [10 * x for x in r.tolist()], 10.0) for k, r in zip(right, rates)]
+    known = spark.createDataFrame(rows, "lang string, costs array<double>, length double").repartition(5)
+    models = language.Models(language._tables(language.gram_counts(labelled(spark).select(F.col("text").cast("binary").alias("body"), "lang"))).toArrow())
+    language._calibrate(models, known)
+    t, least = by_brute_force(rates, right, 2)
+    assert models.temperature == t and 0.5 < least < 1 and abs(models.least - least) < 1e-9
+
+
+def test_the_limit_of_a_fit_is_that_of_all_its_documents(spark):
+    prepare(spark)
+    rng = np.random.default_rng(5)
+    words = ["the house and that tree was here".split(), "der baum und das haus war hier".split()]
+    rows = [(i, " ".join(words[int(rng.random() < (0.3, 0.7)[i % 2])][rng.integers(7)] for _ in range(5)), ["en", "de"][i % 2]) for i in range(9000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    models = language.fit(docs, F.lit(True), "text", "lang")
+    scored = language.score_rows(docs.select(F.col("doc_id").alias("id"), F.col("text").cast("binary").alias("body")), models).collect()
+    rates = np.array([r.costs for r in scored]) / np.array([[r.length] for r in scored])
+    t, least = by_brute_force(rates, np.array([1 - r.id % 2 for r in scored]), 2)
+    assert models.temperature == t and abs(models.least - least) < 1e-9
+    # Scores that a fit made of all rows are those that the model makes.
+    again, kept = language.fit_scored(docs, F.lit(True), "doc_id", "text", "lang")
+    assert sorted(map(tuple, language.identify(docs, again, scored=kept).collect())) == sorted(map(tuple, language.identify(docs, models).collect()))
+
+
 def test_held_out_accuracy(spark, sf_dir):
     langs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
     rows = queries.QUERIES["op3_language_id"](spark, sf_dir).join(langs, "doc_id").collect()
