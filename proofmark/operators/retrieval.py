@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from proofmark.session import scratch_path, written
 
 BLOCK_ROWS = 20_000
+#: Vectors of a block that are scored at a time.
+TILE = 2048
 TOPK_SCHEMA = "query_id BIGINT, vec_id BIGINT, score DOUBLE"
 
 
@@ -52,13 +54,19 @@ def _best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, index: np
     parts = []
     for start in range(0, len(query_ids), 256):
         part = query_ids[start : start + 256]
-        scores = np.round(queries[start : start + 256] @ index.T, 9)
-        if skip_self:
-            scores[part[:, None] == ids[None, :]] = -np.inf
-        nth = max(scores.shape[1] - k, 0)
-        floor = np.partition(scores, nth, axis=1)[:, nth]
-        rows, cols = np.nonzero((scores >= floor[:, None]) & (scores > -np.inf))  # ties at the floor included
-        parts.append(_cut((part[rows], ids[cols], scores[rows, cols]), k))
+        found = part[:0], ids[:0], np.zeros(0)
+        # Scores are held for TILE vectors at a time, and the best so far: room does not follow the block, nor the copies in it.
+        for first in range(0, len(ids), TILE):
+            own = ids[first : first + TILE]
+            scores = np.round(queries[start : start + 256] @ index[first : first + TILE].T, 9)
+            if skip_self:
+                scores[part[:, None] == own[None, :]] = -np.inf
+            nth = max(scores.shape[1] - k, 0)
+            floor = np.partition(scores, nth, axis=1)[:, nth]
+            rows, cols = np.nonzero((scores >= floor[:, None]) & (scores > -np.inf))  # ties at the floor included
+            new = part[rows], own[cols], scores[rows, cols]
+            found = _cut(tuple(np.concatenate(column) for column in zip(found, new)), k)
+        parts.append(found)
     return tuple(np.concatenate(column) for column in zip(*parts))
 
 

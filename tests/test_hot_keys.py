@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -105,6 +106,19 @@ def test_exact_neighbours_whatever_the_blocks(spark, copies, skip_self):
     assert found(retrieval.vector_topk(queries, index, 3, 16, skip_self, block_rows=37)) == want
 
 
+def test_room_of_a_block_does_not_follow_its_rows():
+    rng = np.random.default_rng(2)
+    matrix = rng.standard_normal((retrieval.BLOCK_ROWS, 16))
+    matrix[::3] = matrix[0]
+    unit, ids = retrieval._unit(matrix), np.arange(len(matrix))
+    tracemalloc.start()
+    q, v, s = retrieval._best(ids[:300], unit[:300], ids, unit, 3, False)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert set(zip(q.tolist(), v.tolist())) == {w[:2] for w in brute_force(unit[:300], unit, 3)} and len(q) == 900
+    assert peak < 40 << 20
+
+
 def frame_of(spark, matrix, key):
     """A larger matrix as a table, without a Python row each."""
     flat = matrix.astype(np.float32)
