@@ -6,26 +6,73 @@ their distinct runs that are keys of some keyword; keyword and text meet by an e
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from proofmark.functions import text
 from proofmark.session import written
 
 GRAM = 3
+#: Runs of keywords are marked in so many slots (a prime), which bounds what the tasks over the texts hold of them.
+SLOTS = 4_194_301
+#: Characters of a text whose runs are made at a time, and pairs of text and run that leave a task at a time.
+PIECE = 1 << 20
 
 
-def _runs(chars: Column, n: int) -> Column:
-    """Distinct runs of n characters of a text given as its characters."""
-    if n == 1:
-        return F.array_distinct(chars)
-    places = F.filter(F.sequence(F.lit(0), F.greatest(F.size(chars) - n, F.lit(0))), lambda i: i + n <= F.size(chars))
-    return F.array_distinct(F.transform(places, lambda i: F.concat(*[F.get(chars, i + k) for k in range(n)])))
+def _codes(chars: str, n: int) -> np.ndarray:
+    """The runs of n characters, each as one number: 21 bits a character, none of them zero, so runs of two lengths differ."""
+    points = np.frombuffer(chars.encode("utf-32-le"), dtype=np.uint32).astype(np.int64) + 1
+    codes = points[: max(len(points) - n + 1, 0)]
+    for k in range(1, n):
+        codes = codes << 21 | points[k : len(points) - n + 1 + k]
+    return codes
 
 
-def _chars(c) -> Column:
-    """The characters of a text in lower case; a run is then made of neighbours, not cut out of the text at each place."""
-    return F.filter(F.split(F.lower(text.col(c)), ""), lambda x: x != "")
+def _distinct(chars: str, sizes: list[int]) -> np.ndarray:
+    """Distinct runs of some lengths of a text."""
+    found = [np.unique(_codes(chars[start : start + PIECE + n - 1], n)) for n in sizes for start in range(0, len(chars), PIECE)]
+    if not found:
+        return np.empty(0, dtype=np.int64)
+    return np.concatenate(found) if len(chars) <= PIECE else np.unique(np.concatenate(found))
+
+
+def _runs(df: DataFrame, sizes: list[int] | None = None, slots: np.ndarray | None = None) -> DataFrame:
+    """The distinct runs of a text, the bytes `_body`, as `_gram` beside the other columns: of these lengths, or one of its own up to GRAM.
+
+    `slots`: only runs that fall into these, which holds for every run that is looked for and for few others.
+    """
+    wanted = None
+    if slots is not None:
+        marks = np.zeros(SLOTS, dtype=bool)
+        marks[slots] = True
+        wanted = df.sparkSession.sparkContext.broadcast(marks)
+    kept = [c for c in df.columns if c != "_body"]
+
+    def run(batches):
+        for batch in batches:
+            rows, grams, held = [], [], 0
+            for row, body in enumerate(batch.column("_body").to_pylist()):
+                chars = body.decode("utf-8", "replace")
+                codes = _distinct(chars, sizes or [max(1, min(len(chars), GRAM))])
+                if wanted is not None:
+                    codes = codes[wanted.value[codes % SLOTS]]
+                rows.append(np.full(len(codes), row))
+                grams.append(codes)
+                held += len(codes)
+                if held > PIECE:
+                    yield paired(batch, rows, grams)
+                    rows, grams, held = [], [], 0
+            if held:
+                yield paired(batch, rows, grams)
+
+    def paired(batch, rows, grams):
+        at = pa.array(np.concatenate(rows))
+        return pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in kept), pa.array(np.concatenate(grams))], [*kept, "_gram"])
+
+    return df.mapInArrow(run, T.StructType([*(df.schema[c] for c in kept), T.StructField("_gram", T.LongType())]))
 
 
 def keyword_hits(df: DataFrame, key: str, column: str, keywords: DataFrame, keyword: str = "keyword") -> DataFrame:
@@ -34,16 +81,16 @@ def keyword_hits(df: DataFrame, key: str, column: str, keywords: DataFrame, keyw
     ``key`` is unique per text. A null text holds nothing; a null or empty keyword is in no text.
     """
     wanted = keywords.select(F.col(keyword).alias("keyword")).where(F.length("keyword") > 0).distinct()
-    lowered = wanted.withColumn("_low", F.lower("keyword")).withColumn("_chars", _chars("keyword"))
-    size = F.least(F.size("_chars"), F.lit(GRAM))
-    runs = F.when(size == 1, _runs(F.col("_chars"), 1)).when(size == 2, _runs(F.col("_chars"), 2)).otherwise(_runs(F.col("_chars"), GRAM))
-    parts = written(lowered.select("keyword", "_low", F.explode(runs).alias("_gram")), "keyword-runs")
+    lowered = wanted.withColumn("_low", F.lower("keyword"))
+    parts = written(_runs(lowered.withColumn("_body", F.col("_low").cast("binary"))), "keyword-runs")
     known = parts.select("_gram").distinct()
+    sizes = [r.n for r in lowered.select(F.least(F.length("_low"), F.lit(GRAM)).alias("n")).distinct().orderBy("n").collect()]
+    slots = known.select(F.pmod("_gram", F.lit(SLOTS)).alias("slot")).distinct().toArrow().column("slot").to_numpy()  # SLOTS at most
 
-    spelled = df.where(F.col(column).isNotNull()).select(F.col(key).alias("_id"), _chars(column).alias("_c"))
-    every = F.concat(*[_runs(F.col("_c"), n) for n in range(1, GRAM + 1)])
-    # Only runs that some keyword has are written; texts are spelled out once.
-    met = written(spelled.select("_id", F.explode(every).alias("_gram")).join(known, "_gram", "left_semi"), "text-runs")
+    # Only runs that some keyword has are written.
+    spelled = df.where(F.col(column).isNotNull()).select(F.col(key).alias("_id"), F.lower(text.col(column)).cast("binary").alias("_body"))
+    runs = _runs(spelled, sizes, slots)
+    met = written(runs.join(known, "_gram", "left_semi").select("_id", "_gram"), "text-runs")
     seen = met.groupBy("_gram").agg(F.count("*").alias("n"))
     # A keyword with a run that no text has is in no text; the others go by their rarest.
     rated = parts.join(seen, "_gram", "left").groupBy("keyword", "_low").agg(

@@ -72,6 +72,27 @@ def test_a_table_of_keywords_is_found_as_substrings(spark):
     assert got == sorted((i, w) for i, t in texts.items() if t is not None for w in words if w.lower() in t.lower())
 
 
+def test_runs_of_texts_are_made_without_a_row_of_characters(spark, monkeypatch):
+    """Texts are not spelled out by the plan, and the runs of a text in many pieces are those of the text, whatever its planes."""
+    monkeypatch.setattr(keywords, "PIECE", 7)
+    rng = random.Random(3)
+    letters = "ab\x00é中\U0001f600\U0010ffff"
+    texts = ["".join(rng.choice(letters) for _ in range(n)) for n in (0, 1, 2, 3, 6, 7, 8, 9, 14, 60, 300)]
+    for t in texts:
+        for n in (1, 2, 3):
+            assert set(keywords._distinct(t, [n]).tolist()) == set(keywords._codes(t, n).tolist()) and len(set(keywords._codes(t, n).tolist())) == len({t[i : i + n] for i in range(len(t) - n + 1)})
+    codes = keywords._distinct(texts[-1], [1, 2, 3])
+    assert len(codes) == len(set(codes.tolist())) == sum(len({texts[-1][i : i + n] for i in range(len(texts[-1]) - n + 1)}) for n in (1, 2, 3))
+    words = {t[i : i + n] for t in texts for n in (1, 2, 3, 5) for i in range(0, len(t) - n + 1, 2)}
+    df = spark.createDataFrame([(i, i % 2, t) for i, t in enumerate(texts)], "id long, other int, text string")
+    found = keywords.keyword_hits(df, "id", "text", spark.createDataFrame([(w,) for w in words], "keyword string"))
+    shown = io.StringIO()
+    with redirect_stdout(shown):
+        found.explain("extended")
+    assert "transform(" not in shown.getvalue()
+    assert sorted(map(tuple, found.collect())) == sorted((i, w) for i, t in enumerate(texts) for w in words if w in t)
+
+
 def test_documents_of_keywords_come_with_content_or_the_sentinel(spark):
     asked = spark.createDataFrame([("q1", "about Alpha and beta"), ("q2", "nothing"), ("q3", None), ("q1", "about Alpha and beta")], "key string, question string")
     table = spark.createDataFrame([("alpha", "d1"), ("beta", "d1"), ("beta", "d2"), ("beta", "gone")], "keyword string, doc_id string")
