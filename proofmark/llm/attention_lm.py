@@ -26,6 +26,8 @@ TAIL = 3072
 PRIOR = 20.0
 #: Windows scored at once; their arrays stay in the processor's cache, and are used again for the next ones.
 CHUNK = 48
+#: Rows of class probabilities a training step makes at once, for the same reason.
+ROWS = 512
 
 
 class Vocabulary:
@@ -116,16 +118,10 @@ def windows(length: int) -> np.ndarray:
     return np.where((at >= 0) & (at < length), at, -1)
 
 
-def attention(q: np.ndarray, k: np.ndarray, v: np.ndarray, bias: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Masked attention of a batch of windows: shares (n, STRIDE, WIDTH) and outputs (n, STRIDE, DIM)."""
-    scores = q @ k.transpose(0, 2, 1)
-    scores *= np.float32(DIM**-0.5)
-    scores += np.where(_FUTURE, np.float32(-1e9), bias[_FAR])
-    scores += np.where(valid, np.float32(0), np.float32(-1e9))[:, None, :]
-    scores -= scores.max(axis=2, keepdims=True)
-    np.exp(scores, out=scores)
-    scores /= scores.sum(axis=2, keepdims=True)
-    return scores, scores @ v
+def added_up(columns: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """Sums of columns (n, DIM, places) by their slots (n, places): a row a slot."""
+    slots, rows = slots.ravel(), np.ascontiguousarray(columns.transpose(1, 0, 2)).reshape(DIM, -1)
+    return np.stack([np.bincount(slots, weights=row, minlength=SLOTS + CLASSES) for row in rows], axis=1).astype(columns.dtype)
 
 
 class Trainer:
@@ -138,45 +134,70 @@ class Trainer:
         self.s = {name: np.zeros_like(w) for name, w in weights.items()}
 
     def step(self, inputs: np.ndarray, targets: np.ndarray, valid: np.ndarray) -> float:
-        """One batch of windows: input slots (n, WIDTH), target classes of the queries (n, STRIDE), which inputs are text."""
-        w, scale = self.w, np.float32(DIM**-0.5)
-        x = w["embed"][inputs]
-        xq = x[:, CONTEXT:]
-        q, k, v = xq @ w["q"], x @ w["k"], x @ w["v"]
-        shares, h = attention(q, k, v, w["bias"], valid)
-        logits = self.after[inputs[:, CONTEXT:]] + h @ w["out"]
-        logits -= logits.max(axis=2, keepdims=True)
-        p = np.exp(logits)
-        p /= p.sum(axis=2, keepdims=True)
-        real = valid[:, CONTEXT:]
-        n = max(1, int(real.sum()))
-        rows, cols = np.nonzero(real)
-        loss = -np.log(np.maximum(p[rows, cols, targets[rows, cols]], 1e-12)).sum() / n
-        p[rows, cols, targets[rows, cols]] -= 1
-        p *= real[:, :, None] / np.float32(n)
-        dh = p @ w["out"].T
-        grads = {"out": h.reshape(-1, DIM).T @ p.reshape(-1, CLASSES)}
-        dv = shares.transpose(0, 2, 1) @ dh
-        dshare = dh @ v.transpose(0, 2, 1)
-        dscore = shares * (dshare - (shares * dshare).sum(axis=2, keepdims=True))
-        grads["bias"] = np.bincount(_FAR.ravel(), weights=np.where(_FUTURE, 0, dscore.sum(axis=0)).ravel(), minlength=WIDTH).astype(np.float32)
-        dq, dk = dscore @ k * scale, dscore.transpose(0, 2, 1) @ q * scale
-        flat = lambda a: a.reshape(-1, DIM)
-        grads["q"], grads["k"], grads["v"] = flat(xq).T @ flat(dq), flat(x).T @ flat(dk), flat(x).T @ flat(dv)
-        dx = dk @ w["k"].T + dv @ w["v"].T
-        dx[:, CONTEXT:] += dq @ w["q"].T
-        order = np.argsort(inputs.ravel(), kind="stable")
-        sorted_ = inputs.ravel()[order]
-        first = np.flatnonzero(np.concatenate(([True], sorted_[1:] != sorted_[:-1])))
+        """One batch of windows: input slots (n, WIDTH), target classes of the queries (n, STRIDE), which inputs are text.
+
+        Queries, keys and values are rows of tables of all slots, made once a step; their gradients are added up by slot.
+        """
+        w, count, kind = self.w, len(inputs), self.w["embed"].dtype.type
+        scale, inputs = kind(DIM**-0.5), inputs.astype(np.int64)
+        queries = inputs[:, CONTEXT:]
+        q = np.take(w["embed"] @ w["q"] * scale, queries, axis=0)
+        k, v = np.take(w["embed"] @ w["k"], inputs, axis=0), np.take(w["embed"] @ w["v"], inputs, axis=0)
+        shares = q @ k.transpose(0, 2, 1)
+        shares += np.where(_FUTURE, kind(-1e4), w["bias"][_FAR])
+        odd = np.flatnonzero(~valid.all(axis=1))
+        if len(odd):
+            shares[odd] += np.where(valid[odd], kind(0), kind(-1e4))[:, None, :]
+        shares -= shares.max(axis=2, keepdims=True)
+        np.exp(shares, out=shares)
+        # Shares are divided by their sums where that takes fewest products: in outputs, and in the gradients of outputs.
+        part = 1 / (shares @ np.ones(WIDTH, dtype=kind))[:, :, None]
+        h = shares @ v
+        h *= part
+        dh = np.zeros_like(h)
+        loss, grads = self._classes(h.reshape(-1, DIM), dh.reshape(-1, DIM), queries.ravel(), targets.ravel(), np.flatnonzero(valid[:, CONTEXT:]))
+        dh *= part
+        own = (dh * h).sum(axis=2, keepdims=True)
+        dscore = dh @ v.transpose(0, 2, 1)
+        dscore -= own
+        dscore *= shares
+        grads["bias"] = np.bincount(_FAR.ravel(), weights=np.where(_FUTURE, 0, dscore.sum(axis=0)).ravel(), minlength=WIDTH).astype(kind)
         grads["embed"] = np.zeros_like(w["embed"])
-        grads["embed"][sorted_[first]] = np.add.reduceat(flat(dx)[order], first, axis=0)
+        dq, dk, dv = k.transpose(0, 2, 1) @ dscore.transpose(0, 2, 1), q.transpose(0, 2, 1) @ dscore, dh.transpose(0, 2, 1) @ shares
+        for name, d, slots in (("q", dq, queries), ("k", dk, inputs), ("v", dv, inputs)):
+            table = added_up(d, slots)
+            if name == "q":
+                table *= scale
+            grads[name] = w["embed"].T @ table
+            grads["embed"] += table @ w[name].T
         self.steps += 1
         for name, g in grads.items():
             self.m[name] = 0.9 * self.m[name] + 0.1 * g
             self.s[name] = 0.98 * self.s[name] + 0.02 * g * g
             rate = self.rate * (1 - 0.98**self.steps) ** 0.5 / (1 - 0.9**self.steps)
             w[name] -= (rate * self.m[name] / (np.sqrt(self.s[name]) + 1e-8)).astype(np.float32)
-        return float(loss)
+        return loss
+
+    def _classes(self, h: np.ndarray, dh: np.ndarray, slots: np.ndarray, wanted: np.ndarray, real: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+        """Mean loss over the real rows and gradient of `out`; the gradient of h goes into dh. Class probabilities are made ROWS rows at a time."""
+        out, kind, n = self.w["out"], h.dtype.type, max(1, len(real))
+        total, grad, ones = 0.0, np.zeros_like(out), np.ones(CLASSES, dtype=kind)
+        rooms = np.empty((2, ROWS, CLASSES), dtype=kind)
+        for start in range(0, len(real), ROWS):
+            rows = real[start : start + ROWS]
+            (p, table), hs, at, to = rooms[:, : len(rows)], h[rows], np.arange(len(rows)), wanted[rows]
+            np.matmul(hs, out, out=p)
+            p += np.take(self.after, slots[rows], axis=0, out=table, mode="clip")
+            p -= p.max(axis=1, keepdims=True)
+            total -= p[at, to].sum(dtype=np.float64)
+            np.exp(p, out=p)
+            sums = p @ ones
+            total += np.log(sums).sum(dtype=np.float64)
+            p *= (1 / (sums * kind(n)))[:, None]
+            p[at, to] -= 1 / kind(n)
+            grad += hs.T @ p
+            dh[rows] = p @ out.T
+        return float(total / n), {"out": grad}
 
     def run(self, texts: list[np.ndarray], least: int = 0, batch: int = 32, group: int = 16_384) -> int:
         """Train on the windows of texts (ids, from the end mark before the text to the one behind it); returns their number.

@@ -21,6 +21,8 @@ WARM = 1500
 WARM_WINDOWS = 100_000
 #: Texts a trainer takes, about.
 TRAINER_TEXTS = 1500
+#: Windows of a step in the warm-up, and when all texts train: four times as many halve the noise, at twice the rate.
+WARM_BATCH, BATCH = 32, 128
 #: A word whose share of all tokens is at least one in so many is looked up in a broadcast of that many entries at most.
 COMMON = 200_000
 REMEMBERED = 300_000
@@ -142,36 +144,17 @@ def _bodies(df: DataFrame, text_col: str) -> DataFrame:
     return df.select(F.coalesce(col(text_col), F.lit("")).cast("string").cast("binary").alias("body"))
 
 
-def rank_counts(texts: DataFrame, tokenizer: Tokenizer, size: int) -> np.ndarray:
-    """Counts of ids in the texts; a task emits at most a row an id."""
-    def run(batches):
-        subwords, counts = tokenizer.subwords(), np.zeros(size, dtype=np.int64)
-        for batch in batches:
-            for body in batch.column("body").to_pylist():
-                counts += np.bincount(whole_text(subwords, body)[1:], minlength=size)
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], ["id", "n"])
-
-    found = texts.mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(size)
-    counts[found.column("id").to_numpy()] = found.column("n").to_numpy()
-    return counts
+TEXT, WORD, AFTER, WITHIN = range(4)
 
 
-WORD, AFTER, WITHIN = range(3)
+def encoded(texts: DataFrame, tokenizer: Tokenizer) -> DataFrame:
+    """(kind, key, n, ids): a row a text, its key a hash of its bytes, with its ids; and counts of words by hash, to be added up.
 
-
-def corpus_counts(texts: DataFrame, tokenizer: Tokenizer, vocabulary: lm.Vocabulary) -> DataFrame:
-    """(kind, key, n) over all training texts: words by hash, classes after slots, ids after classes.
-
-    Words are told apart by 64 bits of hash. A task holds counts of a bounded number of words at a time, and emits at most
-    a fixed number of other rows.
+    Words are told apart by 64 bits of hash. A task holds counts of a bounded number of words at a time.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(vocabulary)
-
     def run(batches):
-        subwords, v = tokenizer.subwords(), shared.value
-        counts = lm.Counts(v)
+        subwords = tokenizer.subwords()
+        kind = np.min_scalar_type(subwords.end)
         tally, pending = np.zeros(0, dtype=np.int64), []
 
         def tallied():
@@ -183,7 +166,7 @@ def corpus_counts(texts: DataFrame, tokenizer: Tokenizer, vocabulary: lm.Vocabul
             return seen
 
         for batch in batches:
-            texts_ids = []
+            held = []
             for body in batch.column("body").to_pylist():
                 parts = [np.array([subwords.end], dtype=np.int32)]
                 for part in pieces(body):
@@ -195,33 +178,82 @@ def corpus_counts(texts: DataFrame, tokenizer: Tokenizer, vocabulary: lm.Vocabul
                     index = subwords.index(part)
                     pending.append(index)
                     parts.append(subwords.ids(index))
-                texts_ids.append(np.concatenate([*parts, parts[0]]))
+                held.append(np.concatenate([*parts, parts[0]]).astype(kind))
             if pending:
                 tally = tallied()
-            flat = np.concatenate(texts_ids)
-            lengths = np.array([len(x) for x in texts_ids])
-            starts = np.zeros(len(flat), dtype=bool)
-            starts[np.cumsum(lengths) - lengths] = True
-            counts.add(flat, starts)
+            yield _rows(TEXT, batch.column("key"), np.array([len(ids) for ids in held], dtype=np.int64), [ids.tobytes() for ids in held])
         yield _word_rows(subwords, tally)
-        for kind, table in ((AFTER, counts.next_class.ravel()), (WITHIN, counts.next_id.ravel())):
-            at = np.flatnonzero(table)
-            yield _rows(kind, at, table[at].astype(np.int64))
 
-    return texts.mapInArrow(run, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    keyed = texts.select("body", F.xxhash64("body", F.lit(7)).alias("key"))
+    return keyed.mapInArrow(run, "kind int, key long, n long, ids binary")
 
 
 def _word_rows(subwords: Subwords, tally: np.ndarray) -> pa.RecordBatch:
     at = np.flatnonzero(tally)
-    return _rows(WORD, subwords.hashes[at], tally[at])
+    return _rows(WORD, subwords.hashes[at], tally[at], [None] * len(at))
+
 
+def _rows(kind: int, keys: np.ndarray | pa.Array, n: np.ndarray, ids: list | None = None) -> pa.RecordBatch:
+    columns = {"kind": pa.array(np.full(len(keys), kind, dtype=np.int32)), "key": pa.array(keys), "n": pa.array(n)}
+    if ids is not None:
+        columns["ids"] = pa.array(ids, pa.binary())
+    return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-def _rows(kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, dtype=np.int32)), pa.array(keys), pa.array(n)], ["kind", "key", "n"])
 
+def _held_ids(batch: pa.RecordBatch, size: int) -> list[np.ndarray]:
+    """The ids of a batch of encoded texts, from a vocabulary of so many."""
+    kind = np.min_scalar_type(size - 1)
+    return [np.frombuffer(ids, dtype=kind) for ids in batch.column("ids").to_pylist()]
 
-def trained(texts: DataFrame, trainers: int, tokenizer: Tokenizer, vocabulary: lm.Vocabulary, after: np.ndarray, weights: dict, rate: float, least: int = 0) -> dict:
-    """Weights after every trainer has gone over its share of the texts from the given ones: the mean of their results.
+
+def rank_counts(texts: DataFrame, tokenizer: Tokenizer, size: int) -> np.ndarray:
+    """Counts of ids in the texts, encoded or not yet; a task emits at most a row an id."""
+    if "ids" not in texts.columns:
+        texts = encoded(texts, tokenizer).where(F.col("kind") == TEXT)
+
+    def run(batches):
+        counts = np.zeros(size, dtype=np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                counts += np.bincount(np.concatenate([ids[1:] for ids in _held_ids(batch, size)]), minlength=size)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], ["id", "n"])
+
+    found = texts.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(size)
+    counts[found.column("id").to_numpy()] = found.column("n").to_numpy()
+    return counts
+
+
+def class_counts(texts: DataFrame, vocabulary: lm.Vocabulary) -> lm.Counts:
+    """Classes after slots and ids after classes, counted over all encoded texts; a task emits at most a fixed number of rows."""
+    shared = texts.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def run(batches):
+        v = shared.value
+        counts = lm.Counts(v)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held = _held_ids(batch, v.size)
+            lengths = np.array([len(ids) for ids in held])
+            starts = np.zeros(lengths.sum(), dtype=bool)
+            starts[np.cumsum(lengths) - lengths] = True
+            counts.add(np.concatenate(held), starts)
+        for kind, table in ((AFTER, counts.next_class.ravel()), (WITHIN, counts.next_id.ravel())):
+            at = np.flatnonzero(table)
+            yield _rows(kind, at, table[at].astype(np.int64))
+
+    found = texts.select("ids").mapInArrow(run, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")).toArrow()
+    kind, key, n = (found.column(c).to_numpy() for c in ("kind", "key", "n"))
+    tables = lm.Counts(vocabulary)
+    for k, table in ((AFTER, tables.next_class.ravel()), (WITHIN, tables.next_id.ravel())):
+        table[key[kind == k]] = n[kind == k]
+    return tables
+
+
+def trained(texts: DataFrame, trainers: int, rate: float, vocabulary: lm.Vocabulary, after: np.ndarray, weights: dict, batch: int, least: int = 0) -> dict:
+    """Weights after every trainer has gone over its share of the encoded texts from the given ones: the mean of their results.
 
     A trainer sends its weights as one row a number, and the mean is an aggregate. One trainer reads the texts where they
     lie, and goes over them until `least` windows are done.
@@ -230,13 +262,14 @@ def trained(texts: DataFrame, trainers: int, tokenizer: Tokenizer, vocabulary: l
 
     def run(batches):
         v, table, first = shared.value
-        subwords, trainer = tokenizer.subwords(), lm.Trainer(first, v, table, rate)
-        done = trainer.run([whole_text(subwords, body) for batch in batches for body in batch.column("body").to_pylist()], least)
+        trainer = lm.Trainer(first, v, table, rate)
+        done = trainer.run([ids for rows in batches for ids in _held_ids(rows, v.size)], least, batch)
         if done:
             flat = np.concatenate([trainer.w[name].ravel() for name in sorted(trainer.w)]).astype(np.float64)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat * done), pa.array(np.full(len(flat), done, dtype=np.int64))], ["at", "value", "done"])
 
-    dealt = texts.coalesce(1) if trainers == 1 else texts.repartition(trainers)
+    dealt = texts.select("ids")
+    dealt = dealt.coalesce(1) if trainers == 1 else dealt.repartition(trainers)
     mean = dealt.mapInArrow(run, "at long, value double, done long").groupBy("at").agg((F.sum("value") / F.sum("done")).alias("value")).orderBy("at").toArrow()
     if not mean.num_rows:
         return weights
@@ -257,26 +290,21 @@ class Base:
 def fit(df: DataFrame, train: Column, ranks_path: str, pattern: str, text_col: str = "text") -> tuple[lm.Model, Base, DataFrame]:
     """Model, base totals and word counts from the rows for which `train` holds.
 
-    Counts cover all of them, those that rank the ids for the vocabulary too. Attention weights are trained on a fixed number
+    Texts are encoded once, and everything is learned from their ids. Counts cover all of them, those that rank the ids for
+    the vocabulary too. Attention weights are trained on a fixed number
     of texts first, then on all of them by as many trainers as that takes, at every size.
     """
     tokenizer, ranks = Tokenizer(ranks_path, pattern), read_ranks(ranks_path)
     kinds = kinds_of(ranks)
-    texts = _bodies(df.where(train), text_col)
+    found = written(encoded(_bodies(df.where(train), text_col), tokenizer), "ids")
+    texts = found.where(F.col("kind") == TEXT).select("key", "ids")
     total = texts.count()
-    share = F.pmod(F.xxhash64("body", F.lit(7)), F.lit(max(1, total // WARM)))
-    warm = written(texts.where(share == 0), "warm")
+    warm = written(texts.where(F.pmod("key", F.lit(max(1, total // WARM))) == 0), "warm")
     vocabulary = lm.Vocabulary(rank_counts(texts, tokenizer, len(kinds)), kinds)
-    counts = written(corpus_counts(texts, tokenizer, vocabulary), "counts")
-    small = counts.where(F.col("kind") != WORD).toArrow()
-    kind, key, n = (small.column(c).to_numpy() for c in ("kind", "key", "n"))
-    tables = lm.Counts(vocabulary)
-    for k, table in ((AFTER, tables.next_class.ravel()), (WITHIN, tables.next_id.ravel())):
-        table[key[kind == k]] = n[kind == k]
-    after, within = tables.tables()
-    weights = trained(warm, 1, tokenizer, vocabulary, after, lm.starting_weights(), 6e-3, WARM_WINDOWS)
-    weights = trained(texts, max(1, round(total / TRAINER_TEXTS)), tokenizer, vocabulary, after, weights, 3e-3)
-    words = counts.where(F.col("kind") == WORD).select(F.col("key").alias("hash"), "n")
+    after, within = class_counts(texts, vocabulary).tables()
+    weights = trained(warm, 1, 6e-3, vocabulary, after, lm.starting_weights(), WARM_BATCH, WARM_WINDOWS)
+    weights = trained(texts, max(1, round(total / TRAINER_TEXTS)), 3e-3 * (BATCH / 32) ** 0.5, vocabulary, after, weights, BATCH)
+    words = written(found.where(F.col("kind") == WORD).groupBy(F.col("key").alias("hash")).agg(F.sum("n").alias("n")), "words")
     tokens, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     # The end mark is a token too, one a text.
     tokens, distinct = tokens + total, distinct + (total > 0)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import copy
 import itertools
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -156,3 +158,47 @@ def test_all_texts_rank_ids_and_train(spark, monkeypatch):
     counts = lm_scoring.rank_counts(lm_scoring._bodies(docs, "text"), tokenizer, model.vocabulary.size)
     top = np.argsort(-counts, kind="stable")[: lm.SINGLES]
     assert sorted(model.vocabulary.class_of[top]) == list(range(lm.SINGLES))
+
+
+def test_texts_are_encoded_once_and_train_by_their_ids(spark, monkeypatch):
+    """Ranks, class counts and training read ids that were written once, not texts."""
+    prepare(spark)
+    seen, begun = [], lm_scoring.trained
+    monkeypatch.setattr(lm_scoring, "trained", lambda texts, *rest: seen.append(texts) or begun(texts, *rest))
+    monkeypatch.setattr(lm_scoring, "WARM_WINDOWS", 100)
+    bodies = [*data.AWKWARD, "one", data.words(300, 4)]
+    docs = data.docs_of(spark, bodies)
+    lm_scoring.fit(docs, F.lit(True), queries.RANKS, public_tokenizers.PATTERN)
+    subwords = lm_scoring.Subwords(bpe.read_ranks(queries.RANKS), public_tokenizers.PATTERN)
+    want = sorted(lm_scoring.whole_text(subwords, (t or "").encode()).tolist() for t in bodies)
+    for texts in seen:
+        assert "ids" in texts.columns and "body" not in texts.columns
+        rows = texts.select("ids").toArrow()
+        assert sorted(ids.tolist() for batch in rows.to_batches() for ids in lm_scoring._held_ids(batch, subwords.end + 1)) == want
+
+
+def test_a_step_holds_class_probabilities_of_few_rows(small):
+    v, after, _, weights, texts = small
+    inputs, targets, _, valid = (np.concatenate(x) for x in zip(*(lm.window_arrays(v, t) for t in texts * 4)))
+    trainer = lm.Trainer(weights, v, after)
+    trainer.step(inputs, targets, valid)
+    tracemalloc.start()
+    trainer.step(inputs, targets, valid)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # Attention's arrays, of WIDTH numbers a query, are held; class probabilities, several arrays of CLASSES numbers a query, are not.
+    everything = targets.size * lm.CLASSES * 4
+    assert everything > 20e6 and peak < 3 * everything
+
+
+def test_steps_of_many_rows_equal_the_plain_loss(small):
+    """Blocks of rows, and windows with few ids or none, against probabilities made window by window."""
+    v, after, within, weights, texts = small
+    inputs, targets, wanted, valid = (np.concatenate(x) for x in zip(*(lm.window_arrays(v, t) for t in [*texts, texts[0][:2]])))
+    real = valid[:, lm.CONTEXT :]
+    assert real.sum() > 2 * lm.ROWS and real.sum() % lm.ROWS
+    model = lm.Model(v, after, np.zeros_like(within), weights)
+    model.vocabulary = copy.copy(v)
+    model.vocabulary.in_class = np.zeros_like(v.in_class)
+    loss = lm.Trainer(weights, v, after, rate=0.0).step(inputs, targets, valid)
+    assert loss == pytest.approx(-sum(model.log_probabilities([*texts, texts[0][:2]])) / real.sum(), rel=1e-4)
