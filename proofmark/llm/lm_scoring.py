@@ -21,8 +21,6 @@ WARM = 1500
 WARM_WINDOWS = 100_000
 #: Texts a trainer takes, about.
 TRAINER_TEXTS = 1500
-#: Windows of a step in the warm-up, and when all texts train: four times as many halve the noise, at twice the rate.
-WARM_BATCH, BATCH = 32, 128
 #: A word whose share of all tokens is at least one in so many is looked up in a broadcast of that many entries at most.
 COMMON = 200_000
 REMEMBERED = 300_000
@@ -252,7 +250,7 @@ def class_counts(texts: DataFrame, vocabulary: lm.Vocabulary) -> lm.Counts:
     return tables
 
 
-def trained(texts: DataFrame, trainers: int, rate: float, vocabulary: lm.Vocabulary, after: np.ndarray, weights: dict, batch: int, least: int = 0) -> dict:
+def trained(texts: DataFrame, trainers: int, rate: float, vocabulary: lm.Vocabulary, after: np.ndarray, weights: dict, least: int = 0) -> dict:
     """Weights after every trainer has gone over its share of the encoded texts from the given ones: the mean of their results.
 
     A trainer sends its weights as one row a number, and the mean is an aggregate. One trainer reads the texts where they
@@ -263,7 +261,7 @@ def trained(texts: DataFrame, trainers: int, rate: float, vocabulary: lm.Vocabul
     def run(batches):
         v, table, first = shared.value
         trainer = lm.Trainer(first, v, table, rate)
-        done = trainer.run([ids for rows in batches for ids in _held_ids(rows, v.size)], least, batch)
+        done = trainer.run([ids for rows in batches for ids in _held_ids(rows, v.size)], least)
         if done:
             flat = np.concatenate([trainer.w[name].ravel() for name in sorted(trainer.w)]).astype(np.float64)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat * done), pa.array(np.full(len(flat), done, dtype=np.int64))], ["at", "value", "done"])
@@ -302,8 +300,8 @@ def fit(df: DataFrame, train: Column, ranks_path: str, pattern: str, text_col: s
     warm = written(texts.where(F.pmod("key", F.lit(max(1, total // WARM))) == 0), "warm")
     vocabulary = lm.Vocabulary(rank_counts(texts, tokenizer, len(kinds)), kinds)
     after, within = class_counts(texts, vocabulary).tables()
-    weights = trained(warm, 1, 6e-3, vocabulary, after, lm.starting_weights(), WARM_BATCH, WARM_WINDOWS)
-    weights = trained(texts, max(1, round(total / TRAINER_TEXTS)), 3e-3 * (BATCH / 32) ** 0.5, vocabulary, after, weights, BATCH)
+    weights = trained(warm, 1, 6e-3, vocabulary, after, lm.starting_weights(), WARM_WINDOWS)
+    weights = trained(texts, max(1, round(total / TRAINER_TEXTS)), 3e-3, vocabulary, after, weights)
     words = written(found.where(F.col("kind") == WORD).groupBy(F.col("key").alias("hash")).agg(F.sum("n").alias("n")), "words")
     tokens, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     # The end mark is a token too, one a text.
