@@ -28,6 +28,8 @@ PRIOR = 20.0
 CHUNK = 48
 #: Rows of class probabilities a training step makes at once, for the same reason.
 ROWS = 512
+#: Exponents that are bounded by this need no row maximum.
+SAFE = 60.0
 
 
 class Vocabulary:
@@ -118,10 +120,31 @@ def windows(length: int) -> np.ndarray:
     return np.where((at >= 0) & (at < length), at, -1)
 
 
-def added_up(columns: np.ndarray, slots: np.ndarray) -> np.ndarray:
-    """Sums of columns (n, DIM, places) by their slots (n, places): a row a slot."""
-    slots, rows = slots.ravel(), np.ascontiguousarray(columns.transpose(1, 0, 2)).reshape(DIM, -1)
-    return np.stack([np.bincount(slots, weights=row, minlength=SLOTS + CLASSES) for row in rows], axis=1).astype(columns.dtype)
+def added_up(rows: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """Sums of rows by their numbers, of which none is left out: a row a number."""
+    numbers = numbers.astype(np.min_scalar_type(SLOTS + CLASSES))
+    order = np.argsort(numbers, kind="stable")
+    numbers = numbers[order]
+    return np.add.reduceat(rows[order], np.flatnonzero(np.diff(numbers, prepend=-1)), axis=0)
+
+
+def longest(rows: np.ndarray) -> float:
+    """The length of the longest row."""
+    return float(np.sqrt(np.einsum("ij,ij->i", rows, rows).max(initial=0)))
+
+
+class Rooms:
+    """Arrays that are kept and used again: new large arrays cost more than the work done in them."""
+
+    def __init__(self, dtype: np.dtype = np.dtype(np.float32)):
+        self.dtype, self.held = dtype, {}
+
+    def __call__(self, name: str, n: int, *shape: int) -> np.ndarray:
+        """An array of n rows of this shape."""
+        held = self.held.get(name)
+        if held is None or len(held) < n:
+            held = self.held[name] = np.empty((n, *shape), dtype=self.dtype)
+        return held[:n]
 
 
 class Trainer:
@@ -132,71 +155,89 @@ class Trainer:
         self.vocabulary, self.after, self.rate, self.steps = vocabulary, after, rate, 0
         self.m = {name: np.zeros_like(w) for name, w in weights.items()}
         self.s = {name: np.zeros_like(w) for name, w in weights.items()}
+        self.room = Rooms(weights["embed"].dtype)
 
     def step(self, inputs: np.ndarray, targets: np.ndarray, valid: np.ndarray) -> float:
         """One batch of windows: input slots (n, WIDTH), target classes of the queries (n, STRIDE), which inputs are text.
 
-        Queries, keys and values are rows of tables of all slots, made once a step; their gradients are added up by slot.
+        Queries, keys and values are rows of tables of the slots met, made once a step.
         """
-        w, count, kind = self.w, len(inputs), self.w["embed"].dtype.type
-        scale, inputs = kind(DIM**-0.5), inputs.astype(np.int64)
-        queries = inputs[:, CONTEXT:]
-        q = np.take(w["embed"] @ w["q"] * scale, queries, axis=0)
-        k, v = np.take(w["embed"] @ w["k"], inputs, axis=0), np.take(w["embed"] @ w["v"], inputs, axis=0)
-        shares = q @ k.transpose(0, 2, 1)
+        w, kind, room, n = self.w, self.w["embed"].dtype.type, self.room, len(inputs)
+        scale = kind(DIM**-0.5)
+        met = np.zeros(SLOTS + CLASSES, dtype=bool)
+        met[inputs] = True
+        slots, numbers = np.flatnonzero(met), (np.cumsum(met) - 1)[inputs]
+        embed, queries = w["embed"][slots], inputs[:, CONTEXT:]
+        joined = np.concatenate((w["k"], w["v"], w["q"] * scale), axis=1)
+        table = embed @ joined
+        held = np.take(table, numbers, axis=0, out=room("held", n, WIDTH, 3 * DIM), mode="clip")
+        k, v, q = held[:, :, :DIM], held[:, :, DIM:-DIM], held[:, CONTEXT:, -DIM:]
+        shares = np.matmul(q, k.transpose(0, 2, 1), out=room("shares", n, STRIDE, WIDTH))
         shares += np.where(_FUTURE, kind(-1e4), w["bias"][_FAR])
         odd = np.flatnonzero(~valid.all(axis=1))
         if len(odd):
             shares[odd] += np.where(valid[odd], kind(0), kind(-1e4))[:, None, :]
-        shares -= shares.max(axis=2, keepdims=True)
+        # Lengths bound all products; only where exponentials might overflow are they taken from a row's largest.
+        if not longest(table[:, :DIM]) * longest(table[:, -DIM:]) + np.abs(w["bias"]).max() < SAFE:
+            shares -= shares.max(axis=2, keepdims=True)
         np.exp(shares, out=shares)
         # Shares are divided by their sums where that takes fewest products: in outputs, and in the gradients of outputs.
-        part = 1 / (shares @ np.ones(WIDTH, dtype=kind))[:, :, None]
-        h = shares @ v
+        part = 1 / np.maximum(shares @ np.ones(WIDTH, dtype=kind), kind(1e-30))[:, :, None]
+        h = np.matmul(shares, v, out=room("h", n, STRIDE, DIM))
         h *= part
-        dh = np.zeros_like(h)
+        dh = room("dh", n, STRIDE, DIM)
+        dh.fill(0)
         loss, grads = self._classes(h.reshape(-1, DIM), dh.reshape(-1, DIM), queries.ravel(), targets.ravel(), np.flatnonzero(valid[:, CONTEXT:]))
         dh *= part
-        own = (dh * h).sum(axis=2, keepdims=True)
-        dscore = dh @ v.transpose(0, 2, 1)
-        dscore -= own
+        dscore = np.matmul(dh, v.transpose(0, 2, 1), out=room("dscore", n, STRIDE, WIDTH))
+        dscore -= np.einsum("nij,nij->ni", dh, h)[:, :, None]
         dscore *= shares
         grads["bias"] = np.bincount(_FAR.ravel(), weights=np.where(_FUTURE, 0, dscore.sum(axis=0)).ravel(), minlength=WIDTH).astype(kind)
+        d = room("d", n, WIDTH, 3 * DIM)
+        np.matmul(dscore.transpose(0, 2, 1), q, out=d[:, :, :DIM])
+        np.matmul(shares.transpose(0, 2, 1), dh, out=d[:, :, DIM:-DIM])
+        np.matmul(dscore, k, out=d[:, CONTEXT:, -DIM:])
+        d[:, :CONTEXT, -DIM:] = 0
+        d = d.reshape(-1, 3 * DIM)
+        own = np.take(embed, numbers, axis=0, out=room("own", n, WIDTH, DIM), mode="clip").reshape(-1, DIM)
+        grads["k"], grads["v"], grads["q"] = np.split(own.T @ d, 3, axis=1)
+        grads["q"] = grads["q"] * scale
         grads["embed"] = np.zeros_like(w["embed"])
-        dq, dk, dv = k.transpose(0, 2, 1) @ dscore.transpose(0, 2, 1), q.transpose(0, 2, 1) @ dscore, dh.transpose(0, 2, 1) @ shares
-        for name, d, slots in (("q", dq, queries), ("k", dk, inputs), ("v", dv, inputs)):
-            table = added_up(d, slots)
-            if name == "q":
-                table *= scale
-            grads[name] = w["embed"].T @ table
-            grads["embed"] += table @ w[name].T
+        # A place's gradient is summed over its uses first, and added up by slot then.
+        grads["embed"][slots] = added_up(np.matmul(d, joined.T, out=own), numbers.ravel())
         self.steps += 1
+        rate = self.rate * (1 - 0.98**self.steps) ** 0.5 / (1 - 0.9**self.steps)
         for name, g in grads.items():
-            self.m[name] = 0.9 * self.m[name] + 0.1 * g
-            self.s[name] = 0.98 * self.s[name] + 0.02 * g * g
-            rate = self.rate * (1 - 0.98**self.steps) ** 0.5 / (1 - 0.9**self.steps)
-            w[name] -= (rate * self.m[name] / (np.sqrt(self.s[name]) + 1e-8)).astype(np.float32)
+            m, s = self.m[name], self.s[name]
+            m *= kind(0.9)
+            m += kind(0.1) * g
+            s *= kind(0.98)
+            s += kind(0.02) * g * g
+            w[name] -= kind(rate) * m / (np.sqrt(s) + kind(1e-8))
         return loss
 
     def _classes(self, h: np.ndarray, dh: np.ndarray, slots: np.ndarray, wanted: np.ndarray, real: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean loss over the real rows and gradient of `out`; the gradient of h goes into dh. Class probabilities are made ROWS rows at a time."""
         out, kind, n = self.w["out"], h.dtype.type, max(1, len(real))
         total, grad, ones = 0.0, np.zeros_like(out), np.ones(CLASSES, dtype=kind)
-        rooms = np.empty((2, ROWS, CLASSES), dtype=kind)
+        back, safe, whole = np.ascontiguousarray(out.T), longest(h) * longest(out.T) < SAFE, len(real) == len(h)
         for start in range(0, len(real), ROWS):
-            rows = real[start : start + ROWS]
-            (p, table), hs, at, to = rooms[:, : len(rows)], h[rows], np.arange(len(rows)), wanted[rows]
+            rows = slice(start, start + ROWS) if whole else real[start : start + ROWS]
+            hs, to = h[rows], wanted[rows]
+            p, table, at = self.room("p", len(hs), CLASSES), self.room("after", len(hs), CLASSES), np.arange(len(hs))
             np.matmul(hs, out, out=p)
             p += np.take(self.after, slots[rows], axis=0, out=table, mode="clip")
-            p -= p.max(axis=1, keepdims=True)
+            if not safe:
+                p -= p.max(axis=1, keepdims=True)
             total -= p[at, to].sum(dtype=np.float64)
             np.exp(p, out=p)
             sums = p @ ones
             total += np.log(sums).sum(dtype=np.float64)
-            p *= (1 / (sums * kind(n)))[:, None]
-            p[at, to] -= 1 / kind(n)
-            grad += hs.T @ p
-            dh[rows] = p @ out.T
+            p[at, to] -= sums
+            # Probabilities are divided by their sums where that takes fewest products.
+            part = (1 / (sums * kind(n)))[:, None]
+            grad += (hs * part).T @ p
+            dh[rows] = (p @ back) * part
         return float(total / n), {"out": grad}
 
     def run(self, texts: list[np.ndarray], least: int = 0, batch: int = 32, group: int = 16_384) -> int:
@@ -248,17 +289,10 @@ class Model:
         # A column of ones makes attention return the sum of its shares beside their weighted values.
         self.v = np.concatenate((v, np.ones((len(v), 1), dtype=np.float32)), axis=1)
         self.mask = np.where(_FUTURE, np.float32(-1e4), weights["bias"][_FAR])
-        self._held: dict[str, np.ndarray] = {}
-
-    def _room(self, name: str, n: int, *shape: int) -> np.ndarray:
-        """An array for n windows out of one that is kept: new large arrays cost more than the work done in them."""
-        held = self._held.get(name)
-        if held is None or len(held) < n:
-            held = self._held[name] = np.empty((n, *shape), dtype=np.float32)
-        return held[:n]
+        self._room = Rooms()
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_held": {}}
+        return self.__dict__ | {"_room": Rooms()}
 
     def log_probabilities(self, texts: list[np.ndarray], chunk: int = CHUNK) -> list[float]:
         """Natural log probability of each text's ids after the first; each id is scored once, with CONTEXT ids or more before it if there are."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from itertools import repeat
 from math import log, log10
 
 import numpy as np
@@ -48,13 +49,14 @@ class Subwords:
 
     def index(self, words: list[bytes]) -> np.ndarray:
         """Numbers of words, unseen ones being added."""
-        known = self.known
-        unseen = [w for w in set(words) if w not in known]
-        if unseen:
-            if len(known) + len(unseen) > REMEMBERED:
+        found = np.fromiter(map(self.known.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            unseen = list({words[i] for i in new.tolist()})
+            if len(self.known) + len(unseen) > REMEMBERED:
                 self.reset()
-                known, unseen = self.known, list(set(words))
-            digest = xxhash.xxh3_64_intdigest
+                unseen, new = list(set(words)), np.arange(len(words))
+            known, digest = self.known, xxhash.xxh3_64_intdigest
             ids, sizes = self._encoded(unseen)
             first, n = len(known), len(unseen)
             total = len(ids)
@@ -65,7 +67,8 @@ class Subwords:
             self.flat[self.used : self.used + total] = ids
             self.used += total
             known.update(zip(unseen, range(first, first + n)))
-        return np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
+            found[new] = [known[words[i]] for i in new.tolist()]
+        return found
 
     def _encoded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words, each after a space, and how many each has.

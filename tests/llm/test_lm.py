@@ -202,3 +202,56 @@ def test_steps_of_many_rows_equal_the_plain_loss(small):
     model.vocabulary.in_class = np.zeros_like(v.in_class)
     loss = lm.Trainer(weights, v, after, rate=0.0).step(inputs, targets, valid)
     assert loss == pytest.approx(-sum(model.log_probabilities([*texts, texts[0][:2]])) / real.sum(), rel=1e-4)
+
+
+def test_a_step_uses_the_arrays_of_the_one_before(small):
+    v, after, _, weights, texts = small
+    inputs, targets, _, valid = (np.concatenate(x)[:32] for x in zip(*(lm.window_arrays(v, t) for t in texts)))
+    trainer = lm.Trainer(weights, v, after)
+    trainer.step(inputs, targets, valid)
+    tracemalloc.start()
+    trainer.step(inputs, targets, valid)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(inputs) == 32 and peak < 1e6
+
+
+def test_large_products_change_no_step(small, monkeypatch):
+    """With and without the largest of a row taken off, and where exponentials would overflow without."""
+    v, after, _, weights, texts = small
+    inputs, targets, _, valid = (np.concatenate(x) for x in zip(*(lm.window_arrays(v, t) for t in [*texts[:9], texts[0][:2]])))
+    found = []
+    for safe in (0, 1e9):
+        monkeypatch.setattr(lm, "SAFE", safe)
+        trainer = lm.Trainer({k: w.astype(np.float64) for k, w in weights.items()}, v, after.astype(np.float64))
+        found.append((trainer.step(inputs, targets, valid), trainer.m))
+    assert found[0][0] == pytest.approx(found[1][0]) and all(np.allclose(found[0][1][k], found[1][1][k]) for k in weights)
+    monkeypatch.undo()
+    trainer = lm.Trainer({k: w * 30 for k, w in weights.items()}, v, after)
+    assert math.isfinite(trainer.step(inputs, targets, valid)) and all(np.isfinite(w).all() for w in trainer.w.values())
+
+
+def test_known_words_are_looked_up_once():
+    class Known(dict):
+        looked = 0
+
+        def get(self, *key):
+            Known.looked += 1
+            return super().get(*key)
+
+        def __contains__(self, key):
+            Known.looked += 1
+            return super().__contains__(key)
+
+        def __getitem__(self, key):
+            Known.looked += 1
+            return super().__getitem__(key)
+
+    subwords = lm_scoring.Subwords(bpe.read_ranks(queries.RANKS), public_tokenizers.PATTERN)
+    words = [b"one", b"two", b"one", b"three"] * 5
+    subwords.index(words)
+    subwords.known = Known(subwords.known)
+    again = subwords.index(words)
+    assert Known.looked == len(words) and [list(subwords.known)[i] for i in again] == words
+    mixed = subwords.index([b"four", b"one", b"four", b"five"])
+    assert mixed[0] == mixed[2] and [list(subwords.known)[i] for i in mixed] == [b"four", b"one", b"four", b"five"]
