@@ -74,6 +74,8 @@ def links(distinct: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     Such a pair shares at least 8 - most_bits of its 8 bytes at their places. The index files a fingerprint under every
     choice of that many places, so a posting holds only fingerprints that already reach the guaranteed number of
     shared bytes, and at most 65,536 of them for two bits; the tally of shared bytes and the bits then decide.
+    Both sides are shuffled at every size: to the planner the index is as large as its fingerprints before they are
+    filed under all choices, so it would broadcast an index many times its limit.
     """
     sure = BYTES - most_bits
     masks = [sum(0xFF << (8 * place) for place in places) for places in combinations(range(BYTES), sure)]
@@ -84,7 +86,7 @@ def links(distinct: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     differing = F.col("a").bitwiseXOR(F.col("b"))
     shared = sum((differing.bitwiseAND(F.lit(m)) == 0).cast("int") for m in [0xFF << (8 * i) for i in range(7)] + [-(1 << 56)])
     return (
-        a.join(b, ["places", "value"])
+        a.join(b.hint("merge"), ["places", "value"])
         .where((F.col("a") < F.col("b")) & (shared >= sure) & (F.bit_count(differing) <= most_bits))
         .select("a", "b")
         .distinct()
@@ -100,7 +102,8 @@ def names(prints: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row"))
     groups = written(prints.groupBy("fp").agg(first.alias("least"), F.count("*").alias("rows")), "groups")
     roots = connected_components(links(groups.select("fp"), most_bits))
-    rooted = written(roots.join(groups, roots.node == groups.fp).select("fp", "root", "least"), "rooted")
+    # Files hold a fingerprint in far fewer bytes than a broadcast does, the more so where many have one root or name.
+    rooted = written(roots.join(groups.hint("merge"), roots.node == groups.fp).select("fp", "root", "least"), "rooted")
     named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("named")), "root").select("fp", "named")
     found = groups.join(named, "fp", "left").where("named IS NOT NULL OR rows > 1")
     return written(found.select("fp", F.coalesce("named", "least").alias("named")), "names")
@@ -114,7 +117,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     narrow = df.select(F.monotonically_increasing_id().alias("row"), col(id_col).alias("id"), col(text_col).cast("string").alias("text"))
     prints = written(fingerprints(narrow, "text", "fp").drop("text"), "fingerprints")
-    return prints.join(names(prints, most_bits), "fp", "left").select(
+    return prints.join(names(prints, most_bits).hint("merge"), "fp", "left").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.coalesce(F.col("named.id"), "id").alias("component_id")
     )
 

@@ -109,3 +109,26 @@ def test_one_row_of_each_group_stays(spark):
 def test_no_bucket_of_copies_is_paired(spark):
     docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("the very same words in every row").alias("text"))
     assert simhash.near_duplicates(docs).where("component_id = 0").count() == 3000
+
+
+def test_what_has_a_row_for_every_fingerprint_is_never_broadcast(spark, monkeypatch):
+    prepare(spark)
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    found = simhash.links(spark.range(1, 5).select(F.col("id").alias("fp")))
+    assert {(r.a, r.b) for r in found.collect()} == {(1, 2), (1, 3), (1, 4), (2, 3), (2, 4)}
+    plans = {"links": plan(found)}
+    plain = simhash.written
+
+    def noted(df, name):
+        plans[name] = plan(df)
+        return plain(df, name)
+
+    monkeypatch.setattr(simhash, "written", noted)
+    texts = F.concat(F.lit("w"), (F.col("id") % 40).cast("string"))
+    rows = simhash.near_duplicates(spark.range(60).select(F.col("id").alias("doc_id"), texts.alias("text")))
+    assert all(r.component_id == r.doc_id % 40 for r in rows.collect())
+    plans["result"] = plan(rows)
+    for name in ("links", "rooted", "result"):
+        assert "SortMergeJoin" in plans[name] and "Broadcast" not in plans[name], name
